@@ -224,7 +224,7 @@ def appended(spark, sf):
     path = scratch_path(spark, "table")
     for _ in range(2):
         sinks.append_table(_stored(spark, sf), path, sort_col="event_id")
-    return spark.read.schema(ROW).parquet(path)
+    return spark.read.schema(ROW).parquet(path).drop("source_file")
 
 
 @query(
@@ -266,4 +266,4 @@ def increment(spark, sf):
     path = scratch_path(spark, "daily")
     for _ in range(2):
         load_files(files_of_previous_day(zipped_days(_rows(spark, sf)), NOW), path, ROW)
-    return spark.read.schema(ROW).parquet(path)
+    return spark.read.schema(ROW).parquet(path).drop("source_file")

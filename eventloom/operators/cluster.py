@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import GaussianMixture, KMeans, KMeansModel
 from pyspark.ml.feature import PCA, StandardScaler
@@ -24,11 +26,13 @@ SWEEP_SEED = 42
 FINAL_SEED = 0
 MAX_ITER = 300
 
+PCA_WIDTH = 1024
 
-def at_once(jobs: Sequence[Callable[[], Any]], threads: int) -> list[Any]:
+
+def at_once(spark: SparkSession, jobs: Sequence[Callable[[], Any]], threads: int) -> list[Any]:
     """Run independent driver calls side by side, so that their Spark jobs share the executors."""
     with ThreadPool(min(threads, max(len(jobs), 1))) as pool:
-        return pool.map(lambda job: job(), [inheritable_thread_target(job) for job in jobs])
+        return pool.map(lambda job: job(), [inheritable_thread_target(spark)(job) for job in jobs])
 
 
 def fit_kmeans(
@@ -86,7 +90,7 @@ def kmeans_sweep(
         return k, float(fit_kmeans(vectors, features, k, seed).summary.trainingCost)
 
     try:
-        rows = at_once([lambda k=k: cost(k) for k in ks], threads)
+        rows = at_once(df.sparkSession, [lambda k=k: cost(k) for k in ks], threads)
     finally:
         vectors.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, wcss double")
@@ -141,11 +145,96 @@ def label_disagreement(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.agg(F.count_if(F.col(a) != F.col(b)).alias("different"))
 
 
-def project_2d(df: DataFrame, features: str, label: str = "cluster_label") -> DataFrame:
-    """``(d1, d2, cluster)``: the first two principal components, one row per input row."""
-    points = PCA(k=2, inputCol=features, outputCol="_pc").fit(df).transform(df)
-    pc = vector_to_array("_pc")
-    return points.select(pc[0].alias("d1"), pc[1].alias("d2"), F.col(label).alias("cluster"))
+def project_2d(
+    df: DataFrame, features: str, label: str = "cluster_label", narrow: int = PCA_WIDTH
+) -> DataFrame:
+    """``(d1, d2, cluster)``: the first two principal components, one row per input row.
+
+    ``PCA`` holds a width x width covariance on the driver; vectors wider than ``narrow`` (long
+    vocabularies) take the two components from ``wide_components`` instead.
+    """
+    first = df.select(features).first()
+    if first is None or first[0].size <= narrow:
+        points = PCA(k=2, inputCol=features, outputCol="_pc").fit(df).transform(df)
+        pc = vector_to_array("_pc")
+        return points.select(pc[0].alias("d1"), pc[1].alias("d2"), F.col(label).alias("cluster"))
+    cells = sparse_cells(df, features, [label])
+    axes = df.sparkSession.sparkContext.broadcast(wide_components(cells, first[0].size))
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            d = row_products(batch, axes.value)
+            yield pd.DataFrame({"d1": d[:, 0], "d2": d[:, 1], "cluster": batch[label].to_numpy()})
+
+    kind = df.schema[label].dataType.simpleString()
+    return cells.mapInPandas(score, f"d1 double, d2 double, cluster {kind}")
+
+
+def sparse_cells(df: DataFrame, features: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Non-zero positions and values of each vector as two arrays."""
+    values = vector_to_array(features)
+    at = F.filter(F.transform(values, lambda x, i: F.when(x != 0, i)), lambda i: i.isNotNull())
+    return df.select(*keep, at.alias("at"), F.filter(values, lambda x: x != 0).alias("x"))
+
+
+def row_products(batch: pd.DataFrame, axes: np.ndarray) -> np.ndarray:
+    """Product of each sparse row with the columns of ``axes``."""
+    sizes = batch["at"].map(len).to_numpy()
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    at = np.concatenate([*batch["at"], np.empty(0, int)]).astype(int)
+    x = np.concatenate([*batch["x"], np.empty(0)])
+    return np.stack(
+        [np.bincount(rows, x * axes[at, j], len(sizes)) for j in range(axes.shape[1])], axis=1
+    )
+
+
+def wide_components(
+    cells: DataFrame, width: int, k: int = 2, rounds: int = 30, tolerance: float = 1e-6, seed: int = 0
+) -> np.ndarray:
+    """First ``k`` principal axes by subspace iteration: a round is one pass over the sparse rows.
+
+    Each partition adds up x (x . axes) and sends one row per touched position; the driver holds
+    ``width`` x ``k`` numbers and never a covariance.
+    """
+    spark = cells.sparkSession
+    cells = cells.select("at", "x").persist(StorageLevel.MEMORY_AND_DISK)
+    extra = k + 2  # two spare axes speed up convergence
+    axes = np.linalg.qr(np.random.default_rng(seed).normal(size=(width, extra)))[0]
+    n = cells.count()
+    totals = cells.select(F.explode(F.arrays_zip("at", "x")).alias("c"))
+    totals = totals.groupBy("c.at").agg(F.sum("c.x").alias("s")).toPandas()
+    mean = np.zeros(width)
+    mean[totals["at"].to_numpy(int)] = totals["s"] / n
+    names = [f"a{j}" for j in range(extra)]
+
+    for _ in range(rounds):
+        shared = spark.sparkContext.broadcast(axes)
+
+        def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            current = shared.value
+            sums = np.zeros_like(current)
+            for batch in batches:
+                weights = np.repeat(row_products(batch, current), batch["at"].map(len), axis=0)
+                at = np.concatenate([*batch["at"], np.empty(0, int)]).astype(int)
+                x = np.concatenate([*batch["x"], np.empty(0)])
+                for j in range(current.shape[1]):
+                    sums[:, j] += np.bincount(at, x * weights[:, j], len(current))
+            touched = np.flatnonzero(sums.any(axis=1))
+            yield pd.DataFrame(sums[touched], columns=names).assign(at=touched)
+
+        parts = cells.mapInPandas(add_up, ", ".join(f"{c} double" for c in names) + ", at bigint")
+        sums = parts.groupBy("at").agg(*[F.sum(c).alias(c) for c in names]).toPandas()
+        moved = np.zeros_like(axes)
+        moved[sums["at"].to_numpy(int)] = sums[names].to_numpy()
+        moved -= n * np.outer(mean, mean @ axes)
+        turned = np.linalg.qr(moved)[0]
+        still = np.abs(np.sum(turned[:, :k] * axes[:, :k], axis=0))
+        axes = turned
+        shared.unpersist()
+        if np.all(still > 1 - tolerance):
+            break
+    cells.unpersist()
+    return axes[:, :k]
 
 
 def centres_of(model: KMeansModel, spark: SparkSession, cluster: str = "cluster_label") -> DataFrame:

@@ -158,7 +158,8 @@ def cluster_topics(
         terms = top_terms(df.where(F.col(cluster) == F.lit(label)), text, n_topics, None, stop_words, seed)
         return label, "; ".join(", ".join(t) for t in terms) or None
 
-    rows = at_once([lambda label=label: topics(label) for label in sorted(labels)], threads)
+    jobs = [lambda label=label: topics(label) for label in sorted(labels)]
+    rows = at_once(df.sparkSession, jobs, threads)
     kind = df.schema[cluster].dataType.simpleString()
     return df.sparkSession.createDataFrame(rows, f"{cluster} {kind}, lda_topics string")
 

@@ -92,7 +92,8 @@ def parse_lines(
     if spread:
         lines = lines.repartition(spread, "path", "line_no")
     options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = F.from_csv("line", with_corrupt(schema).simpleString().removeprefix("struct<").removesuffix(">"), options)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in with_corrupt(schema).fields)
+    parsed = F.from_csv("line", ddl, options)
     rows = lines.select("path", "source_file", "error", parsed.alias("r"))
     problem = F.when(F.col("error").isNotNull(), F.concat_ws(": ", "path", "error")).otherwise(
         F.col(f"r.{CORRUPT}")
