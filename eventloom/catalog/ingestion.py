@@ -117,7 +117,9 @@ def gkg_rows(spark, sf) -> DataFrame:
     after = pages.select((F.col("page_id") - 1).alias("doc_id"), F.col("url").alias("u2"))
     # documents and pages have one row a number, so neither join has a hot key
     rows = docs.join(same, "doc_id", "left").join(after, "doc_id", "left")
-    words = F.trim(F.regexp_replace("text", r'[\s"\\#;]+', ";"))
+    # the short words of the whole text stand in for theme codes
+    words = F.regexp_extract_all("text", F.lit(r"(\p{L}+)"), F.lit(1))
+    words = F.array_join(F.filter(words, lambda w: w.rlike(r"\A[a-z]{1,3}\z")), ";")
     urls = F.concat_ws("<UDIV>", "u1", "u2")
     values = {
         "DATE": F.lit("20240822"),
@@ -134,7 +136,7 @@ def gkg_rows(spark, sf) -> DataFrame:
 GKG_SQL = """
   SELECT (d.n_chars // 100)::BIGINT AS NUMARTS, d.lang AS PERSONS, d.source AS ORGANIZATIONS, d.doc_id::VARCHAR AS SOURCES,
          nullif(concat_ws('<UDIV>', a.url, b.url), '') AS SOURCEURLS,
-         length(trim(regexp_replace(d.text, '[\\s"\\\\#;]+', ';', 'g')))::INTEGER AS theme_chars
+         coalesce(length(array_to_string([w FOR w IN regexp_extract_all(d.text, '\\p{L}+') IF regexp_full_match(w, '[a-z]{1,3}')], ';')), 0)::INTEGER AS theme_chars
   FROM documents d LEFT JOIN pages a ON a.page_id = d.doc_id LEFT JOIN pages b ON b.page_id - 1 = d.doc_id
 """
 

@@ -27,13 +27,25 @@ def distance(a: Column, b: Column) -> Column:
     return F.sqrt(squared_distance(a, b))
 
 
+def set_positions(values: Column) -> Column:
+    """Positions of the values that are not zero."""
+    at = F.transform(values, lambda x, i: F.when(x != 0, i))
+    return F.filter(at, lambda i: i.isNotNull())
+
+
+def sparse_distance(at: Column, x: Column, squares: Column, centre: Column, length: Column) -> Column:
+    """Distance of a vector given by its non-zero cells and sum of squares to a dense centre with
+    squared length ``length``; the work follows the cells, not the width."""
+    product = total(F.zip_with(at, x, lambda i, v: v * F.get(centre, i)))
+    return F.sqrt(F.greatest(squares - 2 * product + length, F.lit(0.0)))
+
+
+def squared_length(a: Column) -> Column:
+    return total(F.transform(a, lambda x: x * x))
+
+
 def unit(a: Column) -> Column:
     """Divide by the Euclidean length; an all-zero array stays as it is."""
-    length = F.sqrt(total(F.transform(a, lambda x: x * x)))
+    length = F.sqrt(squared_length(a))
     return F.when(length == 0, a).otherwise(F.transform(a, lambda x: x / length))
 
-
-def mean_vector(values: Column | str, positions: int) -> Column:
-    """Element-wise mean as an aggregate: one partially aggregated ``avg`` per position."""
-    values = F.col(values) if isinstance(values, str) else values
-    return F.array(*[F.avg(F.get(values, F.lit(i))) for i in range(positions)])

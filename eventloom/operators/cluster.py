@@ -12,11 +12,19 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import GaussianMixture, KMeans, KMeansModel
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.vectors import dense, distance, squared_distance
+from ..functions.vectors import (
+    dense,
+    distance,
+    set_positions,
+    sparse_distance,
+    squared_distance,
+    squared_length,
+)
 from .spread import lookup_join, rank_in_group
 
 # Clusters of the actor-event model, tried k of the sweep, and the seeds.
@@ -173,8 +181,8 @@ def project_2d(
 def sparse_cells(df: DataFrame, features: str, keep: Sequence[str] = ()) -> DataFrame:
     """Non-zero positions and values of each vector as two arrays."""
     values = vector_to_array(features)
-    at = F.filter(F.transform(values, lambda x, i: F.when(x != 0, i)), lambda i: i.isNotNull())
-    return df.select(*keep, at.alias("at"), F.filter(values, lambda x: x != 0).alias("x"))
+    x = F.filter(values, lambda v: v != 0)
+    return df.select(*keep, set_positions(values).alias("at"), x.alias("x"))
 
 
 def row_products(batch: pd.DataFrame, axes: np.ndarray) -> np.ndarray:
@@ -189,7 +197,7 @@ def row_products(batch: pd.DataFrame, axes: np.ndarray) -> np.ndarray:
 
 
 def wide_components(
-    cells: DataFrame, width: int, k: int = 2, rounds: int = 30, tolerance: float = 1e-6, seed: int = 0
+    cells: DataFrame, width: int, k: int = 2, rounds: int = 20, tolerance: float = 1e-5, seed: int = 0
 ) -> np.ndarray:
     """First ``k`` principal axes by subspace iteration: a round is one pass over the sparse rows.
 
@@ -250,12 +258,30 @@ def mean_centres(df: DataFrame, vec: str, cluster: str) -> DataFrame:
     return means.select(cluster, vector_to_array("mean").alias("centre"))
 
 
+def centre_distances(df: DataFrame, vec: str, centres: DataFrame, cluster: str, name: str) -> DataFrame:
+    """Add an array of distances to the ``points`` (array of arrays) of the row's cluster.
+
+    Arrays are compared cell by cell; ML vectors, usually sparse, by their non-zero cells.
+    """
+    joined = lookup_join(df, centres.select(cluster, "points"), cluster)
+    if not isinstance(df.schema[vec].dataType, VectorUDT):
+        x = dense(df, vec)
+        return joined.withColumn(name, F.transform("points", lambda c: distance(x, c))).drop("points")
+    values = dense(df, vec)
+    joined = joined.withColumn("_at", set_positions(values))
+    joined = joined.withColumn("_x", F.filter(values, lambda v: v != 0))
+    joined = joined.withColumn("_sq", squared_length(F.col("_x")))
+    at, x, squares = F.col("_at"), F.col("_x"), F.col("_sq")
+    far = F.transform("points", lambda c: sparse_distance(at, x, squares, c, squared_length(c)))
+    return joined.withColumn(name, far).drop("points", "_at", "_x", "_sq")
+
+
 def nearest_centroid_join(
     df: DataFrame, vec: str, cluster: str, centres: DataFrame, name: str = "dist"
 ) -> DataFrame:
     """Distance of each row to the centre of its own cluster."""
-    joined = lookup_join(df, centres.select(cluster, "centre"), cluster)
-    return joined.withColumn(name, distance(dense(df, vec), F.col("centre"))).drop("centre")
+    single = centres.select(cluster, F.array("centre").alias("points"))
+    return centre_distances(df, vec, single, cluster, name).withColumn(name, F.col(name)[0])
 
 
 def wcss(df: DataFrame, vec: str, cluster: str, centres: DataFrame) -> DataFrame:

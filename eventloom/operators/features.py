@@ -79,31 +79,41 @@ def vocab_by_coverage(counts: DataFrame, coverage: float = COVERAGE) -> DataFram
     distributed sort.
     """
     counts = settle(counts)
-    total = counts.agg(F.sum("count")).first()[0] or 0
     before = Window.orderBy(F.col("count").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy()
+    occurrences = F.col("count") * F.col("tokens")
     edge = (
         counts.groupBy("count")
         .agg(F.count(F.lit(1)).alias("tokens"))
-        .withColumn("before", F.coalesce(F.sum(F.col("count") * F.col("tokens")).over(before), F.lit(0)))
-        .where(F.col("before") < F.lit(coverage * total))
+        .select(
+            "count",
+            "tokens",
+            F.coalesce(F.sum(occurrences).over(before), F.lit(0)).alias("before"),
+            F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("more"),
+            F.sum(occurrences).over(every).alias("total"),
+        )
+        .where(F.col("before") < F.col("total") * F.lit(float(coverage)))
         .orderBy("count")
         .first()
     )
     if edge is None:
         return counts.select("token", F.lit(0).cast("bigint").alias("idx")).limit(0)
-    wanted = max(math.ceil((coverage * total - edge["before"]) / edge["count"]) - 1, 0)
-    while wanted < edge["tokens"] and edge["before"] + wanted * edge["count"] < coverage * total:
+    target = coverage * edge["total"]
+    wanted = max(math.ceil((target - edge["before"]) / edge["count"]) - 1, 0)
+    while wanted < edge["tokens"] and edge["before"] + wanted * edge["count"] < target:
         wanted += 1
     kept = counts.where(F.col("count") > edge["count"]).select("token")
     tied = counts.where(F.col("count") == edge["count"]).select("token")
     if wanted < edge["tokens"]:
-        tied = number_rows(tied, ["token"]).where(F.col("rn") <= wanted).select("token")
-    return vocabulary(kept.unionByName(tied), "token")
+        tied = number_rows(tied, ["token"], "rn", edge["tokens"]).where(F.col("rn") <= wanted).select("token")
+    return vocabulary(kept.unionByName(tied), "token", rows=edge["more"] + wanted)
 
 
-def vocabulary(df: DataFrame, value: str, order: Sequence[Column | str] | None = None) -> DataFrame:
+def vocabulary(
+    df: DataFrame, value: str, order: Sequence[Column | str] | None = None, rows: int | None = None
+) -> DataFrame:
     """Give each row of a one-row-a-value frame its 0-based place in ``order`` (default: by value)."""
-    numbered = number_rows(df, list(order or [value]), "_n")
+    numbered = number_rows(df, list(order or [value]), "_n", rows)
     return numbered.withColumn("idx", F.col("_n") - 1).drop("_n")
 
 

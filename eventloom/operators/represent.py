@@ -13,10 +13,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.vectors import dense, distance
 from ..session import settle
-from .cluster import nearest_centroid_join
-from .spread import lookup_join
+from .cluster import centre_distances, nearest_centroid_join
 
 # Representatives per cluster, noise draws and their standard deviation.
 CLOSEST = 10
@@ -75,7 +73,7 @@ def closest_n_per_cluster(
 def noisy_centres(
     centres: DataFrame, cluster: str, draws: int = DRAWS, std: float = NOISE_STD, seed: int = 0
 ) -> DataFrame:
-    """Each centre shifted ``draws`` times by normal noise: ``(cluster, draws array<array>)``.
+    """Each centre shifted ``draws`` times by normal noise: ``(cluster, points)``.
 
     The centres are k rows of a model on the driver; one seeded generator per cluster makes the
     noise the same in every run and for every order of the rows.
@@ -86,14 +84,12 @@ def noisy_centres(
         noise = np.random.default_rng([seed, int(row[cluster])]).normal(0.0, std, (draws, centre.size))
         rows.append((row[cluster], (centre + noise).tolist()))
     kind = centres.schema[cluster].dataType.simpleString()
-    return centres.sparkSession.createDataFrame(rows, f"{cluster} {kind}, draws array<array<double>>")
+    return centres.sparkSession.createDataFrame(rows, f"{cluster} {kind}, points array<array<double>>")
 
 
 def draws_join(df: DataFrame, vec: str, cluster: str, noisy: DataFrame, name: str = "dists") -> DataFrame:
     """Distances of each row to all noisy centres of its cluster, as one array (rows do not multiply)."""
-    joined = lookup_join(df, noisy, cluster)
-    x = dense(df, vec)
-    return joined.withColumn(name, F.transform("draws", lambda c: distance(x, c))).drop("draws")
+    return centre_distances(df, vec, noisy, cluster, name)
 
 
 def diverse_closest_per_cluster(

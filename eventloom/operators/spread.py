@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,8 @@ from ..session import settle
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key is hot when it has more than this share of the rows, so there are at most 1/HOT_SHARE of them.
 HOT_SHARE = 1e-3
+# Narrow rows that one task may sort, where their number is known.
+ONE_TASK_ROWS = 200_000
 HOT_ROWS = 1_000_000
 SPREAD = 64
 
@@ -21,6 +25,11 @@ SPREAD = 64
 def _bytes_of(field: T.StructField) -> Column:
     if isinstance(field.dataType, T.StringType):
         return F.coalesce(F.octet_length(field.name).cast("bigint"), F.lit(0)) + 24
+    if isinstance(field.dataType, VectorUDT):
+        return F.coalesce(F.size(vector_to_array(field.name)).cast("bigint"), F.lit(0)) * 8 + 24
+    if isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.ArrayType):
+        sizes = F.transform(field.name, lambda a: F.size(a).cast("bigint") * 16 + 24)
+        return F.coalesce(F.aggregate(sizes, F.lit(0).cast("bigint"), lambda x, y: x + y), F.lit(0)) + 24
     if isinstance(field.dataType, T.ArrayType):
         return F.coalesce(F.size(field.name).cast("bigint"), F.lit(0)) * 16 + 24
     return F.lit(16).cast("bigint")
@@ -86,12 +95,18 @@ def lookup_join(
     return spread_join(left, right, key, how, by)
 
 
-def number_rows(df: DataFrame, order: Sequence[Column | str], name: str = "rn") -> DataFrame:
+def number_rows(
+    df: DataFrame, order: Sequence[Column | str], name: str = "rn", rows: int | None = None
+) -> DataFrame:
     """Exact 1-based row numbers in a total order, without bringing the rows into one task.
 
     The rows are range-partitioned and sorted once and written down; the number is the place inside
-    the partition plus the size of the partitions before it (one row per partition).
+    the partition plus the size of the partitions before it (one row per partition). A caller that
+    has already counted few ``rows`` gets a plain window.
     """
+    if rows is not None and rows <= ONE_TASK_ROWS:
+        place = F.row_number().over(Window.orderBy(*order)).cast("bigint")
+        return df.withColumn(name, place)
     placed = settle(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftright("_at", 33)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -47,6 +47,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in reliable storage, so that a lost executor costs a re-read, not a re-run."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared folder and read it from there.
+
+    It cuts the lineage, so a lost executor costs a re-read and not a re-run, and what follows reads
+    only the columns it needs.
+    """
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
