@@ -235,7 +235,8 @@ def wide_components(
         moved = np.zeros_like(axes)
         moved[sums["at"].to_numpy(int)] = sums[names].to_numpy()
         moved -= n * np.outer(mean, mean @ axes)
-        turned = np.linalg.qr(moved)[0]
+        # order the directions inside the subspace by their variance before they are made orthonormal
+        turned = np.linalg.qr(moved @ np.linalg.eigh(axes.T @ moved)[1][:, ::-1])[0]
         still = np.abs(np.sum(turned[:, :k] * axes[:, :k], axis=0))
         axes = turned
         shared.unpersist()

@@ -64,10 +64,12 @@ def token_counts(
 ) -> DataFrame:
     """``(token, count)`` over every occurrence in the columns; tokens are stripped, and only those
     of letters count unless ``alpha_only`` is off."""
-    tokens = df.select(F.explode(row_tokens(cols, separator)).alias("t")).select(strip("t").alias("token"))
+    pieces = df.select(F.explode(row_tokens(cols, separator)).alias("piece")).groupBy("piece")
+    # repeated pieces are counted before they are cleaned, so a piece is cleaned once, not per row
+    tokens = pieces.agg(F.count(F.lit(1)).alias("n")).select(strip("piece").alias("token"), "n")
     if alpha_only:
         tokens = tokens.where(is_alpha("token"))
-    return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("count"))
+    return tokens.groupBy("token").agg(F.sum("n").alias("count"))
 
 
 def vocab_by_coverage(counts: DataFrame, coverage: float = COVERAGE) -> DataFrame:

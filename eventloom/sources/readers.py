@@ -80,7 +80,8 @@ def with_source_file(df: DataFrame, name: str = "source_file") -> DataFrame:
 
 
 def split_quarantine(df: DataFrame, marker: str = CORRUPT) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and the rejected ones with what was wrong."""
+    """Good rows, and the rejected ones with what was wrong. Rejected rows of a plain file are read
+    with all their columns or settled first; Spark refuses to scan a file for the marker alone."""
     return df.where(F.col(marker).isNull()).drop(marker), df.where(F.col(marker).isNotNull())
 
 
