@@ -46,10 +46,11 @@ def ingestion_rate(spark, sf_dir: str, folder: str) -> dict:
     from eventloom.sources.zips import member_lines, parse_lines
     from eventloom.sources.readers import split_quarantine
 
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        "event_id", "user_id", "event_type", "value", F.date_format("ts", "yyyyMMdd").alias("day")
-    )
-    copies = events.join(spark.range(40).withColumnRenamed("id", "copy")).drop("copy").repartition(16)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000000")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "event_type", "value")
+    days = F.explode(F.sequence(F.lit(1), F.lit(32))).alias("n")
+    copies = events.select("*", days).withColumn("day", F.format_string("day%02d", "n")).drop("n")
+    copies = copies.repartition(64, "day")
     stored = f"{folder}/zips"
     zipped_days(copies).write.parquet(stored)
     files = spark.read.parquet(stored)

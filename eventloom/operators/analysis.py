@@ -119,14 +119,11 @@ def daily_category_counts(
 def pearson(x: str, y: str) -> Column:
     """Pearson correlation over rows where both are present: null below two rows, NaN when a side
     does not vary. (``corr`` itself raises on a constant column under ANSI.)"""
-    both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    a = F.when(both, F.col(x).cast("double"))
-    b = F.when(both, F.col(y).cast("double"))
-    scale = F.stddev_pop(a) * F.stddev_pop(b)
+    scale = F.sqrt(F.regr_sxx(y, x) * F.regr_syy(y, x))
     return (
-        F.when(F.count(a) < 2, F.lit(None).cast("double"))
+        F.when(F.regr_count(y, x) < 2, F.lit(None).cast("double"))
         .when(scale == 0, F.lit(float("nan")))
-        .otherwise(F.try_divide(F.covar_pop(a, b), scale))
+        .otherwise(F.try_divide(F.regr_sxy(y, x), scale))
     )
 
 

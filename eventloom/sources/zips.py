@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from typing import IO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,72 +14,77 @@ from pyspark.sql import types as T
 
 from .readers import CORRUPT, with_corrupt
 
-LINES_PER_BATCH = 20_000
-CHUNK = 1 << 20
-LINES = "path string, source_file string, line_no bigint, line string, error string"
+CHUNK = 4 << 20
+CHUNKS = "path string, source_file string, start bigint, lines array<string>, error string"
 _ARROW = pa.schema(
     [
         ("path", pa.string()),
         ("source_file", pa.string()),
-        ("line_no", pa.int64()),
-        ("line", pa.string()),
+        ("start", pa.int64()),
+        ("lines", pa.list_(pa.string())),
         ("error", pa.string()),
     ]
 )
 
 
-def _member_batches(path: str, content: bytes) -> Iterator[pa.RecordBatch]:
-    """Lines of the first CSV member in bounded batches.
+def _lines(stream: IO[bytes]) -> Iterator[list[str]]:
+    """Whole lines of a byte stream, a few megabytes at a time."""
+    rest = b""
+    while chunk := stream.read(CHUNK):
+        data = rest + chunk
+        cut = data.rfind(b"\n") + 1
+        rest = data[cut:]
+        if cut:
+            text = data[:cut].decode("utf-8", "replace")
+            yield text.replace("\r\n", "\n").split("\n")[:-1]
+    if rest:
+        yield [rest.decode("utf-8", "replace").removesuffix("\r")]
+
+
+def _member_chunks(path: str, content: bytes) -> Iterator[pa.RecordBatch]:
+    """Lines of the first CSV member, one row a chunk.
 
     The member is read through once for its checksum before any line is passed on, because a file
     that breaks half-way is rejected as a whole.
     """
 
-    def batch(name, numbers, lines, error=None):
-        n = len(lines)
-        columns = [[path] * n, [name] * n, numbers, lines, [error] * n]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW
-        )
+    def row(name: str | None, start: int | None, lines: list[str] | None, error: str | None = None):
+        record = dict(path=path, source_file=name, start=start, lines=lines, error=error)
+        return pa.RecordBatch.from_pylist([record], schema=_ARROW)
 
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
             member = next((m for m in archive.namelist() if m.endswith((".CSV", ".csv"))), None)
             if member is None:
-                yield batch(None, [None], [None], "no CSV member")
+                yield row(None, None, None, "no CSV member")
                 return
             with archive.open(member) as stream:
                 while stream.read(CHUNK):
                     pass
+            start = 0
             with archive.open(member) as stream:
-                text = io.TextIOWrapper(stream, "utf-8", errors="replace", newline="\n")
-                lines: list[str] = []
-                start = 0
-                for line in text:
-                    lines.append(line.rstrip("\r\n"))
-                    if len(lines) == LINES_PER_BATCH:
-                        yield batch(member, range(start, start + len(lines)), lines)
-                        start += len(lines)
-                        lines = []
-                if lines:
-                    yield batch(member, range(start, start + len(lines)), lines)
+                for lines in _lines(stream):
+                    yield row(member, start, lines)
+                    start += len(lines)
     except Exception as problem:  # any unreadable zip is one rejected row, the rest goes on
-        yield batch(None, [None], [None], f"{type(problem).__name__}: {problem}")
+        yield row(None, None, None, f"{type(problem).__name__}: {problem}")
 
 
 def member_lines(files: DataFrame) -> DataFrame:
     """``(path, source_file, line_no, line, error)`` of frames with ``path`` and ``content``.
 
     A zip cannot be split, so a file is the unit of work, as it is for the reader of any such feed;
-    the lines leave in batches and are parsed in the JVM.
+    the lines leave in chunks, and the JVM takes them apart and parses them.
     """
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for files_batch in batches:
             for path, content in zip(files_batch.column(0), files_batch.column(1)):
-                yield from _member_batches(path.as_py(), content.as_py())
+                yield from _member_chunks(path.as_py(), content.as_py())
 
-    return files.select("path", "content").mapInArrow(unpack, LINES)
+    chunks = files.select("path", "content").mapInArrow(unpack, CHUNKS)
+    lines = chunks.select("path", "source_file", "start", "error", F.posexplode_outer("lines").alias("at", "line"))
+    return lines.select("path", "source_file", (F.col("start") + F.col("at")).alias("line_no"), "line", "error")
 
 
 def parse_lines(
