@@ -55,10 +55,13 @@ def ingestion_rate(spark, sf_dir: str, folder: str) -> dict:
     zipped_days(copies).write.parquet(stored)
     files = spark.read.parquet(stored)
     size = member_lines(files).agg(F.sum(F.octet_length("line") + 1)).first()[0]
-    started = time.time()
-    good, _ = split_quarantine(parse_lines(member_lines(files), ROW))
-    append_table(good, f"{folder}/table")
-    took = time.time() - started
+    took = []
+    for _ in range(2):
+        started = time.time()
+        good, _ = split_quarantine(parse_lines(member_lines(files), ROW))
+        append_table(good, f"{folder}/table")
+        took.append(time.time() - started)
+    took = min(took)
     return {"mb": round(size / 1e6, 1), "sec": round(took, 2), "mb_per_sec": round(size / 1e6 / took, 1)}
 
 

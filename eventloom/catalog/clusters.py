@@ -64,8 +64,10 @@ def given_centres(rows):
 def part_profile(spark, sf):
     part = table(spark, sf, "part")
     features = F.array(prefixed("actor_", "p_brand"), prefixed("event_", "p_type"))
-    long = part.select("p_partkey", (F.col("p_size") % 10 + 1).alias("cluster"), F.explode(features).alias("feature"))
-    return C.cluster_profile(long, "p_partkey", "cluster", "feature")
+    part = part.withColumn("cluster", F.col("p_size") % 10 + 1)
+    long = part.select("p_partkey", "cluster", F.explode(features).alias("feature"))
+    sizes = C.cluster_sizes(part, "cluster")
+    return C.cluster_profile(long, "p_partkey", "cluster", "feature", sizes=sizes)
 
 
 @query("cluster_profile", f"SELECT cluster, rank, feature, round(appearance, 6) AS appearance FROM ({PROFILE_SQL})")

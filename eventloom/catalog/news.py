@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..plans.relevant_news import news_vectors, relevant_news_tables
 from ..functions.vectors import dense, total
+from ..operators.cluster import project_2d
+from ..plans.relevant_news import news_clusters, news_vectors, relevant_news
+from ..session import settle
 from .ingestion import gkg_rows
 from .registry import query
 from .texts import page_texts
@@ -19,7 +21,7 @@ def _inputs(spark, sf):
 def vectors(spark, sf):
     """Length of each combined vector (1, or 0 where nothing is set) and its width."""
     gkg, texts = _inputs(spark, sf)
-    rows = news_vectors(gkg, texts)
+    rows = news_vectors(gkg, settle(texts))
     cells = dense(rows, "features")
     return rows.select(
         "row_id", F.size(cells).alias("width"), F.round(total(F.transform(cells, lambda x: x * x)), 6).alias("length")
@@ -29,10 +31,11 @@ def vectors(spark, sf):
 @query("relevant_news")
 def relevant(spark, sf):
     gkg, texts = _inputs(spark, sf)
-    return relevant_news_tables(gkg, texts).relevant_news
+    texts = settle(texts)
+    return relevant_news(news_clusters(gkg, texts), texts)
 
 
 @query("dimension_reduction")
 def reduced(spark, sf):
     gkg, texts = _inputs(spark, sf)
-    return relevant_news_tables(gkg, texts).dimension_reduction
+    return project_2d(news_clusters(gkg, settle(texts)).rows, "features")

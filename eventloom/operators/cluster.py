@@ -25,6 +25,7 @@ from ..functions.vectors import (
     squared_distance,
     squared_length,
 )
+from ..session import settle
 from .spread import lookup_join, rank_in_group
 
 # Clusters of the actor-event model, tried k of the sweep, and the seeds.
@@ -291,24 +292,31 @@ def wcss(df: DataFrame, vec: str, cluster: str, centres: DataFrame) -> DataFrame
     return joined.agg(F.sum(squared_distance(dense(df, vec), F.col("centre"))).alias("wcss"))
 
 
+def cluster_sizes(df: DataFrame, cluster: str) -> DataFrame:
+    """``(cluster, size)`` of a frame with one row an item."""
+    return df.groupBy(F.col(cluster).alias("cluster")).agg(F.count(F.lit(1)).alias("size"))
+
+
 def cluster_profile(
-    long: DataFrame, row: str, cluster: str, feature: str, top: int | None = None
+    long: DataFrame,
+    row: str,
+    cluster: str,
+    feature: str,
+    top: int | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """``(cluster, rank, feature, appearance)`` from long rows ``(row, cluster, feature)``.
 
     Appearance is the share of the cluster's rows that have the feature; rank 1 is the largest, equal
-    shares in feature order. ``top`` limits the report to the first ranks.
+    shares in feature order. ``top`` limits the report to the first ranks. ``sizes`` (see
+    ``cluster_sizes``) spares the distinct over the long rows.
     """
     counts = long.groupBy(F.col(cluster).alias("cluster"), F.col(feature).alias("feature")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    sizes = (
-        long.select(F.col(cluster).alias("cluster"), F.col(row))
-        .distinct()
-        .groupBy("cluster")
-        .agg(F.count(F.lit(1)).alias("size"))
-    )
-    shares = lookup_join(counts, sizes, "cluster").select(
+    if sizes is None:
+        sizes = cluster_sizes(long.select(cluster, row).distinct(), cluster)
+    shares = lookup_join(counts, settle(sizes), "cluster").select(
         "cluster", "feature", (F.col("n") / F.col("size")).alias("appearance")
     )
     order = [F.col("appearance").desc(), F.col("feature")]

@@ -108,7 +108,7 @@ def vocab_by_coverage(counts: DataFrame, coverage: float = COVERAGE) -> DataFram
     tied = counts.where(F.col("count") == edge["count"]).select("token")
     if wanted < edge["tokens"]:
         tied = number_rows(tied, ["token"], "rn", edge["tokens"]).where(F.col("rn") <= wanted).select("token")
-    return vocabulary(kept.unionByName(tied), "token", rows=edge["more"] + wanted)
+    return settle(vocabulary(kept.unionByName(tied), "token", rows=edge["more"] + wanted))
 
 
 def vocabulary(

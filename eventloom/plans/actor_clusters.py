@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import prefixed
 from ..functions.vectors import dense
-from ..operators.cluster import ACTOR_CLUSTERS, cluster_profile, kmeans_cosine
+from ..operators.cluster import ACTOR_CLUSTERS, cluster_profile, cluster_sizes, kmeans_cosine
 from ..operators.features import (
     actor_frequencies,
     assemble,
@@ -110,5 +110,7 @@ def actor_graph(
 ) -> DataFrame:
     """Edges of every cluster; centroids are numbered from 1."""
     rows = labelled.where("cluster is not null").withColumn("cluster", F.col("cluster") + 1)
-    profile = cluster_profile(row_features(rows, ident, "cluster", actors, code), ident, "cluster", "feature", top)
+    long = row_features(rows, ident, "cluster", actors, code)
+    sizes = cluster_sizes(rows, "cluster")
+    profile = cluster_profile(long, ident, "cluster", "feature", top, sizes)
     return actor_event_graph(settle(profile))

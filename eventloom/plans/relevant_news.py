@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
@@ -70,35 +69,53 @@ def news_vectors(
     return settle(combined.select("row_id", "NUMARTS", "SOURCEURLS", "features"))
 
 
-def relevant_news_tables(
+@dataclass
+class NewsClusters:
+    """Labelled rows ``(row_id, NUMARTS, SOURCEURLS, features, cluster_label)`` and the centres."""
+
+    rows: DataFrame
+    centres: DataFrame
+    k: int
+
+
+def news_clusters(
     gkg: DataFrame,
     texts: DataFrame,
     embeddings: DataFrame | None = None,
     ks: Sequence[int] = SWEEP,
     offset: int = 2,
     rule: str = "argmin",
-    seed: int = 0,
     threads: int = 4,
-) -> NewsTables:
-    """One row a cluster: its closest news with text, summary and the topics of a diverse sample;
-    and the 2-D view of all rows."""
-    spark = gkg.sparkSession
-    texts = settle(texts.select("url", "text"))
-    vectors = news_vectors(gkg, texts, embeddings).persist(StorageLevel.MEMORY_AND_DISK)
+) -> NewsClusters:
+    """Vectors, the choice of k by the elbow, and the final labels."""
+    vectors = news_vectors(gkg, texts, embeddings)
     k = elbow_k(kmeans_sweep(vectors, "features", ks, threads=threads), offset, rule)
     model, labelled = kmeans_final(vectors, "features", k)
-    labelled = settle(labelled)
-    centres = centres_of(model, spark)
-    closest = closest_per_cluster(labelled, "features", centres, keep=["SOURCEURLS"])
+    return NewsClusters(settle(labelled), centres_of(model, gkg.sparkSession), k)
+
+
+def relevant_news(
+    clusters: NewsClusters, texts: DataFrame, seed: int = 0, threads: int = 4
+) -> DataFrame:
+    """One row a cluster: its closest news with text, summary and the topics of a diverse sample."""
+    rows, centres = clusters.rows, clusters.centres
+    closest = closest_per_cluster(rows, "features", centres, keep=["SOURCEURLS"])
     closest = settle(representative_text(closest, "SOURCEURLS", texts, ["row_id"]))
-    sample = diverse_closest_per_cluster(labelled, "features", centres, seed=seed, keep=["SOURCEURLS"])
+    sample = diverse_closest_per_cluster(rows, "features", centres, seed=seed, keep=["SOURCEURLS"])
     sample = settle(representative_text(sample, "SOURCEURLS", texts, ["row_id"]))
     topics = cluster_topics(sample, "cluster_label", "extracted_text", threads=threads)
     news = attach_topics(summarise(closest, "row_id", "extracted_text"), topics)
-    news = settle(news.select(*NEWS_COLUMNS))
-    view = project_2d(labelled, "features")
-    vectors.unpersist()
-    return NewsTables(news, view, k)
+    return settle(news.select(*NEWS_COLUMNS))
+
+
+def relevant_news_tables(
+    gkg: DataFrame, texts: DataFrame, embeddings: DataFrame | None = None, seed: int = 0, **options
+) -> NewsTables:
+    """The news of each cluster and the 2-D view of all rows."""
+    texts = settle(texts.select("url", "text"))
+    clusters = news_clusters(gkg, texts, embeddings, **options)
+    news = relevant_news(clusters, texts, seed)
+    return NewsTables(news, project_2d(clusters.rows, "features"), clusters.k)
 
 
 def news_pipeline(gkg: DataFrame, texts: DataFrame, out: str, **options) -> NewsTables:
