@@ -16,6 +16,7 @@ from ..operators.analysis import (
     with_calendar,
 )
 from ..operators.features import actor_frequencies, concat_columns, sort_tokens
+from ..sources.readers import scan_table
 from .registry import ACTIVITY_SQL, SHIPMENTS_SQL, activity, query, shipments, table
 
 PERIOD = ("19960101", "19981231")
@@ -44,7 +45,7 @@ def _daily(spark, sf):
     "SELECT event_id, user_id, event_type, value, props FROM events",
 )
 def scan_events(spark, sf):
-    return table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", "props")
+    return scan_table(spark, f"{sf}/events.parquet", ["event_id", "user_id", "event_type", "value", "props"])
 
 
 @query("scan_actor_event", SHIPMENTS_SQL)

@@ -42,10 +42,3 @@ def sparse_distance(at: Column, x: Column, squares: Column, centre: Column, leng
 
 def squared_length(a: Column) -> Column:
     return total(F.transform(a, lambda x: x * x))
-
-
-def unit(a: Column) -> Column:
-    """Divide by the Euclidean length; an all-zero array stays as it is."""
-    length = F.sqrt(squared_length(a))
-    return F.when(length == 0, a).otherwise(F.transform(a, lambda x: x / length))
-

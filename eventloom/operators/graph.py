@@ -43,6 +43,9 @@ def ordered_pairs_self_join(actors: DataFrame, blocks: int = BLOCKS) -> DataFram
         "cluster", F.col("rank").alias("dst_rank"), F.col("feature").alias("dst"),
         own.alias("col"), every.alias("row"),
     )
+    # a given number of partitions is kept as it is, so the cells stay apart however small the input
+    tasks = int(actors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = left.repartition(tasks, "cluster", "row", "col")
     joined = left.join(right, ["cluster", "row", "col"]).where("src_rank != dst_rank")
     return joined.select("cluster", "src", "dst")
 
