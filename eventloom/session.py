@@ -42,8 +42,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """New, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """New, unused path below the shared folder, in a subfolder of the application: what a run has
+    left behind can be removed by the application's id."""
+    base = shared_dir(spark).rstrip("/")
+    return f"{base}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:
