@@ -66,6 +66,8 @@ def pieces(c: Column | str, separator: str = TOKEN_SEPARATOR) -> Column:
 
 def row_tokens(cols: Sequence[str], separator: str = TOKEN_SEPARATOR) -> Column:
     """All pieces of several multi-valued columns as one array; null columns are skipped."""
+    if len(cols) == 1:
+        return pieces(cols[0], separator)
     return F.flatten(F.array_compact(F.array(*[pieces(c, separator) for c in cols])))
 
 
