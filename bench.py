@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import os
-import shutil
 import sys
 import tempfile
 import time
@@ -104,7 +103,6 @@ def main() -> None:
             }
         )
     )
-    shutil.rmtree(folder, ignore_errors=True)
 
 
 if __name__ == "__main__":
