@@ -28,11 +28,21 @@ from .flat import (
 )
 
 WINDOW = 8
+# A text on which no rule votes has a posterior near one half and stays.
+THRESHOLD = 0.3
 _SYMBOLS = byte_class(b"#*$%&|<>")
 _LETTERS = byte_class([b for b in range(256) if b >= 0x80 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A])
 _UPPER = byte_class(range(0x41, 0x5B))
 _LOWER = byte_class(range(0x61, 0x7B))
 
+# Common function words of English, French, German and Spanish.
+FUNCTION_WORDS = (
+    "the of and to in a is that for it on was with as by at from this be are or an not "
+    "le la les de des du et un une que qui en est pour dans par sur au avec "
+    "der die das und zu den von mit ist im dem nicht ein eine auf sich "
+    "el los las y del se por con para es lo su al como"
+).split()
+
 STATS = T.StructType(
     [
         T.StructField(name, T.LongType())
@@ -47,12 +57,22 @@ STATS = T.StructType(
             "n_distinct_words",
             "n_upper",
             "n_lower",
+            "n_function_words",
         )
     ]
 )
 
 
-def measure(texts: pa.Array, line_hasher: Hasher | None = None) -> dict[str, np.ndarray]:
+def function_word_prints() -> np.ndarray:
+    """Sorted fingerprints of the function words, as written and with a capital."""
+    both = [*FUNCTION_WORDS, *(w.capitalize() for w in FUNCTION_WORDS)]
+    data = np.frombuffer(" ".join(both).encode(), np.uint8)
+    starts, ends, _ = words(data, np.array([0, len(data)]), SPACE_WORDS)
+    hasher = Hasher(3)
+    return np.unique(hasher.ranges(hasher.prefixes(data), starts, ends))
+
+
+def measure(texts: pa.Array) -> dict[str, np.ndarray]:
     """The counts of ``STATS`` for every text of an array; a null counts as empty.
 
     Words are runs without white space; lines are what \\n separates; a line counts as repeated when it has a
@@ -60,7 +80,7 @@ def measure(texts: pa.Array, line_hasher: Hasher | None = None) -> dict[str, np.
     """
     data, offsets = text_buffer(texts)
     n = len(offsets) - 1
-    hasher = line_hasher or Hasher(3)
+    hasher = Hasher(3)
     starts, ends, owner = words(data, offsets, SPACE_WORDS)
     sums = hasher.prefixes(data)
     hashes = hasher.ranges(sums, starts, ends)
@@ -71,6 +91,9 @@ def measure(texts: pa.Array, line_hasher: Hasher | None = None) -> dict[str, np.
     out["n_symbols"] = per_text(_SYMBOLS[data], offsets)
     out["n_upper"] = per_text(_UPPER[data], offsets)
     out["n_lower"] = per_text(_LOWER[data], offsets)
+    known = function_word_prints()
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    out["n_function_words"] = per_text(known[at] == hashes, per_owner)
     letters = np.zeros(len(data) + 1, np.int64)
     np.cumsum(_LETTERS[data], out=letters[1:])
     out["n_letter_words"] = per_text(letters[ends] > letters[starts], per_owner)
@@ -96,29 +119,40 @@ def measure(texts: pa.Array, line_hasher: Hasher | None = None) -> dict[str, np.
     return out
 
 
-def _votes(good: Column, bad: Column) -> Column:
-    """1 for good, -1 for bad, 0 where the rule abstains."""
-    return F.when(bad, F.lit(-1)).when(good, F.lit(1)).otherwise(F.lit(0)).cast("tinyint")
-
-
 def _share(part: str, whole: str) -> Column:
     return F.col(part) / F.greatest(F.col(whole), F.lit(1))
 
 
+def _against(bad: Column) -> Column:
+    """-1 where the rule speaks against the text, else it abstains."""
+    return F.when(bad, F.lit(-1)).otherwise(F.lit(0)).cast("tinyint")
+
+
+def _for(good: Column, bad: Column | None = None) -> Column:
+    vote = F.when(good, F.lit(1))
+    return (vote if bad is None else vote.when(bad, F.lit(-1))).otherwise(F.lit(0)).cast("tinyint")
+
+
 def rules() -> dict[str, Column]:
-    """The voting rules over the columns of ``STATS``."""
+    """The voting rules over the columns of ``STATS``. Most know one kind of junk and abstain on all else; a
+    few speak for a text."""
     n = F.col("n_words")
     length = _share("word_chars", "n_words")
+    symbols = _share("n_symbols", "n_words")
+    letters = _share("n_letter_words", "n_words")
+    common = _share("n_function_words", "n_words")
     return {
-        "length": _votes(n >= 60, n < 20),
-        "word_length": _votes(length.between(3.0, 9.0), (n > 0) & ~length.between(2.0, 14.0)),
-        "symbols": _votes((n > 0) & (_share("n_symbols", "n_words") < 0.02), _share("n_symbols", "n_words") > 0.2),
-        "dup_lines": _votes((F.col("n_lines") > 1) & (F.col("n_dup_lines") == 0), _share("n_dup_lines", "n_lines") > 0.3),
-        "repeats": _votes((n >= 20) & (_share("n_repeat_words", "n_words") < 0.05), _share("n_repeat_words", "n_words") > 0.3),
-        "letters": _votes((n > 0) & (_share("n_letter_words", "n_words") > 0.9), (n > 0) & (_share("n_letter_words", "n_words") < 0.6)),
-        "distinct": _votes((n >= 20) & (_share("n_distinct_words", "n_words") > 0.3), (n >= 40) & (_share("n_distinct_words", "n_words") < 0.15)),
-        "shouting": _votes(F.col("n_upper") * 4 < F.col("n_lower"), F.col("n_upper") > F.col("n_lower")),
-    }
+        "word_length": _against((n > 0) & ~length.between(2.5, 14.0)),
+        "symbols": _against(symbols > 0.1),
+        "dup_lines": _against(_share("n_dup_lines", "n_lines") > 0.3),
+        "repeats": _against(_share("n_repeat_words", "n_words") > 0.25),
+        "letters": _against((n > 0) & (letters < 0.7)),
+        "distinct": _against((n >= 20) & (_share("n_distinct_words", "n_words") < F.when(n < 200, 0.3).otherwise(0.05))),
+        "shouting": _against(F.col("n_upper") > F.col("n_lower")),
+        "length": _for(n >= 50, n < 20),
+        "prose": _for((n > 0) & (letters > 0.9) & (symbols < 0.02) & (F.col("n_upper") * 4 < F.col("n_lower"))),
+        "function_words": _for(common >= 0.08, (n >= 50) & (common < 0.01)),
+    }
 
 
 def base_failed() -> Column:
@@ -151,7 +185,7 @@ class LabelModel:
 def fit_label_model(patterns: np.ndarray, counts: np.ndarray, names: list[str], tolerance: float = 1e-9) -> LabelModel:
     """EM over distinct vote patterns (rows of -1, 0, 1) weighted by how many rows have each.
 
-    It starts from the majority of the votes. Every table keeps a Dirichlet prior that believes a vote names its
+    It starts from the rows that no rule speaks against. Every table keeps a Dirichlet prior that believes a vote names its
     class more often than not, so the classes cannot change places; it weighs as much as 1 % of the rows.
     An abstention has a probability of its own in each class. No rows: the prior.
     """
@@ -159,13 +193,13 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, names: list[str],
     counts = np.asarray(counts, np.float64)
     total = counts.sum()
     believed = np.empty((2, m, 3))
-    believed[0], believed[1] = [0.4, 0.5, 0.1], [0.1, 0.4, 0.5]
+    believed[0], believed[1] = [0.3, 0.6, 0.1], [0.02, 0.38, 0.6]
     strength = max(0.01 * total, 1.0)
     if not total:
         return LabelModel(names, 0.5, believed)
     patterns = np.asarray(patterns, np.int64).reshape(-1, m)
     hot = np.stack([patterns == v for v in (-1, 0, 1)], 2).astype(np.float64)
-    good = 1 / (1 + np.exp(-patterns.sum(1).astype(np.float64)))
+    good = np.where((patterns < 0).any(1), 0.1, 0.9)
     before = -np.inf
     for _ in range(10_000):
         weight = np.stack([counts * (1 - good), counts * good])
@@ -189,10 +223,9 @@ def with_stats(docs: DataFrame, text: str = "text") -> DataFrame:
     schema = T.StructType([*docs.schema.fields, T.StructField("_stats", STATS)])
 
     def add(batches):
-        hasher = Hasher(3)
         for batch in batches:
             for part in slices(batch, text):
-                counts = measure(part.column(text), hasher)
+                counts = measure(part.column(text))
                 stats = pa.StructArray.from_arrays([pa.array(counts[f.name], pa.int64()) for f in STATS.fields], STATS.names)
                 yield pa.RecordBatch.from_arrays([*part.columns, stats], [*part.schema.names, "_stats"])
 
@@ -201,14 +234,14 @@ def with_stats(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def fit(stats: DataFrame) -> LabelModel:
     """Label model of a table with the columns of ``STATS``. The driver sees one row for each distinct pattern
-    of votes, 3**8 at most whatever the number of rows."""
+    of votes, 3**10 at most whatever the number of rows."""
     voted = stats.select(*(vote.alias(name) for name, vote in rules().items()))
     rows = voted.groupBy(*voted.columns).count().collect()
     names = voted.columns
     return fit_label_model(np.array([[r[n] for n in names] for r in rows]), np.array([r["count"] for r in rows]), names)
 
 
-def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
+def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row for each row of ``docs``: the key, the counts, a vote by rule, ``posterior`` and ``kept``.
 
     A row is kept when it passes the two base rules (20 words at least, at most 30 % of them repeated) and its
@@ -228,7 +261,7 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: f
     )
 
 
-def keep_good(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
+def keep_good(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, columns as they are. Texts are read twice and never shuffled."""
     model = fit(with_stats(docs.select(F.col(text)), text).select("_stats.*"))
     flat = with_stats(docs, text).select(F.struct(*docs.columns).alias("_row"), "_stats.*")
