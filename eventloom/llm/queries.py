@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, pieces, quality
+from ..session import scratch_path
+from . import decontamination, html_text, pieces, quality, token_files, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -95,3 +96,60 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_sentencepiece")
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op1_html_extraction")
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+URL_RULES = (
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+)
+# The block list of the query: hosts, without their first label if it only names a service, that advertise.
+SERVICES, JUNK = r"^(www|m|blog)\.", "spam|pills|casino"
+
+OP4_SQL = f"""
+WITH u AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), p AS (
+  SELECT page_id, {FOLD.format("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM u
+), listed AS (SELECT DISTINCT regexp_replace(host, '{SERVICES}', '') AS entry FROM p WHERE regexp_matches(host, '{JUNK}')),
+bad AS (
+  SELECT DISTINCT host FROM (SELECT DISTINCT host FROM p) JOIN listed ON host = entry OR ends_with(host, '.' || entry)
+), r AS (
+  SELECT p.*, bad.host IS NOT NULL AS on_list, CASE
+    WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule
+  FROM p LEFT JOIN bad USING (host)
+)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+  WHEN on_list THEN 'block' ELSE 'allow' END AS verdict
+FROM r
+"""
+
+
+@query("op4_url_filter", OP4_SQL)
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    hosts = pages.select(url_rules.host_and_path("url")[0].alias("host")).distinct()
+    listed = hosts.where(F.col("host").rlike(JUNK)).select(F.regexp_replace("host", SERVICES, "").alias("entry"))
+    return url_rules.judge(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op6_token_files")
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write_files(
+        table(spark, sf_dir, "documents"), scratch_path(spark, "tokens"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+    return token_files.read_documents(manifest).withColumnRenamed("key", "doc_id")
