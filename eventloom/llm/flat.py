@@ -62,6 +62,21 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         first = last
 
 
+def whole_rows(docs):
+    """Every row as one struct ``_row``, so that no helper column can clash with a column of the table."""
+    from pyspark.sql import functions as F
+
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+
+
+def row_slices(batch: pa.RecordBatch, field: int, limit: int = SLICE_BYTES) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """``slices`` of a batch of ``whole_rows`` by its text field: the rows and their texts."""
+    rows = batch.column(0)
+    texts = pa.RecordBatch.from_arrays([rows, rows.field(field)], ["rows", "texts"])
+    for part in slices(texts, "texts", limit):
+        yield part.column("rows"), part.column("texts")
+
+
 def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts one after the other, and the n + 1 offsets; a null is empty."""
     if isinstance(texts, pa.ChunkedArray):

@@ -21,8 +21,10 @@ from .flat import (
     mix,
     per_text,
     repeated,
+    row_slices,
     slices,
     text_buffer,
+    whole_rows,
     windows,
     words,
 )
@@ -218,18 +220,23 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, names: list[str],
     raise RuntimeError("the label model did not settle")
 
 
-def with_stats(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` and a struct ``_stats`` of the counts. Judged in place, batch by batch, without a shuffle."""
-    schema = T.StructType([*docs.schema.fields, T.StructField("_stats", STATS)])
+def _counts(texts: pa.Array) -> list[pa.Array]:
+    counts = measure(texts)
+    return [pa.array(counts[name], pa.int64()) for name in STATS.names]
+
+
+def stats_of(docs: DataFrame, key: str | None = None, text: str = "text") -> DataFrame:
+    """The counts of ``STATS`` for every text, behind the key if one is named. Judged in place, without a shuffle."""
+    keys = [docs.schema[key]] if key else []
+    narrow = docs.select(*[F.col(f.name) for f in keys], F.col(text).alias("_text"))
 
     def add(batches):
         for batch in batches:
-            for part in slices(batch, text):
-                counts = measure(part.column(text))
-                stats = pa.StructArray.from_arrays([pa.array(counts[f.name], pa.int64()) for f in STATS.fields], STATS.names)
-                yield pa.RecordBatch.from_arrays([*part.columns, stats], [*part.schema.names, "_stats"])
+            for part in slices(batch, "_text"):
+                columns = part.columns[:-1] + _counts(part.column("_text"))
+                yield pa.RecordBatch.from_arrays(columns, [*part.schema.names[:-1], *STATS.names])
 
-    return docs.mapInArrow(add, schema)
+    return narrow.mapInArrow(add, T.StructType([*keys, *STATS.fields]))
 
 
 def fit(stats: DataFrame) -> LabelModel:
@@ -248,7 +255,7 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: f
     posterior is ``threshold`` or more. A null or empty text has no words and fails; repeated rows get the same
     verdict; an empty table gives no rows; other columns are not read. The model is fitted on all rows.
     """
-    stats = with_stats(docs.select(F.col(key), F.col(text)), text).select(key, "_stats.*")
+    stats = stats_of(docs, key, text)
     model = fit(stats)
     votes = rules()
     failed = base_failed()
@@ -263,7 +270,14 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: f
 
 def keep_good(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, columns as they are. Texts are read twice and never shuffled."""
-    model = fit(with_stats(docs.select(F.col(text)), text).select("_stats.*"))
-    flat = with_stats(docs, text).select(F.struct(*docs.columns).alias("_row"), "_stats.*")
-    kept = flat.where(~base_failed() & (model.posterior(rules()) >= threshold))
-    return kept.select("_row.*")
+    model = fit(stats_of(docs, None, text))
+    rows = whole_rows(docs)
+    place = docs.columns.index(text)
+
+    def add(batches):
+        for batch in batches:
+            for part, texts in row_slices(batch, place):
+                yield pa.RecordBatch.from_arrays([part, *_counts(texts)], ["_row", *STATS.names])
+
+    judged = rows.mapInArrow(add, T.StructType([*rows.schema.fields, *STATS.fields]))
+    return judged.where(~base_failed() & (model.posterior(rules()) >= threshold)).select("_row.*")

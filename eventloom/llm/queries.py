@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontamination, html_text, pieces, quality, token_files, url_rules
+from . import decontamination, html_text, near_dups, pieces, quality, token_files, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -153,3 +153,14 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), scratch_path(spark, "tokens"), public_tokenizers.path("byte_bpe_50k.json")
     )
     return token_files.read_documents(manifest).withColumnRenamed("key", "doc_id")
+
+
+@query("op5_near_duplicates")
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dups.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+    return found.select(
+        F.col("_key").alias("doc_id"),
+        "n_shingles",
+        F.col("component").alias("component_id"),
+        (F.col("_key") == F.col("component")).alias("kept"),
+    )
