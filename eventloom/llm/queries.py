@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontamination, html_text, near_dups, pieces, quality, token_files, url_rules
+from . import decontamination, html_text, near_dups, pieces, quality, repeats, token_files, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -164,3 +164,8 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("component").alias("component_id"),
         (F.col("_key") == F.col("component")).alias("kept"),
     )
+
+
+@query("op7_repeats")
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(table(spark, sf_dir, "documents"))
