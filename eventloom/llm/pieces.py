@@ -307,13 +307,12 @@ class Encoder:
         get = self.known.__getitem__
         return [list(map(get, words)) for words in cut]
 
+    def ids_of(self, places: list[int]) -> np.ndarray:
+        at = np.array(places, np.int64)
+        return np.append(self.ids[ragged(self.starts[at], self.starts[at + 1] - self.starts[at])], self.end)
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        out = []
-        for places in self.numbers(texts):
-            at = np.array(places, np.int64)
-            ids = self.ids[ragged(self.starts[at], self.starts[at + 1] - self.starts[at])]
-            out.append(np.append(ids, self.end))
-        return out
+        return [self.ids_of(places) for places in self.numbers(texts)]
 
     def decoded(self, places: list[int]) -> str:
         raw = b"".join(map(self.raw.__getitem__, places))
@@ -323,7 +322,6 @@ class Encoder:
         """Count of ids, digest of the decimal ids and digest of the decoded text."""
         counts, of_ids, of_text = [], [], []
         end = str(self.end).encode()
-        sizes = None
         numbered = self.numbers(texts)
         sizes = np.diff(self.starts)
         for places in numbered:
@@ -352,9 +350,11 @@ def encode(docs: DataFrame, model_file: str, end: int = 2, key: str = "doc_id",
         encoder = Encoder(_model(model_file), end)
         for batch in batches:
             for part in slices(batch, text):
-                texts = [t or "" for t in part.column(text).to_pylist()]
-                ids = pa.array(encoder.encode(texts), pa.list_(pa.int32()))
-                plain = pa.array([encoder.decoded(places) for places in encoder.numbers(texts)], pa.string())
+                numbered = encoder.numbers([t or "" for t in part.column(text).to_pylist()])
+                ids = [encoder.ids_of(places) for places in numbered]
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
+                plain = pa.array([encoder.decoded(places) for places in numbered], pa.string())
                 yield pa.RecordBatch.from_arrays([part.column(key), ids, plain], [key, "ids", "decoded"])
 
     return docs.select(F.col(key), F.col(text)).mapInArrow(run, schema)
