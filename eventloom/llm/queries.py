@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontamination, html_text, near_dups, pieces, quality, repeats, token_files, url_rules
+from . import decontamination, html_text, near_dups, pieces, pitman_yor, quality, repeats, token_files, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -169,3 +169,8 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_repeats")
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.report(table(spark, sf_dir, "documents"))
+
+
+@query("op3_pitman_yor")
+def op3_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(table(spark, sf_dir, "documents"))
