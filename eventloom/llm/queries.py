@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontamination, html_text, near_dups, pieces, pitman_yor, quality, repeats, token_files, url_rules
+from . import decontamination, html_text, near_dups, pieces, pitman_yor, quality, repeats, token_files, url_rules, warc_audit
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -174,3 +174,23 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_pitman_yor")
 def op3_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.score(table(spark, sf_dir, "documents"))
+
+
+OP2_SQL = """
+SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS n_bytes, sha256(coalesce(html, '')) AS payload_sha256,
+       page_id % 53 = 7 AS corrupt
+FROM pages
+"""
+
+
+@query("op2_warc_audit", OP2_SQL)
+def op2_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages in WARC files, a replica in which some records are damaged, and which records the audit finds."""
+    first, second = scratch_path(spark, "warc"), scratch_path(spark, "replica")
+    index = warc_audit.write_warc(table(spark, sf_dir, "pages"), first)
+    warc_audit.copy_replica(index, first, second, F.col("key") % 53 == 7)
+    corrupt = warc_audit.audit(index, first, second).withColumn("corrupt", F.lit(True))
+    read = warc_audit.payloads(index, first).join(corrupt, ["file", "offset"], "left")
+    return read.select(
+        F.col("key").alias("page_id"), "n_bytes", "payload_sha256", F.coalesce("corrupt", F.lit(False)).alias("corrupt")
+    )
