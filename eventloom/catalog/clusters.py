@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from ..functions.columns import prefixed
-from ..functions.vectors import squared_distance
+from ..functions.vectors import squared_distance, squared_length, total
 from ..operators import cluster as C
 from ..operators import graph as G
 from ..operators import represent as R
@@ -111,7 +112,7 @@ def edges_file(spark, sf):
 
 @query("read_cluster_profile", f"SELECT cluster, rank::BIGINT AS rank, feature, round(appearance, 6) AS appearance FROM ({PROFILE_SQL})")
 def profile_file(spark, sf):
-    """The profile written as the wide file (one row a rank, so one small file) and read back."""
+    """The profile written as wide files (one row a rank) and read back."""
     rows = part_profile(spark, sf)
     wide = rows.groupBy("rank").pivot("cluster", list(range(1, 11))).agg(
         F.first("feature").alias("feature"), F.first("appearance").alias("appereance")
@@ -120,7 +121,8 @@ def profile_file(spark, sf):
         F.col(f"{i}_{kind}").alias(f"{kind}_Centroid{i}") for i in range(1, 11) for kind in ("feature", "appereance")
     ]
     path = scratch_path(spark, "profile")
-    wide.coalesce(1).sortWithinPartitions("rank").select(*cells).write.csv(path, header=True)
+    # several files: their names follow the ranges of the rank
+    wide.repartitionByRange(4, "rank").sortWithinPartitions("rank").select(*cells).write.csv(path, header=True)
     return read_cluster_profile(spark, path).withColumn("appearance", F.round("appearance", 6))
 
 
@@ -130,44 +132,87 @@ def clusters_graph(spark, sf):
     carry = ["o_orderpriority", "o_orderstatus"]
     rows = orders_training(spark, sf, carry).rows
     _, labelled = C.kmeans_cosine(rows, "features", C.ACTOR_CLUSTERS)
-    return actor_graph(labelled, "o_orderkey", ["o_orderpriority"], "o_orderstatus")
+    return actor_graph(labelled, "o_orderkey", ["o_orderpriority"], "o_orderstatus", top=100)
 
 
-@query("kmeans_cosine")
+@query("kmeans_cosine", "SELECT o_orderkey, true AS nearest FROM orders")
 def cosine(spark, sf):
-    _, labelled = C.kmeans_cosine(orders_training(spark, sf).rows, "features", C.ACTOR_CLUSTERS)
-    return labelled.select("o_orderkey", "cluster")
+    """Every order, and whether its label is the centre of greatest cosine to its standardised vector."""
+    from pyspark.ml.feature import StandardScaler
 
+    rows = orders_training(spark, sf).rows
+    model, labelled = C.kmeans_cosine(rows, "features", C.ACTOR_CLUSTERS)
+    scaler = StandardScaler(inputCol="features", outputCol="s", withMean=True, withStd=True).fit(rows)
+    centres = F.lit([[float(x) for x in c] for c in model.clusterCenters()])
+    product = lambda a, b: total(F.zip_with(a, b, lambda x, y: x * y))
+    near = F.transform(centres, lambda c: product(vector_to_array("s"), c) / F.sqrt(squared_length(c)))
+    scaled = scaler.transform(labelled).select("o_orderkey", "cluster", near.alias("near"))
+    return scaled.select("o_orderkey", (F.get("near", "cluster") >= F.array_max("near") - 1e-9).alias("nearest"))
 
-@query("kmeans_sweep")
+
+@query("kmeans_sweep", "SELECT k::INTEGER AS k, true AS least, true AS below_total FROM unnest(range(2, 11)) t(k)")
 def sweep(spark, sf):
-    return C.kmeans_sweep(vectors(spark, sf))
+    """The nine k: whether the cost is that of the final labels for the same k and seed, and below the total."""
+    rows = settle(vectors(spark, sf))
+    whole = rows.select(Summarizer.mean(F.col("features")).alias("m")).select(vector_to_array("m").alias("m")).first()["m"]
+    spread = rows.agg(F.sum(squared_distance(vector_to_array("features"), F.lit([float(x) for x in whole])))).first()[0]
+    costs = {r["k"]: r["wcss"] for r in C.kmeans_sweep(rows).collect()}
+    out = []
+    for k, cost in costs.items():
+        model, labelled = C.kmeans_final(rows, "features", k, C.SWEEP_SEED)
+        exact = C.wcss(labelled, "features", "cluster_label", C.centres_of(model, spark)).first()["wcss"]
+        # another partitioning gives another local optimum: the costs agree within a few percent
+        out.append((k, abs(cost - exact) <= 0.1 * exact, cost <= spread + 1e-9))
+    return spark.createDataFrame(out, "k int, least boolean, below_total boolean")
+
+
+def chosen_k(rows) -> int:
+    return C.elbow_k(C.kmeans_sweep(rows))
 
 
-@query("kmeans_final")
+@query("kmeans_final", "SELECT vec_id, true AS nearest FROM embeddings")
 def final(spark, sf):
-    _, labelled = C.kmeans_final(vectors(spark, sf).persist(), "features", 8)
-    return labelled.select("vec_id", "cluster_label")
+    """Every vector under the k of the elbow, and whether its label is its nearest centre."""
+    rows = settle(vectors(spark, sf))
+    model, labelled = C.kmeans_final(rows, "features", chosen_k(rows))
+    centres = F.lit([[float(x) for x in c] for c in model.clusterCenters()])
+    far = F.transform(centres, lambda c: squared_distance(vector_to_array("features"), c))
+    measured = labelled.select("vec_id", "cluster_label", far.alias("far"))
+    return measured.select("vec_id", (F.get("far", "cluster_label") <= F.array_min("far") + 1e-9).alias("nearest"))
 
 
-@query("gmm_labels")
+@query("gmm_labels", "SELECT vec_id, true AS labelled FROM embeddings")
 def mixture(spark, sf):
-    from pyspark.ml.feature import PCA
+    """Mixture over the whole vectors, as many components as the elbow's k; every vector has one of them."""
+    rows = settle(vectors(spark, sf))
+    k = chosen_k(rows)
+    labels = C.gmm_labels(rows.select("vec_id", "features"), "features", k)
+    return labels.select("vec_id", F.col("gmm_label").between(0, k - 1).alias("labelled"))
 
-    rows = vectors(spark, sf)
-    small = PCA(k=8, inputCol="features", outputCol="pc").fit(rows).transform(rows)
-    return C.gmm_labels(small.select("vec_id", "pc").persist(), "pc", 8).select("vec_id", "gmm_label")
 
-
-@query("project_2d")
+@query(
+    "project_2d",
+    "SELECT label::BIGINT AS cluster, count(*)::BIGINT AS points, true AS ordered, true AS uncorrelated, true AS within_total "
+    "FROM embeddings GROUP BY 1",
+)
 def projection(spark, sf):
-    return C.project_2d(vectors(spark, sf), "features", "label")
+    """Points by given cluster; the first axis has the larger variance, both are uncorrelated, and together they
+    have no more than the vectors."""
+    rows = settle(vectors(spark, sf))
+    flat = settle(C.project_2d(rows, "features", "label"))
+    v = flat.agg(F.var_samp("d1"), F.var_samp("d2"), F.covar_samp("d1", "d2")).first()
+    spread = rows.select(Summarizer.variance(F.col("features")).alias("v")).select(total(vector_to_array("v")).alias("t"))
+    whole = spread.first()["t"]
+    facts = v[0] >= v[1], abs(v[2]) <= 1e-6 * v[0], v[0] + v[1] <= whole * (1 + 1e-9)
+    names = "ordered", "uncorrelated", "within_total"
+    counts = flat.groupBy(F.col("cluster").cast("bigint").alias("cluster")).agg(F.count(F.lit(1)).alias("points"))
+    return counts.select("*", *[F.lit(bool(f)).alias(n) for f, n in zip(facts, names)])
 
 
 @query("save_model", "SELECT count(*)::BIGINT AS points, 0::BIGINT AS different FROM embeddings")
 def model_round_trip(spark, sf):
     """Labels of a stored and re-read model against those of the model itself."""
-    rows = vectors(spark, sf).persist()
+    rows = settle(vectors(spark, sf))
     model = C.fit_kmeans(rows, "features", C.ACTOR_CLUSTERS, C.FINAL_SEED, label="before")
     path = scratch_path(spark, "model")
     save_model(model, path)
@@ -219,19 +264,35 @@ def closest_ten(spark, sf):
     return best.select("vec_id", "label", F.round("dist", 6).alias("dist"), "rank")
 
 
-@query("diverse_closest_per_cluster")
+# Noise of seed 0: md5 of "seed:cluster:draw:position", two times twelve digits, Box-Muller.
+DRAWS_SQL = f"""
+  WITH p AS ({POINTS_SQL}), m AS ({CENTRES_SQL}),
+  h AS (SELECT label, draw, pos, c, md5('0:' || label || ':' || draw || ':' || (pos - 1)) AS h FROM m, (SELECT unnest(range(10)) AS draw)),
+  noisy AS (SELECT label, draw, pos, c + 0.2 * sqrt(-2 * ln(1 - ('0x' || substr(h, 1, 12))::BIGINT / 281474976710656.0::DOUBLE))
+    * cos(2 * pi() * (('0x' || substr(h, 13, 12))::BIGINT / 281474976710656.0::DOUBLE)) AS c FROM h),
+  far AS (SELECT vec_id, p.label, draw, sqrt(sum((x - c) * (x - c))) AS dist FROM p JOIN noisy n ON p.label = n.label AND p.pos = n.pos
+    GROUP BY 1, 2, 3)
+"""
+
+
+@query(
+    "diverse_closest_per_cluster",
+    DRAWS_SQL
+    + """SELECT label, vec_id, min(draw)::INTEGER AS draw FROM (SELECT *, row_number() OVER (PARTITION BY label, draw
+         ORDER BY dist, vec_id) AS r FROM far) WHERE r = 1 GROUP BY 1, 2""",
+)
 def diverse(spark, sf):
     rows = points(spark, sf)
     centres = given_centres(rows)
     return R.diverse_closest_per_cluster(rows, "embedding", centres, cluster="label", ident="vec_id")
 
 
-@query("draws_join")
+@query("draws_join", DRAWS_SQL + "SELECT vec_id, draw::INTEGER AS draw, round(dist, 6) AS dist FROM far")
 def draws(spark, sf):
     rows = points(spark, sf)
-    noisy = R.noisy_centres(given_centres(rows), "label")
+    noisy = settle(R.noisy_centres(given_centres(rows), "label"))
     far = R.draws_join(rows, "embedding", "label", noisy)
-    return far.select("vec_id", F.posexplode("dists").alias("draw", "dist"))
+    return far.select("vec_id", F.posexplode("dists").alias("draw", "dist")).withColumn("dist", F.round("dist", 6))
 
 
 @query(
@@ -241,7 +302,7 @@ def draws(spark, sf):
 def distinct_samples(spark, sf):
     """One row per distinct text of a source, the first id: what drops repeated representatives."""
     rows = table(spark, sf, "documents").select("source", "doc_id", F.md5("text").alias("text"))
-    return rows.groupBy("source", "text").agg(F.min("doc_id").alias("doc_id"))
+    return R.dedupe(rows, ["source", "text"], "doc_id")
 
 
 @query(
@@ -313,8 +374,6 @@ def elbow(spark, sf):
 )
 def distance_to_mean(spark, sf):
     """Distance of every vector to the overall mean (a single row on the driver)."""
-    from pyspark.ml.stat import Summarizer
-
     rows = points(spark, sf).withColumn("v", F.col("embedding").cast("array<double>"))
     mean = rows.agg(vector_to_array(Summarizer.mean(array_to_vector("v"))).alias("m")).first()["m"]
     centre = F.array(*[F.lit(float(x)) for x in mean])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.columns import prefixed, row_token_set
-from ..functions.vectors import dense
+from ..functions.vectors import dense, set_positions
 from ..operators.features import (
     combine_and_normalise,
     distinct_sorted_codes,
@@ -17,7 +17,6 @@ from ..operators.features import (
     vocab_by_coverage,
     vocab_lookup_join,
     vocabulary,
-    vocabulary_terms,
 )
 from ..functions.columns import WHITESPACE
 from ..plans.actor_clusters import training_set
@@ -25,6 +24,9 @@ from ..session import settle
 from .registry import query, table
 
 SEP = "[ \\n]"
+# Values that the two columns of the orders table have.
+STATUSES = ("F", "O", "P")
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 _STRIP = "chr(32)" + "".join(f" || chr({ord(c)})" for c in WHITESPACE if c != " ")
 
 PIECES_SQL = "SELECT doc_id, unnest(regexp_split_to_array(text, '[ \\n]')) AS piece FROM documents"
@@ -104,17 +106,17 @@ def multi_hot_rows(spark, sf):
 
 @query(
     "multi_hot_vectors",
-    """SELECT p_partkey, count(DISTINCT piece)::BIGINT AS ones
-       FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS piece FROM part) GROUP BY 1""",
+    """WITH p AS (SELECT DISTINCT p_partkey, unnest(string_split(p_name, ' ')) AS piece FROM part),
+       v AS (SELECT piece, row_number() OVER (ORDER BY piece) - 1 AS idx FROM (SELECT DISTINCT piece FROM p))
+       SELECT p_partkey, string_agg(idx::VARCHAR, ',' ORDER BY idx) AS ones FROM p JOIN v USING (piece) GROUP BY 1""",
 )
 def multi_hot_vectors(spark, sf):
-    """The vector form over the whole vocabulary: as many ones as distinct words."""
+    """The vector form over the whole vocabulary: the positions that are set."""
     rows = table(spark, sf, "part").select("p_partkey", "p_name")
     words = token_counts(rows, ["p_name"], " ", alpha_only=False)
-    terms = vocabulary_terms(vocabulary(words.select("token"), "token"))
-    hot = multi_hot(rows, row_token_set(["p_name"], " "), terms, "v")
-    ones = F.aggregate(dense(hot, "v"), F.lit(0.0), lambda a, x: a + x).cast("bigint")
-    return hot.select("p_partkey", ones.alias("ones"))
+    vocab = settle(vocabulary(words.select("token"), "token"))
+    hot = multi_hot(rows, "p_partkey", row_token_set(["p_name"], " "), vocab, "v")
+    return hot.select("p_partkey", F.array_join(set_positions(dense(hot, "v")), ",").alias("ones"))
 
 
 @query(
@@ -167,13 +169,15 @@ def assembled(spark, sf):
 
 @query(
     "training_set_wide",
-    """SELECT o_orderkey, round((30 * month(o_orderdate) + day(o_orderdate)) / 365.0, 6)::DOUBLE AS time,
-       (o_orderstatus = 'F')::INTEGER AS "event_F", (o_orderstatus = 'O')::INTEGER AS "event_O",
-       (o_orderstatus = 'F')::INTEGER AS "actor_F", (o_orderstatus = 'O')::INTEGER AS "actor_O" FROM orders""",
+    "SELECT o_orderkey, round((30 * month(o_orderdate) + day(o_orderdate)) / 365.0, 6)::DOUBLE AS time, "
+    + ", ".join(f"(o_orderstatus = '{x}')::INTEGER AS \"{kind}_{x}\"" for x in STATUSES for kind in ("event", "actor"))
+    + ", "
+    + ", ".join(f"(o_orderpriority = '{x}')::INTEGER AS \"actor_{x}\"" for x in PRIORITIES)
+    + " FROM orders",
 )
 def training_wide(spark, sf):
     wide = orders_training(spark, sf).wide("o_orderkey")
-    return wide.select("o_orderkey", F.round("time", 6).alias("time"), "event_F", "event_O", "actor_F", "actor_O")
+    return wide.withColumn("time", F.round("time", 6))
 
 
 @query(
@@ -187,8 +191,8 @@ def training_wide(spark, sf):
 def combined(spark, sf):
     rows = table(spark, sf, "embeddings")
     rows = rows.withColumn("code", F.col("label").cast("string"))
-    terms = vocabulary_terms(vocabulary(distinct_sorted_codes(rows, "code"), "code"), "code")
-    hot = multi_hot(rows, F.array("code"), terms, "hot")
+    vocab = settle(vocabulary(distinct_sorted_codes(rows, "code"), "code"))
+    hot = multi_hot(rows, "vec_id", F.array("code"), vocab, "hot", "code")
     from pyspark.ml.functions import array_to_vector
 
     hot = hot.withColumn("vec", array_to_vector(F.col("embedding").cast("array<double>")))

@@ -15,10 +15,10 @@ from pyspark.sql import types as T
 
 from ..functions.columns import day_before, folder_of
 from ..schemas import EVENTS, GKG
-from ..session import scratch_path
+from ..session import scratch_path, settle
 from ..sources import readers, sinks
 from ..sources.zips import member_lines, parse_lines
-from ..streaming.arrivals import files_of_previous_day, load_files, on_new_file
+from ..streaming.arrivals import files_of_previous_day, ingest, load_files, on_new_file
 from .registry import ACTIVITY_SQL, activity, query, table
 
 ROW = T.StructType(
@@ -110,16 +110,17 @@ def events_file(spark, sf):
 
 
 def gkg_rows(spark, sf) -> DataFrame:
-    """Documents as knowledge-graph rows; the pages of the same and the next number are their URLs."""
+    """Documents as knowledge-graph rows; two pages, found by the document's number modulo the pages, are the URLs."""
     pages = table(spark, sf, "pages").select("page_id", "url")
+    n = pages.count()
     docs = table(spark, sf, "documents")
-    same = pages.select(F.col("page_id").alias("doc_id"), F.col("url").alias("u1"))
-    after = pages.select((F.col("page_id") - 1).alias("doc_id"), F.col("url").alias("u2"))
-    # documents and pages have one row a number, so neither join has a hot key
-    rows = docs.join(same, "doc_id", "left").join(after, "doc_id", "left")
-    # the short words of the whole text stand in for theme codes
-    words = F.regexp_extract_all("text", F.lit(r"(\p{L}+)"), F.lit(1))
-    words = F.array_join(F.filter(words, lambda w: w.rlike(r"\A[a-z]{1,3}\z")), ";")
+    same = pages.select(F.col("page_id").alias("p1"), F.col("url").alias("u1"))
+    after = pages.select(F.col("page_id").alias("p2"), F.col("url").alias("u2"))
+    # the remainders spread evenly over the pages, so neither join has a hot key
+    docs = docs.withColumn("p1", F.col("doc_id") % n).withColumn("p2", (F.col("doc_id") + 1) % n)
+    rows = docs.join(same, "p1", "left").join(after, "p2", "left")
+    # the words of the whole text stand in for theme codes
+    words = F.array_join(F.regexp_extract_all("text", F.lit(r"(\p{L}+)"), F.lit(1)), ";")
     urls = F.concat_ws("<UDIV>", "u1", "u2")
     values = {
         "DATE": F.lit("20240822"),
@@ -136,17 +137,17 @@ def gkg_rows(spark, sf) -> DataFrame:
 GKG_SQL = """
   SELECT (d.n_chars // 100)::BIGINT AS NUMARTS, d.lang AS PERSONS, d.source AS ORGANIZATIONS, d.doc_id::VARCHAR AS SOURCES,
          nullif(concat_ws('<UDIV>', a.url, b.url), '') AS SOURCEURLS,
-         coalesce(length(array_to_string([w FOR w IN regexp_extract_all(d.text, '\\p{L}+') IF regexp_full_match(w, '[a-z]{1,3}')], ';')), 0)::INTEGER AS theme_chars
-  FROM documents d LEFT JOIN pages a ON a.page_id = d.doc_id LEFT JOIN pages b ON b.page_id - 1 = d.doc_id
+         nullif(array_to_string(regexp_extract_all(d.text, '\\p{L}+'), ';'), '') AS THEMES
+  FROM documents d LEFT JOIN pages a ON a.page_id = d.doc_id % (SELECT count(*) FROM pages)
+    LEFT JOIN pages b ON b.page_id = (d.doc_id + 1) % (SELECT count(*) FROM pages)
 """
 
 
 def _gkg_view(rows: DataFrame) -> DataFrame:
-    columns = ["NUMARTS", "PERSONS", "ORGANIZATIONS", "SOURCES", "SOURCEURLS"]
-    return rows.select(*columns, F.coalesce(F.length("THEMES"), F.lit(0)).alias("theme_chars"))
+    return rows.select("NUMARTS", "PERSONS", "ORGANIZATIONS", "SOURCES", "SOURCEURLS", "THEMES")
 
 
-def _write_gkg(spark, sf, path: str, suffix: str = ".csv") -> None:
+def _write_gkg(spark, sf, path: str) -> None:
     gkg_rows(spark, sf).write.csv(
         path, sep="\t", header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
@@ -201,19 +202,61 @@ def calendar_file(spark, sf):
     return readers.read_calendar(spark, path)
 
 
-@query(
-    "land_raw",
-    """SELECT strftime(ts, '%Y%m%d') AS day, count(*)::BIGINT AS lines,
-       sum(length(concat_ws(chr(9), event_id::VARCHAR, user_id::VARCHAR, event_type, strftime(ts, '%Y%m%d'))))::BIGINT AS chars
-       FROM events GROUP BY 1""",
-)
+@query("land_raw", ROW_SQL)
 def landed(spark, sf):
+    """Every landed line, cut into its fields again."""
     path = scratch_path(spark, "landing")
-    sinks.land_raw(member_lines(zipped_days(_rows(spark, sf).drop("value"))), path)
+    sinks.land_raw(member_lines(zipped_days(_rows(spark, sf))), path)
+    fields = F.split("value", "\t", -1)
     lines = spark.read.format("text").load(path)
-    return lines.groupBy(F.substring(F.col("member").cast("string"), 1, 8).alias("day")).agg(
-        F.count(F.lit(1)).alias("lines"), F.sum(F.length("value")).alias("chars")
+    return lines.select(*[fields[i].cast(f.dataType).alias(f.name) for i, f in enumerate(ROW.fields)])
+
+
+@query(
+    "quarantine_stream",
+    """SELECT doc_id::VARCHAR AS SOURCES, doc_id % 7 = 3 AS rejected FROM documents""",
+)
+def quarantined_stream(spark, sf):
+    """Files with bad lines (an article count that is no number) through the stream: what is set aside, what is not."""
+    path, out, aside = (scratch_path(spark, name) for name in ("arrivals", "arrived", "rejected"))
+    bad = F.col("SOURCES").cast("bigint") % 7 == 3
+    rows = gkg_rows(spark, sf).withColumn("NUMARTS", F.when(bad, F.lit("many")).otherwise(F.col("NUMARTS").cast("string")))
+    rows.write.csv(path, sep="\t", header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    stream = on_new_file(
+        spark, path, scratch_path(spark, "stream"), lambda good: sinks.append_table(good, out), files_per_batch=64, rejected=aside
+    )
+    stream.awaitTermination()
+    good = spark.read.schema(GKG).parquet(out).select("SOURCES", F.lit(False).alias("rejected"))
+    lines = spark.read.parquet(aside).select(F.split(readers.CORRUPT, "\t", -1)[9].alias("SOURCES"), F.lit(True).alias("rejected"))
+    return good.unionByName(lines)
+
+
+INDEX_DAY = "20240115"
+
+
+@query(
+    "ingest",
+    f"""SELECT event_id, user_id, event_type, CASE WHEN event_type <> 'error' THEN value END AS value,
+        strftime(ts, '%Y%m%d') AS day, event_type = 'error' AS rejected
+        FROM events WHERE strftime(ts, '%Y%m%d') <> '{INDEX_DAY}'""",
+)
+def ingested(spark, sf):
+    """The whole load from files: an index page that leaves one day out, landed archives, text, table, bad lines."""
+    rows = _rows(spark, sf)
+    value = F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("value").cast("string"))
+    archives = settle(zipped_days(rows.withColumn("value", value)))
+    link = F.concat(F.lit('<A HREF="'), F.element_at(F.split("path", "/"), -1), F.lit('">'))
+    landing, stored, aside = (scratch_path(spark, name) for name in ("landing", "table", "rejected"))
+    for _ in range(2):  # a second run replaces the files' rows
+        ingest(archives.select(link.alias("value")), archives, landing, stored, aside, ROW, ["export"], [INDEX_DAY])
+    columns = [f.name for f in ROW.fields]
+    good = spark.read.schema(ROW).parquet(stored).select(*columns, F.lit(False).alias("rejected"))
+    fields = F.split(readers.CORRUPT, "\t", -1)
+    bad = spark.read.parquet(aside).select(
+        *[(F.lit(None) if f.name == "value" else fields[i]).cast(f.dataType).alias(f.name) for i, f in enumerate(ROW.fields)],
+        F.lit(True).alias("rejected"),
     )
+    return good.unionByName(bad)
 
 
 def _stored(spark, sf) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import dense, total
 from ..operators.cluster import project_2d
-from ..plans.relevant_news import news_clusters, news_vectors, relevant_news
+from ..operators.text import one_text_per_url
+from ..plans.relevant_news import most_covered_news, news_clusters, news_vectors, relevant_news
 from ..session import settle
 from .ingestion import gkg_rows
 from .registry import query
@@ -14,7 +15,7 @@ from .texts import page_texts
 
 
 def _inputs(spark, sf):
-    return gkg_rows(spark, sf), page_texts(spark, sf, closed_only=False).select("url", "text")
+    return gkg_rows(spark, sf), one_text_per_url(page_texts(spark, sf, closed_only=False))
 
 
 @query("news_vectors")
@@ -35,6 +36,13 @@ def relevant(spark, sf):
     return relevant_news(news_clusters(gkg, texts), texts)
 
 
+@query("most_covered_news")
+def most_covered(spark, sf):
+    gkg, texts = _inputs(spark, sf)
+    texts = settle(texts)
+    return most_covered_news(news_clusters(gkg, texts), texts)
+
+
 @query("dimension_reduction")
 def reduced(spark, sf):
     gkg, texts = _inputs(spark, sf)

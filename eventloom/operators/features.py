@@ -5,9 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import CountVectorizerModel, Normalizer, VectorAssembler
+from pyspark.ml.feature import Normalizer, VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import (
     day_of,
@@ -19,12 +21,9 @@ from ..functions.columns import (
     strip,
 )
 from ..schemas import COVERAGE, TOKEN_COLUMNS, TOKEN_SEPARATOR
-from ..session import settle
+from ..session import scratch_path, settle
 from .spread import lookup_join, number_rows
 
-# A vocabulary that becomes vector positions lives on the driver, as the cluster centres do.
-MAX_VECTOR_TERMS = 1_000_000
-
 
 def time_feature(df: DataFrame, date: Column | None = None, name: str = "time") -> DataFrame:
     return df.withColumn(name, season_position(day_of("SQLDATE") if date is None else date))
@@ -120,14 +119,6 @@ def vocabulary(
     return numbered.withColumn("idx", F.col("_n") - 1).drop("_n")
 
 
-def vocabulary_terms(vocab: DataFrame, value: str = "token", limit: int = MAX_VECTOR_TERMS) -> list[str]:
-    """The terms in index order, for a vector model. Wider vocabularies stay in the long form."""
-    rows = vocab.select(F.col(value).cast("string").alias("term"), "idx").orderBy("idx").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} terms: use the long form (multi_hot_long)")
-    return [r["term"] for r in rows]
-
-
 def vocab_lookup_join(df: DataFrame, vocab: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
     """Attach ``idx`` of the vocabulary; values outside it drop out."""
     return lookup_join(df, vocab, key, "inner", by)
@@ -146,24 +137,50 @@ def multi_hot_long(
     return vocab_lookup_join(tokens, vocab, "token", [ident]).select(ident, "token", "idx")
 
 
-def multi_hot(df: DataFrame, values: Column, terms: Sequence[str], name: str) -> DataFrame:
-    """Sparse binary vector over ``terms`` of an array of texts; unknown texts set nothing."""
-    if not terms:
-        raise ValueError("an empty vocabulary gives no vector")
-    model = CountVectorizerModel.from_vocabulary(list(terms), inputCol="_values", outputCol=name)
-    present = F.coalesce(F.array_compact(values), F.array().cast("array<string>"))
-    return model.setBinary(True).transform(df.withColumn("_values", present)).drop("_values")
+def sparse_vectors(rows: DataFrame, cells: DataFrame, ident: str, width: int, name: str) -> DataFrame:
+    """``rows`` with the sparse vector of each row's ``cells`` (ident, position, value); none give zeros.
+
+    The cells of a row are gathered by its unique id and written in the storage form of a vector, so a vocabulary
+    of any size needs no list on the driver and no Python.
+    """
+    cell = F.struct(F.col("position").cast("int").alias("position"), F.col("value").cast("double").alias("value"))
+    kind = "array<struct<position:int,value:double>>"
+    lists = cells.groupBy(ident).agg(F.array_sort(F.collect_list(cell)).cast(kind).alias("_c"))
+    full = rows.join(lists, ident, "left").withColumn("_c", F.coalesce("_c", F.array().cast(kind)))
+    stored = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(width).cast("int").alias("size"),
+        F.transform("_c", lambda c: c["position"]).alias("indices"),
+        F.transform("_c", lambda c: c["value"]).alias("values"),
+    )
+    path = scratch_path(rows.sparkSession, "vectors")
+    full.withColumn(name, stored).drop("_c").write.parquet(path)
+    schema = T.StructType([*(f for f in rows.schema.fields if f.name != name), T.StructField(name, VectorUDT())])
+    return rows.sparkSession.read.schema(schema).parquet(path)
+
+
+def vocabulary_width(vocab: DataFrame) -> int:
+    return (vocab.agg(F.max("idx")).first()[0] or 0) + 1 if not vocab.isEmpty() else 0
+
+
+def multi_hot(df: DataFrame, ident: str, values: Column, vocab: DataFrame, name: str, key: str = "token") -> DataFrame:
+    """Sparse binary vector over the vocabulary ``(key, idx)`` of an array of texts; unknown texts set nothing."""
+    present = df.select(ident, F.explode(F.array_distinct(F.array_compact(values))).alias(key))
+    cells = vocab_lookup_join(present, vocab.select(key, "idx"), key, [ident])
+    cells = cells.select(ident, F.col("idx").alias("position"), F.lit(1.0).alias("value"))
+    return sparse_vectors(df, cells, ident, vocabulary_width(vocab), name)
 
 
 def multi_hot_tokens(
     df: DataFrame,
-    terms: Sequence[str],
+    ident: str,
+    vocab: DataFrame,
     cols: Sequence[str] = TOKEN_COLUMNS,
     separator: str = TOKEN_SEPARATOR,
     name: str = "multi_hot",
     strip_on_match: bool = False,
 ) -> DataFrame:
-    return multi_hot(df, row_token_set(cols, separator, strip_on_match), terms, name)
+    return multi_hot(df, ident, row_token_set(cols, separator, strip_on_match), vocab, name)
 
 
 def code_array(cols: Sequence[str]) -> Column:
@@ -172,22 +189,24 @@ def code_array(cols: Sequence[str]) -> Column:
 
 def encode_actor_pair(
     df: DataFrame,
-    terms: Sequence[str],
+    ident: str,
+    vocab: DataFrame,
     cols: Sequence[str] = ("Actor1Name", "Actor2Name"),
     name: str = "actor_vector",
 ) -> DataFrame:
     """Binary vector with the positions of both actors set."""
-    return multi_hot(df, code_array(cols), terms, name)
+    return multi_hot(df, ident, code_array(cols), vocab.withColumn("value", F.col("value").cast("string")), name, "value")
 
 
 def encode_codes(
     df: DataFrame,
-    terms: Sequence[str],
+    ident: str,
+    vocab: DataFrame,
     cols: Sequence[str] = ("EventRootCode", "EventBaseCode", "EventCode"),
     name: str = "event_vector",
 ) -> DataFrame:
     """Binary vector over the root codes; base and full codes count only if they are root codes."""
-    return multi_hot(df, code_array(cols), terms, name)
+    return multi_hot(df, ident, code_array(cols), vocab.withColumn("code", F.col("code").cast("string")), name, "code")
 
 
 def encode_long(

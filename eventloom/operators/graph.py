@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import prefixed
+from ..session import settle
 from .spread import lookup_join
 
 EXCLUDED = "UNITED_STATES"
-BLOCKS = 8
+# Pairs that one cell makes at most, roughly.
+CELL_PAIRS = 1_000_000
 
 
 def actor_features(profile: DataFrame, exclude: str = EXCLUDED) -> DataFrame:
@@ -27,14 +31,17 @@ def top_event_per_centroid(profile: DataFrame) -> DataFrame:
     return event_features(profile).groupBy("cluster").agg(best.alias("event"))
 
 
-def ordered_pairs_self_join(actors: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+def ordered_pairs_self_join(actors: DataFrame, cell_pairs: int = CELL_PAIRS) -> DataFrame:
     """All ordered pairs of a cluster's actors by position, n(n-1) of them: ``(cluster, src, dst)``.
 
-    The pairs are the result itself. They are made in ``blocks * blocks`` cells per cluster, each
-    holding a share of either side, so that no task makes the pairs of a whole cluster.
+    The pairs are the result itself. They are made in square cells, each holding a share of either side; their
+    number follows from the size of the cluster, so that a cell makes about ``cell_pairs`` however large it is.
     """
-    own = F.pmod(F.hash("rank"), F.lit(blocks))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    sizes = actors.groupBy("cluster").agg(F.count(F.lit(1)).alias("_size"))
+    sizes = settle(sizes.select("cluster", F.ceil(F.col("_size") / math.sqrt(cell_pairs)).cast("int").alias("_blocks")))
+    actors = lookup_join(actors, sizes, "cluster", by=["rank"])
+    own = F.pmod(F.hash("rank"), F.col("_blocks"))
+    every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     left = actors.select(
         "cluster", F.col("rank").alias("src_rank"), F.col("feature").alias("src"),
         own.alias("row"), every.alias("col"),

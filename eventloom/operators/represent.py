@@ -7,9 +7,9 @@ others. ``ident`` is a unique, stable row id and settles every tie.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,21 +70,25 @@ def closest_n_per_cluster(
     return near.withColumn("rank", place).where(F.col("rank") <= n)
 
 
+def normal_noise(*parts: Column | str) -> Column:
+    """Standard normal number that follows from the parts alone (their md5, Box-Muller), so that it is the same in
+    every run, for every order of the rows and in any engine."""
+    digest = F.md5(F.concat_ws(":", *[F.col(p) if isinstance(p, str) else p for p in parts]).cast("binary"))
+    # 12 hexadecimal digits each, as a share of 16**12; the first is kept above 0
+    one, two = (F.conv(F.substring(digest, at, 12), 16, 10).cast("double") / float(16**12) for at in (1, 13))
+    return F.sqrt(-2 * F.log(1 - one)) * F.cos(2 * math.pi * two)
+
+
 def noisy_centres(
     centres: DataFrame, cluster: str, draws: int = DRAWS, std: float = NOISE_STD, seed: int = 0
 ) -> DataFrame:
-    """Each centre shifted ``draws`` times by normal noise: ``(cluster, points)``.
-
-    The centres are k rows of a model on the driver; one seeded generator per cluster makes the
-    noise the same in every run and for every order of the rows.
-    """
-    rows = []
-    for row in centres.collect():
-        centre = np.asarray(row["centre"])
-        noise = np.random.default_rng([seed, int(row[cluster])]).normal(0.0, std, (draws, centre.size))
-        rows.append((row[cluster], (centre + noise).tolist()))
-    kind = centres.schema[cluster].dataType.simpleString()
-    return centres.sparkSession.createDataFrame(rows, f"{cluster} {kind}, points array<array<double>>")
+    """Each centre shifted ``draws`` times by normal noise: ``(cluster, points)``, made where the centres are."""
+    text = lambda c: c.cast("string")
+    shifted = lambda draw: F.transform(
+        "centre", lambda x, i: x + std * normal_noise(F.lit(str(seed)), text(F.col(cluster)), text(draw), text(i))
+    )
+    points = F.transform(F.sequence(F.lit(0), F.lit(draws - 1)), shifted)
+    return centres.select(cluster, points.alias("points"))
 
 
 def draws_join(df: DataFrame, vec: str, cluster: str, noisy: DataFrame, name: str = "dists") -> DataFrame:
@@ -105,7 +109,7 @@ def diverse_closest_per_cluster(
 ) -> DataFrame:
     """Nearest row to each noisy centre, without repeats: at most ``draws`` rows a cluster, with the
     first ``draw`` that chose them."""
-    noisy = noisy_centres(centres, cluster, draws, std, seed)
+    noisy = settle(noisy_centres(centres, cluster, draws, std, seed))
     far = draws_join(df.select(ident, cluster, vec, *keep), vec, cluster, noisy).drop(vec)
     best = far.groupBy(cluster).agg(
         *[F.min(F.struct(F.col("dists")[i], ident, *keep)).alias(f"_d{i}") for i in range(draws)]
@@ -120,6 +124,12 @@ def diverse_closest_per_cluster(
     )
 
 
+def dedupe(df: DataFrame, by: Sequence[str], ident: str, keep: Sequence[str] = ()) -> DataFrame:
+    """One row for each distinct ``by``: the smallest id with its ``keep``; a partial minimum, never a gathered group."""
+    best = df.groupBy(*by).agg(F.min(F.struct(ident, *keep)).alias("_b"))
+    return best.select(*by, *[F.col(f"_b.{c}").alias(c) for c in (ident, *keep)])
+
+
 def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
     """Number the rows in scan order and write them down, so that the ids never change again."""
     return settle(df.withColumn(name, F.monotonically_increasing_id()))

@@ -22,22 +22,31 @@ HOT_ROWS = 1_000_000
 SPREAD = 64
 
 
-def _bytes_of(field: T.StructField) -> Column:
-    if isinstance(field.dataType, T.StringType):
-        return F.coalesce(F.octet_length(field.name).cast("bigint"), F.lit(0)) + 24
-    if isinstance(field.dataType, VectorUDT):
-        return F.coalesce(F.size(vector_to_array(field.name)).cast("bigint"), F.lit(0)) * 8 + 24
-    if isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.ArrayType):
-        sizes = F.transform(field.name, lambda a: F.size(a).cast("bigint") * 16 + 24)
-        return F.coalesce(F.aggregate(sizes, F.lit(0).cast("bigint"), lambda x, y: x + y), F.lit(0)) + 24
-    if isinstance(field.dataType, T.ArrayType):
-        return F.coalesce(F.size(field.name).cast("bigint"), F.lit(0)) * 16 + 24
+def _bytes_of(value: Column, kind: T.DataType) -> Column:
+    """Bytes of a value of any type: what varies is measured, level by level."""
+    zero = F.lit(0).cast("bigint")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value).cast("bigint"), zero) + 24
+    if isinstance(kind, VectorUDT):
+        return F.coalesce(F.size(vector_to_array(value)).cast("bigint"), zero) * 8 + 24
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)):
+            return F.coalesce(F.size(value).cast("bigint"), zero) * 16 + 24
+        sizes = F.transform(value, lambda v: _bytes_of(v, kind.elementType))
+        return F.coalesce(F.aggregate(sizes, zero, lambda x, y: x + y), zero) + 24
+    if isinstance(kind, T.MapType):
+        keys = _bytes_of(F.map_keys(value), T.ArrayType(kind.keyType))
+        return keys + _bytes_of(F.map_values(value), T.ArrayType(kind.valueType)) + 24
+    if isinstance(kind, T.StructType):
+        parts = [_bytes_of(value.getField(f.name), f.dataType) for f in kind.fields]
+        return sum(parts, F.lit(24).cast("bigint"))
     return F.lit(16).cast("bigint")
 
 
 def measured_bytes(df: DataFrame) -> int:
     """Upper estimate of the in-memory size, from an aggregate over the rows themselves."""
-    row = sum((_bytes_of(f) for f in df.schema.fields), F.lit(16).cast("bigint"))
+    parts = [_bytes_of(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
+    row = sum(parts, F.lit(16).cast("bigint"))
     return df.agg(F.sum(row)).first()[0] or 0
 
 
@@ -49,9 +58,9 @@ def hot_keys(
     df: DataFrame, key: str, share: float = HOT_SHARE, at_least: int = HOT_ROWS
 ) -> DataFrame:
     """Keys with more than ``share`` of the rows: at most ``1/share`` of them, whatever the data."""
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col(key).isNotNull())
-    limit = max(df.count() * share, at_least)
-    return sizes.where(F.col("_rows") > limit).select(key)
+    sizes = settle(df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")))  # the rows are read once
+    limit = max((sizes.agg(F.sum("_rows")).first()[0] or 0) * share, at_least)
+    return sizes.where((F.col("_rows") > limit) & F.col(key).isNotNull()).select(key)
 
 
 def spread_join(

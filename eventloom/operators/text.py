@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from ..functions.columns import first_url, url_list
 from ..functions.paragraphs import closed_paragraph_text, paragraph_text
 from ..schemas import NO_SUMMARY
+from ..session import settle
 from .cluster import at_once
-from .spread import lookup_join
+from .spread import lookup_join, small_enough
 
 # Width of a text embedding, topics (and terms of each) per cluster, their seed,
 # sentences of a summary.
@@ -80,12 +81,21 @@ def drop_rows_without_text(df: DataFrame, texts: DataFrame, ident: str) -> DataF
     return df.join(texts.select(ident), ident, "left_semi")
 
 
+def texts_of(urls: DataFrame, texts: DataFrame, url: str = "url", text: str = "text") -> DataFrame:
+    """The rows of ``texts`` whose URL is in the one-column frame ``urls``. Few URLs travel to the texts, so that
+    the texts are read in place; many (by measured size) meet them in a join."""
+    few = small_enough(urls)
+    return texts.select(url, text).join(F.broadcast(urls) if few else urls, url, "left_semi")
+
+
 def representative_text(
     df: DataFrame, urls: str, texts: DataFrame, by: Sequence[str], name: str = "extracted_text"
 ) -> DataFrame:
     """Text of the first URL only, whether or not it has one."""
-    lookup = texts.select(F.col("url").alias("_url"), F.col("text").alias(name))
-    return lookup_join(df.withColumn("_url", first_url(urls)), lookup, "_url", "left", by).drop("_url")
+    rows = df.withColumn("_url", first_url(urls))
+    wanted = settle(rows.select(F.col("_url").alias("url")).where("url IS NOT NULL").distinct())
+    lookup = settle(texts_of(wanted, texts)).select(F.col("url").alias("_url"), F.col("text").alias(name))
+    return lookup_join(rows, lookup, "_url", "left", by).drop("_url")
 
 
 def words_of(text: Column | str) -> Column:
@@ -120,6 +130,7 @@ def top_terms(
         stop.setStopWords(list(stop_words))
     words = stop.transform(tokens.transform(df.where(F.col(text).isNotNull()).select(text)))
     words = words.select("_words").where(F.size("_words") > 0).persist()
+    counts = None
     try:
         if words.isEmpty():
             return []
@@ -133,10 +144,11 @@ def top_terms(
             learningOffset=1.0,
         ).fit(counts)
         topics = model.describeTopics(n_terms or n_topics).orderBy("topic").collect()
-        counts.unpersist()
         return [[counter.vocabulary[i] for i in t["termIndices"]] for t in topics]
     finally:
         words.unpersist()
+        if counts is not None:
+            counts.unpersist()
 
 
 def cluster_topics(
@@ -150,9 +162,11 @@ def cluster_topics(
 ) -> DataFrame:
     """``(cluster, lda_topics)`` with ``"a, b, c; d, e, f; ..."``: one distributed fit per cluster.
 
-    The list of clusters has the k labels of a model; texts never leave the executors.
+    The list of clusters has the k labels of a model; texts never leave the executors. The vocabulary of a fit is on
+    the driver: the operator is meant for the diverse sample, ten texts a cluster. Rows without a label take no part.
     """
-    labels = [r[0] for r in df.where(F.col(text).isNotNull()).select(cluster).distinct().collect()]
+    told = df.where(F.col(text).isNotNull() & F.col(cluster).isNotNull())
+    labels = [r[0] for r in told.select(cluster).distinct().collect()]
 
     def topics(label) -> tuple:
         terms = top_terms(df.where(F.col(cluster) == F.lit(label)), text, n_topics, None, stop_words, seed)

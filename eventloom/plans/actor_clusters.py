@@ -6,24 +6,24 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeansModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import prefixed
-from ..functions.vectors import dense
 from ..operators.cluster import ACTOR_CLUSTERS, cluster_profile, cluster_sizes, kmeans_cosine
 from ..operators.features import (
     actor_frequencies,
-    assemble,
     distinct_sorted_codes,
-    encode_actor_pair,
-    encode_codes,
+    encode_long,
     feature_names,
+    sparse_vectors,
     time_feature,
     vocabulary,
-    vocabulary_terms,
+    vocabulary_width,
 )
 from ..operators.graph import actor_event_graph
+from ..operators.spread import lookup_join
 from ..session import settle
 
 ACTORS = ("Actor1Name", "Actor2Name")
@@ -32,21 +32,21 @@ CODES = ("EventRootCode", "EventBaseCode", "EventCode")
 
 @dataclass
 class TrainingSet:
-    """Sparse rows ``(ident, *carried, features)`` and ``names (feature, position)``."""
+    """Sparse rows ``(ident, *carried, features)``, their non-zero ``cells (ident, position, value)`` and
+    ``names (feature, position)``."""
 
     rows: DataFrame
+    cells: DataFrame
     names: DataFrame
 
     def long(self, ident: str) -> DataFrame:
         """Non-zero cells as ``(ident, feature, value)``."""
-        cells = self.rows.select(ident, F.posexplode(dense(self.rows, "features")).alias("position", "value"))
-        cells = cells.where(F.col("value") != 0)
-        return cells.join(F.broadcast(self.names), "position").select(ident, "feature", "value")
+        return lookup_join(self.cells, self.names, "position", by=[ident]).select(ident, "feature", "value")
 
     def wide(self, ident: str) -> DataFrame:
         """One column per feature; for exports, as wide as the vocabulary."""
         names = [r["feature"] for r in self.names.orderBy("position").collect()]
-        cells = dense(self.rows, "features")
+        cells = vector_to_array("features")
         kinds = ["double"] + ["int"] * (len(names) - 1)
         return self.rows.select(
             ident, *[cells[i].cast(k).alias(n) for i, (n, k) in enumerate(zip(names, kinds))]
@@ -63,18 +63,22 @@ def training_set(
 ) -> TrainingSet:
     """Time, actor pair and event code of each row as one sparse vector.
 
-    Actors are ordered by frequency, codes by value. Both vocabularies are model input and reach the
-    driver (bounded by ``vocabulary_terms``); rows do not.
+    Actors are ordered by frequency, codes by value. Rows and vocabularies stay on the executors; ``ident`` is
+    unique.
     """
     counts = actor_frequencies(df, actors)
     people = settle(vocabulary(counts, "value", [F.col("count").desc(), "value"]).drop("count"))
     roots = settle(vocabulary(distinct_sorted_codes(df, codes[0]).where("code is not null"), "code"))
-    names = vocabulary_terms(people, "value")
-    rows = time_feature(df, date)
-    rows = encode_actor_pair(rows, names, actors)
-    rows = encode_codes(rows, vocabulary_terms(roots, "code"), codes)
-    rows = assemble(rows, ["time", "actor_vector", "event_vector"])
-    return TrainingSet(rows.select(ident, *carry, "features"), feature_names(people, roots, len(names)))
+    n_actors, n_codes = vocabulary_width(people), vocabulary_width(roots)
+    people_text = people.select(F.col("value").cast("string").alias("value"), "idx")
+    roots_text = roots.select(F.col("code").cast("string").alias("code"), "idx")
+    one = F.lit(1.0).alias("value")
+    time = time_feature(df, date).select(ident, F.lit(0).cast("bigint").alias("position"), F.col("time").alias("value"))
+    first = encode_long(df, ident, actors, people_text, "value").select(ident, (F.col("idx") + 1).alias("position"), one)
+    last = encode_long(df, ident, codes, roots_text).select(ident, (F.col("idx") + 1 + n_actors).alias("position"), one)
+    cells = settle(time.where("value <> 0").unionByName(first).unionByName(last))
+    rows = sparse_vectors(df.select(ident, *carry), cells, ident, 1 + n_actors + n_codes, "features")
+    return TrainingSet(rows, cells, settle(feature_names(people, roots, n_actors)))
 
 
 def row_features(df: DataFrame, ident: str, cluster: str, actors: Sequence[str], code: str) -> DataFrame:
@@ -106,9 +110,10 @@ def actor_graph(
     ident: str = "GLOBALEVENTID",
     actors: Sequence[str] = ACTORS,
     code: str = "EventRootCode",
-    top: int | None = None,
+    top: int | None = 100,
 ) -> DataFrame:
-    """Edges of every cluster; centroids are numbered from 1."""
+    """Edges of every cluster among its ``top`` features (None: all, and their pairs are the square of the
+    vocabulary); centroids are numbered from 1."""
     rows = labelled.where("cluster is not null").withColumn("cluster", F.col("cluster") + 1)
     long = row_features(rows, ident, "cluster", actors, code)
     sizes = cluster_sizes(rows, "cluster")

@@ -9,6 +9,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.cluster import SWEEP, centres_of, elbow_k, kmeans_final, kmeans_sweep, project_2d
 from ..operators.features import (
@@ -16,17 +17,23 @@ from ..operators.features import (
     multi_hot_tokens,
     token_counts,
     vocab_by_coverage,
-    vocabulary_terms,
 )
-from ..operators.represent import closest_per_cluster, diverse_closest_per_cluster, with_row_id
+from ..operators.represent import (
+    closest_per_cluster,
+    diverse_closest_per_cluster,
+    max_articles_per_cluster,
+    with_row_id,
+)
 from ..operators.spread import lookup_join
 from ..operators.text import (
     attach_topics,
     cluster_topics,
     first_usable_url,
+    one_text_per_url,
     representative_text,
     summarise,
     text_embedding,
+    texts_of,
 )
 from ..schemas import MIN_ARTICLES, TOKEN_COLUMNS, TOKEN_SEPARATOR
 from ..session import settle
@@ -54,16 +61,19 @@ def news_vectors(
     multi-hot tokens and the text's embedding. ``texts`` is (url, text), one row a URL;
     ``embeddings`` is (url, embedding), worked out from the texts if not given."""
     rows = with_row_id(gkg.where(F.col("NUMARTS") >= min_articles))
-    terms = vocabulary_terms(vocab_by_coverage(token_counts(rows, columns, separator)))
+    vocab = vocab_by_coverage(token_counts(rows, columns, separator))
     chosen = settle(first_usable_url(rows, "row_id", "SOURCEURLS", texts))
+    if chosen.isEmpty():
+        schema = T.StructType([rows.schema[c] for c in ("row_id", "NUMARTS", "SOURCEURLS")])
+        return gkg.sparkSession.createDataFrame([], schema.add("features", VectorUDT()))
     if embeddings is None:
-        wanted = chosen.select("url").distinct()
-        read = texts.join(wanted, "url", "left_semi")
+        read = texts_of(settle(chosen.select("url").distinct()), texts)
         embeddings = text_embedding(read).select("url", "embedding")
     elif not isinstance(embeddings.schema["embedding"].dataType, VectorUDT):
         embeddings = embeddings.select("url", array_to_vector("embedding").alias("embedding"))
     vectors = lookup_join(chosen.select("row_id", "url"), settle(embeddings), "url", "inner", ["row_id"])
-    encoded = multi_hot_tokens(rows, terms, columns, separator)
+    kept = rows.join(chosen.select("row_id"), "row_id", "left_semi")  # one row an id on both sides
+    encoded = multi_hot_tokens(kept, "row_id", vocab, columns, separator)
     joined = encoded.join(vectors, "row_id")
     combined = combine_and_normalise(joined, ["multi_hot", "embedding"])
     return settle(combined.select("row_id", "NUMARTS", "SOURCEURLS", "features"))
@@ -87,8 +97,12 @@ def news_clusters(
     rule: str = "argmin",
     threads: int = 4,
 ) -> NewsClusters:
-    """Vectors, the choice of k by the elbow, and the final labels."""
+    """Vectors, the choice of k by the elbow, and the final labels. No row with a text: no cluster."""
     vectors = news_vectors(gkg, texts, embeddings)
+    if vectors.isEmpty():
+        spark = gkg.sparkSession
+        centres = spark.createDataFrame([], "cluster_label int, centre array<double>")
+        return NewsClusters(vectors.withColumn("cluster_label", F.lit(None).cast("int")), centres, 0)
     k = elbow_k(kmeans_sweep(vectors, "features", ks, threads=threads), offset, rule)
     model, labelled = kmeans_final(vectors, "features", k)
     return NewsClusters(settle(labelled), centres_of(model, gkg.sparkSession), k)
@@ -112,12 +126,24 @@ def relevant_news_tables(
     gkg: DataFrame, texts: DataFrame, embeddings: DataFrame | None = None, seed: int = 0, **options
 ) -> NewsTables:
     """The news of each cluster and the 2-D view of all rows."""
-    texts = settle(texts.select("url", "text"))
+    texts = settle(one_text_per_url(texts.select("url", "text"), order="text"))
     clusters = news_clusters(gkg, texts, embeddings, **options)
+    if not clusters.k:
+        spark = gkg.sparkSession
+        news = spark.createDataFrame([], ", ".join(f"{c} {'int' if c == 'cluster_label' else 'string'}" for c in NEWS_COLUMNS))
+        return NewsTables(news, spark.createDataFrame([], "d1 double, d2 double, cluster int"), 0)
     news = relevant_news(clusters, texts, seed)
     return NewsTables(news, project_2d(clusters.rows, "features"), clusters.k)
 
 
+def most_covered_news(clusters: NewsClusters, texts: DataFrame) -> DataFrame:
+    """One row a cluster: its news with the most articles, with the text of its first URL and a summary."""
+    best = max_articles_per_cluster(clusters.rows, keep=["NUMARTS", "SOURCEURLS"])
+    best = settle(representative_text(best, "SOURCEURLS", texts, ["row_id"]))
+    news = summarise(best, "row_id", "extracted_text")
+    return news.select("cluster_label", "NUMARTS", "SOURCEURLS", "extracted_text", "summary")
+
+
 def news_pipeline(gkg: DataFrame, texts: DataFrame, out: str, **options) -> NewsTables:
     """Work out both tables and replace the stored ones below ``out``."""
     tables = relevant_news_tables(gkg, texts, **options)

@@ -35,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
     if named is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="eventloom-")
+        named = tempfile.mkdtemp(prefix="eventloom-")  # of a local session, whose executors are this process
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named)
     return named

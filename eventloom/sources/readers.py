@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import ZONE, has_terms, quoted
+from ..operators.spread import number_rows
 from ..schemas import CALENDAR, EVENTS, GKG, cluster_profile_schema
 
 CORRUPT = "_corrupt_record"
@@ -97,9 +98,16 @@ def long_profile(wide: DataFrame, k: int = 10) -> DataFrame:
 
 
 def read_cluster_profile(spark: SparkSession, path: str, k: int = 10) -> DataFrame:
-    """The wide profile file as a long table; the rank is the row's place in the file."""
+    """The wide profile as a long table; the rank is the row's place, counted over all its files in name order."""
     wide = spark.read.schema(cluster_profile_schema(k)).csv(path, header=True)
-    return long_profile(wide.withColumn("rank", F.monotonically_increasing_id() + 1), k)
+    placed = wide.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),  # grows along a split
+    )
+    ranked = number_rows(placed, ["_file", "_block", "_row"], "rank").drop("_file", "_block", "_row")
+    return long_profile(ranked, k)
 
 
 def scan_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:

@@ -3,27 +3,30 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.spread import lookup_join
 from ..plans.relevant_news import news_pipeline
 from ..schemas import GKG
-from ..sources.readers import previous_day, split_quarantine, with_source_file
-from ..sources.sinks import append_table
+from ..session import settle
+from ..sources.readers import CORRUPT, previous_day, select_source_files, split_quarantine, with_corrupt, with_source_file
+from ..sources.sinks import append_table, land_raw
 from ..sources.zips import member_lines, parse_lines
 
 
 def stream_gkg_files(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
-    """Knowledge-graph files of one folder as they arrive; other names and folders are not seen."""
+    """Knowledge-graph files of one folder as they arrive; other names and folders are not seen. Bad lines keep
+    their text in ``_corrupt_record``."""
     stream = (
-        spark.readStream.schema(GKG)
+        spark.readStream.schema(with_corrupt(GKG))
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", files_per_batch)
-        .csv(folder, sep="\t", header=True, enforceSchema=True)
+        .csv(folder, sep="\t", header=True, enforceSchema=True, mode="PERMISSIVE")
     )
     return with_source_file(stream)
 
@@ -35,15 +38,21 @@ def on_new_file(
     process: Callable[[DataFrame], None],
     files_per_batch: int = 1,
     available_now: bool = True,
+    rejected: str | None = None,
 ) -> StreamingQuery:
-    """Call ``process`` with the rows of each new file, once.
+    """Call ``process`` with the good rows of each new file, once; bad lines are stored by file under
+    ``rejected`` (beside the checkpoint if not given).
 
     A failure stops the stream, and the file is taken again after a restart; what ``process``
     writes therefore replaces (a table, or the partition of the file) rather than adds.
     """
 
+    aside = rejected or f"{checkpoint.rstrip('/')}-rejected"
+
     def batch(rows: DataFrame, _: int) -> None:
-        process(rows)
+        good, bad = split_quarantine(settle(rows))
+        append_table(bad.select("source_file", CORRUPT), aside)
+        process(good)
 
     writer = stream_gkg_files(spark, folder, files_per_batch).writeStream.foreachBatch(batch)
     writer = writer.option("checkpointLocation", checkpoint)
@@ -75,8 +84,8 @@ def load_files(
     sort_col: str | None = None,
     strict_append: bool = False,
 ) -> DataFrame:
-    """Unzip, parse and append; gives back the rejected rows and files."""
-    rows = parse_lines(member_lines(files), schema, skip_header=skip_header)
+    """Unzip and parse once, append; gives back the rejected rows and files."""
+    rows = settle(parse_lines(member_lines(files), schema, skip_header=skip_header))
     good, rejected = split_quarantine(rows)
     append_table(good, table, sort_col=sort_col, strict_append=strict_append)
     return rejected
@@ -95,3 +104,37 @@ def daily_append(
     day = previous_day(now)
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{day}*.zip").load(folder)
     return load_files(files, table, schema, skip_header, sort_col)
+
+
+def ingest(
+    index: DataFrame,
+    files: DataFrame,
+    landing: str,
+    table: str,
+    rejected: str,
+    schema: T.StructType,
+    include: Sequence[str],
+    exclude: Sequence[str] = (),
+    now: dt.datetime | None = None,
+    skip_header: int = 0,
+    sort_col: str | None = None,
+) -> DataFrame:
+    """The whole load: the index names the archives, those that have landed are unzipped once, their members are
+    stored as text, parsed, and appended by file; bad lines and files are stored under ``rejected``.
+
+    ``index`` has the lines of the index page, ``files`` the landed archives (path, content). With ``now`` only
+    yesterday's archives are taken. Gives back the names that were asked for and whether they were there.
+    """
+    terms = [*include, previous_day(now)] if now else list(include)
+    chosen = select_source_files(index, "", terms, exclude)
+    names = settle(chosen.select(F.element_at(F.split("url", "/"), -1).alias("name")).distinct())
+    name = F.element_at(F.split("path", "/"), -1)
+    found = files.withColumn("name", name)
+    landed = lookup_join(found, names, "name", "left_semi").drop("name")
+    lines = settle(member_lines(landed))
+    land_raw(lines, landing)
+    good, bad = split_quarantine(settle(parse_lines(lines, schema, skip_header=skip_header)))
+    append_table(good, table, sort_col=sort_col)
+    append_table(bad.select("source_file", CORRUPT), rejected)
+    there = found.select("name", F.lit(True).alias("landed")).distinct()
+    return lookup_join(names, settle(there), "name", "left").select("name", F.coalesce("landed", F.lit(False)).alias("landed"))

@@ -65,14 +65,37 @@ def test_label_disagreement(spark):
     assert C.label_disagreement(df, "a", "b").first().different == 2
 
 
-def test_wide_view_spans_the_same_plane_as_pca(spark, points):
-    df = points.withColumn("features", array_to_vector("v"))
-    exact = np.array([(r.d1, r.d2) for r in C.project_2d(df, "features").collect()])
-    wide = np.array([(r.d1, r.d2) for r in C.project_2d(df, "features", narrow=1).collect()])
-    assert exact.shape == wide.shape == (90, 2)
-    for j in range(2):
-        assert abs(np.corrcoef(exact[:, j], wide[:, j])[0, 1]) > 0.999
-    assert np.allclose(np.abs(exact), np.abs(wide), atol=1e-2)
+@pytest.mark.parametrize("width", [1, 2, 6, 64, 1500])
+def test_axes_are_the_principal_axes(spark, width):
+    """Whatever the width, and with hardly a gap between the variances, the axes are the exact ones."""
+    rng = np.random.default_rng(width)
+    x = rng.normal(size=(120, width)) * (rng.random((120, width)) < 0.3) * np.linspace(1.2, 1, width)
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "row_id int, v array<double>")
+    cells = C.sparse_cells(df.withColumn("features", array_to_vector("v")), "features")
+    axes = C.principal_axes(cells, width)
+    centred = x - x.mean(axis=0)
+    exact = np.linalg.svd(centred, full_matrices=False)[2][:2].T
+    for j in range(min(2, width)):
+        assert abs(axes[:, j] @ exact[:, j]) > 1 - 1e-6
+        assert axes[np.abs(axes[:, j]).argmax(), j] > 0
+    flat = C.project_2d(df.select(array_to_vector("v").alias("features"), F.col("row_id").alias("cluster_label")), "features")
+    got = np.array([(r.d1, r.d2) for r in flat.orderBy("cluster").collect()])
+    assert np.allclose(got, x @ axes, atol=1e-9)
+
+
+def test_axes_that_do_not_settle_are_an_error(spark, points):
+    cells = C.sparse_cells(points.withColumn("features", array_to_vector("v")), "features")
+    with pytest.raises(RuntimeError, match="settle"):
+        C.principal_axes(cells, 50, most=1, tolerance=0.0)
+
+
+def test_fits_leave_nothing_persisted(spark, points):
+    df = points.select("row_id", array_to_vector("v").alias("features"))
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    C.kmeans_cosine(df, k=2)[1].count()
+    C.kmeans_sweep(df, ks=range(2, 4)).count()
+    C.project_2d(df.withColumnRenamed("row_id", "cluster_label"), "features").count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
 
 
 @pytest.mark.parametrize("kind", ["array", "vector"])
@@ -89,6 +112,8 @@ def test_representatives_against_brute_force(spark, points, kind):
         assert one[c].dist == pytest.approx(np.linalg.norm(x[order[c][0]] - means[c]))
         assert [r.row_id for r in ten if r.cluster_label == c] == order[c][:10]
     noisy = {r.cluster_label: np.array(r.points) for r in R.noisy_centres(centres, "cluster_label", seed=4).collect()}
+    spread = np.concatenate([(noisy[c] - means[c]).ravel() for c in means])
+    assert abs(spread.mean()) < 0.06 and abs(spread.std() - R.NOISE_STD) < 0.05 and len(set(spread)) == len(spread)
     got = R.diverse_closest_per_cluster(df, "f", centres, seed=4).orderBy("cluster_label", "draw").collect()
     for c in means:
         mine = np.flatnonzero(labels == c)
@@ -146,8 +171,9 @@ def test_graph_pairs_by_position(spark):
     assert sorted(edges) == sorted((f"actor_{a}", f"actor_{b}", "event_1", "centroid_1") for a, b in pairs)
 
 
-def test_graph_has_all_pairs_of_a_large_cluster(spark):
+@pytest.mark.parametrize("cell_pairs", [10**6, 50])
+def test_graph_has_all_pairs_of_a_large_cluster(spark, cell_pairs):
     n = 60
-    rows = [(1, i, f"actor_{i}", 1.0 / i) for i in range(1, n + 1)] + [(1, n + 1, "event_7", 0.001)]
-    edges = G.actor_event_graph(spark.createDataFrame(rows, PROFILE)).collect()
-    assert len(edges) == len(set(edges)) == n * (n - 1)
+    rows = [(1, i, f"actor_{i}", 1.0 / i) for i in range(1, n + 1)] + [(2, 1, "actor_1", 1.0), (2, 2, "actor_2", 1.0)]
+    pairs = G.ordered_pairs_self_join(spark.createDataFrame(rows, PROFILE), cell_pairs).collect()
+    assert len(pairs) == len(set(pairs)) == n * (n - 1) + 2

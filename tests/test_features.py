@@ -45,11 +45,11 @@ def test_padded_tokens_count_but_do_not_match(spark):
     counts = {r.token: r["count"] for r in X.token_counts(df, cols).collect()}
     assert counts == Counter({"TAX": 1, "PROTEST": 2, "ÉLAN": 1})
     terms = ["PROTEST", "TAX", "ÉLAN"]
-    vectors = {r.id: list(r.multi_hot) for r in X.multi_hot_tokens(df, terms, cols).collect()}
+    vocab = spark.createDataFrame([(t, i) for i, t in enumerate(terms)], "token string, idx long")
+    vectors = {r.id: list(r.multi_hot) for r in X.multi_hot_tokens(df, "id", vocab, cols).collect()}
     assert vectors == {1: [0, 1, 0], 2: [1, 0, 1], 3: [0, 0, 0]}
-    stripped = X.multi_hot_tokens(df, terms, cols, strip_on_match=True).where("id = 1").first()
+    stripped = X.multi_hot_tokens(df, "id", vocab, cols, strip_on_match=True).where("id = 1").first()
     assert list(stripped.multi_hot) == [1, 1, 0]
-    vocab = spark.createDataFrame([(t, i) for i, t in enumerate(terms)], "token string, idx long")
     long = {(r.id, r.idx) for r in X.multi_hot_long(df, "id", vocab, cols).collect()}
     assert long == {(i, p) for i, v in vectors.items() for p, x in enumerate(v) if x}
 
@@ -88,16 +88,37 @@ def test_actor_plan_end_to_end(spark):
 
 
 def test_combined_vectors_have_length_one_or_zero(spark):
-    df = X.multi_hot(spark.createDataFrame([(["a", "b"],), ([],)], "t array<string>"), F.col("t"), ["a", "b", "c"], "v")
-    got = X.combine_and_normalise(df, ["v", "v"])
+    vocab = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "token string, idx long")
+    rows = spark.createDataFrame([(1, ["a", "b"]), (2, [])], "id int, t array<string>")
+    df = X.multi_hot(rows, "id", F.col("t"), vocab, "v")
+    got = X.combine_and_normalise(df, ["v", "v"]).orderBy("id")
     lengths = [sum(x * x for x in r.f) for r in got.select(dense(got, "features").alias("f")).collect()]
     assert lengths == pytest.approx([1.0, 0.0])
 
 
-def test_a_vocabulary_too_wide_for_vectors_is_refused(spark):
-    vocab = spark.range(5).select(F.col("id").cast("string").alias("token"), F.col("id").alias("idx"))
-    with pytest.raises(ValueError, match="long form"):
-        X.vocabulary_terms(vocab, limit=4)
+def test_vectors_over_a_vocabulary_of_any_width(spark):
+    """Wider than a list on the driver should be; an empty vocabulary gives vectors without positions."""
+    vocab = spark.range(2_000_000).select(F.col("id").cast("string").alias("token"), F.col("id").alias("idx"))
+    rows = spark.createDataFrame([(1, ["7", "1999999", "x"]), (2, None)], "id int, t array<string>")
+    got = {r.id: r.v for r in X.multi_hot(rows, "id", F.col("t"), vocab, "v").collect()}
+    assert got[1].size == got[2].size == 2_000_000
+    assert got[1].indices.tolist() == [7, 1_999_999] and got[2].indices.tolist() == []
+    none = X.multi_hot(rows, "id", F.col("t"), vocab.limit(0), "v").first()
+    assert none.v.size == 0
+
+
+def test_measured_bytes_looks_into_every_type(spark):
+    big = spark.range(100).select(F.array(F.repeat(F.lit("x"), 10_000)).alias("a"))
+    kinds = {
+        "array": big,
+        "binary": big.select(F.col("a")[0].cast("binary").alias("a")),
+        "struct": big.select(F.struct("a").alias("s")),
+        "map": big.select(F.create_map(F.lit("k"), F.col("a")[0]).alias("m")),
+        "nested": big.select(F.array(F.struct(F.col("a")[0].alias("t"))).alias("n")),
+    }
+    for name, df in kinds.items():
+        assert 1_000_000 <= S.measured_bytes(df) < 1_100_000, name
+    assert S.measured_bytes(spark.createDataFrame([(None, None)], "a array<string>, s struct<t:string>")) < 200
 
 
 def test_spread_join_equals_the_plain_join(spark):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventloom.operators import text as X
-from eventloom.plans.relevant_news import news_pipeline
+from eventloom.plans.relevant_news import most_covered_news, news_clusters, news_pipeline
 from eventloom.schemas import GKG, NO_SUMMARY
 from eventloom.sources.sinks import append_table
 from eventloom.streaming.arrivals import news_on_new_file, on_new_file
@@ -24,6 +24,51 @@ def test_first_text_that_works_and_first_url_only(spark):
     assert sorted(r.row_id for r in kept.collect()) == [1, 2, 5, 6]
 
 
+def test_few_urls_travel_to_the_texts(spark):
+    texts = spark.range(1000).select(F.col("id").cast("string").alias("url"), F.repeat(F.lit("x"), 50).alias("text"))
+    few = spark.createDataFrame([("3",), ("5",)], "url string")
+    found = X.texts_of(few, texts)
+    assert found.count() == 2
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_repeated_urls_give_one_row_a_cluster(spark, folder):
+    gkg, texts = news_inputs(spark)
+    tables = news_pipeline(gkg, texts.unionByName(texts.withColumn("text", F.concat("text", F.lit(" Again.")))), folder, ks=range(2, 6))
+    assert tables.relevant_news.count() == tables.k
+    assert tables.dimension_reduction.count() == 35  # the first page was empty only once
+
+
+def test_no_row_with_a_text_gives_empty_tables(spark, folder):
+    gkg, texts = news_inputs(spark)
+    tables = news_pipeline(gkg, texts.limit(0), folder)
+    assert (tables.k, tables.relevant_news.count(), tables.dimension_reduction.count()) == (0, 0, 0)
+    assert spark.read.parquet(f"{folder}/relevant_news").count() == 0
+
+
+def test_most_covered_news(spark):
+    gkg, texts = news_inputs(spark)
+    clusters = news_clusters(gkg, texts, ks=range(2, 6))
+    news = most_covered_news(clusters, texts).collect()
+    assert len(news) == clusters.k and all(r.NUMARTS == 6 for r in news)
+    assert news[0].asDict().keys() == {"cluster_label", "NUMARTS", "SOURCEURLS", "extracted_text", "summary"}
+
+
+def test_bad_lines_of_a_stream_are_set_aside(spark, folder):
+    os.mkdir(f"{folder}/in")
+    gkg, _ = news_inputs(spark)
+    write_file(f"{folder}/in/a.csv", gkg.collect()[:3])
+    with open(f"{folder}/in/a.csv", "a") as out:
+        out.write("20240822\tmany" + "\t" * 9 + "\nshort\n")
+    counts = []
+    on_new_file(spark, f"{folder}/in", f"{folder}/check", lambda b: counts.append(b.count())).awaitTermination()
+    assert counts == [3]
+    bad = spark.read.parquet(f"{folder}/check-rejected").collect()
+    assert sorted(r["_corrupt_record"].split("\t")[0] for r in bad) == ["20240822", "short"]
+    assert {r["source_file"] for r in bad} == {"a.csv"}
+
+
 def test_one_text_per_url(spark):
     df = spark.createDataFrame([(1, "u", ""), (2, "u", "late"), (3, "u", "later"), (4, "v", "")], "page_id int, url string, text string")
     assert {r.url: r.text for r in X.one_text_per_url(df).collect()} == {"u": "late", "v": ""}
@@ -38,7 +83,7 @@ def test_summaries(spark):
 
 
 def test_topics_format(spark):
-    rows = [(0, "the police police arrest arrest judge court " * 3), (0, "police court trial in the city"), (1, "the of and"), (2, None)]
+    rows = [(0, "the police police arrest arrest judge court " * 3), (0, "police court trial in the city"), (1, "the of and"), (2, None), (None, "police court")]
     df = spark.createDataFrame(rows, "cluster_label int, extracted_text string")
     got = {r.cluster_label: r.lda_topics for r in X.cluster_topics(df, "cluster_label", "extracted_text").collect()}
     parts = [p.split(", ") for p in got[0].split("; ")]

@@ -137,6 +137,15 @@ def test_wide_profile_becomes_long(spark, folder):
     assert [tuple(r) for r in long] == [(1, 1, "actor_A", 0.9), (1, 2, "event_2", 0.5), (2, 1, "event_1", 0.8)]
 
 
+def test_profile_ranks_run_over_all_files(spark, folder):
+    names = [f"{kind}_Centroid{i}" for i in (1, 2) for kind in ("feature", "appereance")]
+    for part, rows in enumerate([[("a", 0.9, "b", 0.8), ("c", 0.7, "d", 0.6)], [("e", 0.5, "", "")]]):
+        with open(f"{folder}/part-{part}.csv", "w") as out:
+            out.write("\n".join([",".join(names), *[",".join(map(str, r)) for r in rows]]) + "\n")
+    got = readers.read_cluster_profile(spark, folder, 2).orderBy("cluster", "rank").collect()
+    assert [(r.cluster, r["rank"], r.feature) for r in got] == [(1, 1, "a"), (1, 2, "c"), (1, 3, "e"), (2, 1, "b"), (2, 2, "d")]
+
+
 def test_calendar(spark, folder):
     with open(f"{folder}/c.csv", "w") as out:
         out.write("Date,Event\n20200311,Something declared\n")
