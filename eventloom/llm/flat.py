@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 U64 = np.uint64
 # Odd 64-bit constants of the polynomial and the finisher.
 _BASE = 0x9E3779B97F4A7C15

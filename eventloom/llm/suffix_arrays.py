@@ -8,6 +8,8 @@ from .flat import ragged
 
 #: With fewer symbols than this a letter, buckets are too small to be handled as arrays.
 SYMBOLS_A_LETTER = 64
+#: Symbols compared at once, so that the comparison takes little memory beside the arrays.
+COMPARED = 1 << 18
 
 
 def suffix_types(text: np.ndarray) -> np.ndarray:
@@ -26,6 +28,11 @@ def suffix_types(text: np.ndarray) -> np.ndarray:
     return up
 
 
+def _integers(n: int) -> type:
+    """Places in a text of n symbols."""
+    return np.int32 if n < 2**31 else np.int64
+
+
 def _append(places: np.ndarray, letters: np.ndarray, fill: np.ndarray, array: np.ndarray, step: int) -> None:
     """Put ``places`` into the buckets of their letters, in the order given, at the pointers ``fill``."""
     if not len(places):
@@ -45,7 +52,7 @@ def _induce(text: np.ndarray, up: np.ndarray, lms: np.ndarray, sizes: np.ndarray
     n = len(text)
     ends = np.cumsum(sizes)
     heads = ends - sizes
-    array = np.full(n, -1, np.int64)
+    array = np.full(n, -1, _integers(n))
     # Left to right: the falling suffixes go to the fronts of their buckets.
     front = heads.copy()
     first_letters = text[lms]
@@ -93,11 +100,14 @@ def _equal_neighbours(text: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -
     """For each range but the first: whether it equals the one before."""
     same = sizes[1:] == sizes[:-1]
     look = np.flatnonzero(same)
-    if len(look):
-        size = sizes[look]
-        one, other = ragged(starts[look], size), ragged(starts[look + 1], size)
-        equal = text[one] == text[other]
-        same[look] = np.logical_and.reduceat(equal, np.cumsum(size) - size)
+    done = np.cumsum(sizes[look], dtype=np.int64)
+    cuts = np.searchsorted(done, np.arange(0, int(done[-1]) if len(done) else 0, COMPARED))
+    for first, last in zip(cuts, np.append(cuts[1:], len(look))):
+        part = look[first:last]
+        if len(part):
+            size = sizes[part].astype(np.int64)
+            equal = text[ragged(starts[part], size)] == text[ragged(starts[part + 1], size)]
+            same[part] = np.logical_and.reduceat(equal, np.cumsum(size) - size)
     return same
 
 
@@ -130,18 +140,18 @@ def suffix_array(text: np.ndarray, letters: int) -> np.ndarray:
     if n <= 2 or letters * SYMBOLS_A_LETTER > n:
         return _doubling(text)
     up = suffix_types(text)
-    lms = np.flatnonzero(up[1:] & ~up[:-1]) + 1
+    lms = (np.flatnonzero(up[1:] & ~up[:-1]) + 1).astype(_integers(n))
     sizes = np.bincount(text, minlength=letters)
     rough = _induce(text, up, lms, sizes)
     is_lms = np.zeros(n, np.bool_)
     is_lms[lms] = True
     order = rough[is_lms[rough]]
-    length = np.zeros(n, np.int64)
+    length = np.zeros(n, _integers(n))
     length[lms] = np.diff(np.append(lms, n - 1)) + 1
     length[n - 1] = 1
     same = _equal_neighbours(text, order, length[order])
     names = np.concatenate([[0], np.cumsum(~same)])
-    named = np.empty(n, np.int64)
+    named = np.empty(n, _integers(n))
     named[order] = names
     count = int(names[-1]) + 1
     if count < len(lms):
@@ -152,9 +162,9 @@ def suffix_array(text: np.ndarray, letters: int) -> np.ndarray:
 def permuted_common_prefixes(text: np.ndarray, array: np.ndarray, most: int) -> np.ndarray:
     """By text position: symbols shared with the suffix just before it in the order, ``most`` at the most."""
     n = len(text)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, _integers(n))
     before[array[1:]] = array[:-1]
-    shared = np.zeros(n, np.int64)
+    shared = np.zeros(n, np.int32)
     wide = np.append(text, np.zeros(most + 8, text.dtype))
     step = 8 if text.dtype == np.uint8 else 1
     chunks = np.lib.stride_tricks.sliding_window_view(wide, step) if step > 1 else wide[:, None]
