@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.spread import measured_bytes
 from ..session import settle
 from .flat import U64, Hasher, mix, ragged, row_slices, slices, text_buffer, whole_rows
 from .suffix_arrays import permuted_common_prefixes, suffix_array
@@ -25,12 +24,12 @@ from .suffix_arrays import permuted_common_prefixes, suffix_array
 LENGTH = 200
 GRAM = 24
 #: Bytes of stretches in one suffix array.
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 1 << 20
+#: Bytes of text whose windows are placed at once; that takes about 120 times as much memory.
+PLACED_BYTES = 1 << 19
 #: An anchor with more distinct stretches than this has its windows counted by fingerprint instead of in a shard,
 #: so that no anchor can fill a task.
-HOT_STRETCHES = 8_000
-#: Largest side that is broadcast, by its measured size.
-BROADCAST_BYTES = 24 << 20
+HOT_STRETCHES = 12_000
 
 _ANCHORS = (
     T.StructType()
@@ -68,11 +67,9 @@ def stretches(data: np.ndarray, offsets: np.ndarray, hasher: Hasher, length: int
     bits = U64(max(1, int(len(data)).bit_length()))
     best = sliding_minimum((grams >> bits << bits) | places.astype(U64), length - gram + 1)
     anchor = (best & ((U64(1) << bits) - U64(1))).astype(np.int64)
-    last = np.append(offsets[1:], len(data)) - length  # last start of each text
     sizes = np.diff(offsets)
     owners = np.flatnonzero(sizes >= length)
     starts = ragged(offsets[owners], sizes[owners] - length + 1)
-    del last
     owner = np.repeat(owners, sizes[owners] - length + 1)
     mine = anchor[starts]
     fresh = np.append(True, (mine[1:] != mine[:-1]) | (owner[1:] != owner[:-1]))
@@ -93,7 +90,7 @@ def _anchors(texts: DataFrame, length: int) -> DataFrame:
     def find(batches):
         hasher = Hasher(11)
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", PLACED_BYTES):
                 data, offsets = text_buffer(part.column("_text"))
                 owner, first, count, anchor, whole = stretches(data, offsets, hasher, length)
                 ident = part.column("ident").to_numpy()[owner]
@@ -105,18 +102,12 @@ def _anchors(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(find, _ANCHORS)
 
 
-def _join_measured(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
-    """Broadcast of a right side whose size was measured, else a shuffle that AQE splits where a key is hot."""
-    small = measured_bytes(right) <= BROADCAST_BYTES
-    return left.join(F.broadcast(right) if small else right, key, how)
-
-
 def _bytes_of(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """``wanted`` (ident, anchor, stretch, first, count, twice) with the bytes of each stretch."""
     by_text = wanted.groupBy("ident").agg(
         F.collect_list(F.struct("first", "count", "anchor", "stretch", "twice")).alias("parts")
     )
-    found = _join_measured(texts, settle(by_text), "ident", "inner")
+    found = texts.join(settle(by_text), "ident")
     schema = T.StructType([wanted.schema[c] for c in ("anchor", "stretch", "count", "twice")]).add("raw", T.BinaryType())
 
     def cut(batches):
@@ -216,15 +207,15 @@ def _counted(raw: DataFrame, length: int) -> DataFrame:
 
 def repeat_ranges(
     docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, hot: int = HOT_STRETCHES, shard_bytes: int = SHARD_BYTES
-) -> tuple[DataFrame, DataFrame]:
-    """The texts as (ident, _text), and per ident with repeats the ``starts`` of repeated windows, as an array of
-    (low, high)."""
+) -> DataFrame:
+    """Per ident with repeats the ``starts`` of repeated windows, as an array of (low, high)."""
     texts = docs.select(_ident(F.col(key), F.col(text)).alias("ident"), F.col(text).alias("_text"))
     found = _anchors(texts, length)
     per_anchor = found.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("n"), F.min("stretch").alias("least"), F.max("stretch").alias("most")
     )
-    per_anchor = per_anchor.where("n > 1").select("anchor", (F.col("least") != F.col("most")).alias("mixed"))
+    # Written first, so that the join has a shuffle of its own on both sides and can split a hot anchor.
+    per_anchor = settle(per_anchor.where("n > 1").select("anchor", (F.col("least") != F.col("most")).alias("mixed")))
     again = settle(found.join(per_anchor, "anchor"))
     alike = again.where("NOT mixed")
     mixed = again.where("mixed").drop("mixed")
@@ -247,7 +238,7 @@ def repeat_ranges(
         "ident", F.array(F.struct(F.col("first").alias("low"), (F.col("first") + F.col("count") - 1).alias("high"))).alias("starts")
     )
     ranges = placed.union(every).groupBy("ident").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    return texts, settle(ranges)
+    return settle(ranges)
 
 
 def _covered(part_starts: pa.Array, sizes: np.ndarray, length: int) -> list[np.ndarray]:
@@ -278,15 +269,14 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
     than ``length`` keep all; repeated rows lose all that is long enough, as each repeats the other; an empty table
     gives no rows; other columns are not read.
     """
-    texts, ranges = repeat_ranges(docs, key, text, length, **options)
+    ranges = repeat_ranges(docs, key, text, length, **options)
     kind = docs.schema[key]
     rows = docs.select(_ident(F.col(key), F.col(text)).alias("ident"), F.col(key), F.col(text).alias("_text"))
-    found = _join_measured(rows, ranges, "ident", "left")
+    found = rows.join(ranges, "ident", "left")
     schema = T.StructType([kind])
     for name in ("n_bytes", "n_removed", "n_spans"):
         schema.add(name, T.LongType())
     schema.add("kept_sha256", T.StringType())
-    del texts
 
     def count(batches):
         for batch in batches:
@@ -312,9 +302,9 @@ def cut_repeats(
     has it, is counted anew where a text changed). A character of which a byte goes, goes. A row of which no word is left is dropped;
     a row that had none to begin with stays.
     """
-    _, ranges = repeat_ranges(docs, key, text, length, **options)
+    ranges = repeat_ranges(docs, key, text, length, **options)
     rows = whole_rows(docs).withColumn("ident", _ident(F.col(f"_row.{key}"), F.col(f"_row.{text}")))
-    changed = _join_measured(rows, ranges, "ident", "left")
+    changed = rows.join(ranges, "ident", "left")
     fields = docs.schema.fields
     place = docs.columns.index(text)
     count_at = docs.columns.index(chars) if chars in docs.columns else None
