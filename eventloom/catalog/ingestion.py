@@ -8,6 +8,8 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +19,8 @@ from ..functions.columns import day_before, folder_of
 from ..schemas import EVENTS, GKG
 from ..session import scratch_path, settle
 from ..sources import readers, sinks
-from ..sources.zips import member_lines, parse_lines
-from ..streaming.arrivals import files_of_previous_day, ingest, load_files, on_new_file
+from ..sources.zips import member_lines, parse_lines, read_zipped_members
+from ..streaming.arrivals import daily_append, ingest, on_new_file
 from .registry import ACTIVITY_SQL, activity, query, table
 
 ROW = T.StructType(
@@ -61,6 +63,23 @@ def zipped_days(rows: DataFrame) -> DataFrame:
     return _lines(rows).mapInPandas(pack, "path string, content binary")
 
 
+def stored_zips(spark, rows: DataFrame) -> str:
+    """The same archives as files of a folder in the shared one; a task that runs again writes the same files."""
+    folder = scratch_path(spark, "zips")
+
+    def store(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        files, base = pa.fs.FileSystem.from_uri(folder)
+        files.create_dir(base, recursive=True)
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                with files.open_output_stream(f"{base}/{path.rsplit('/', 1)[1]}", compression=None) as out:
+                    out.write(content)
+            yield batch[["path"]]
+
+    settle(zipped_days(rows).mapInPandas(store, "path string"))
+    return folder
+
+
 @query(
     "select_source_files",
     """SELECT 'http://feeds.example.org/daily/' || url AS url FROM pages
@@ -83,8 +102,7 @@ def previous_days(spark, sf):
 
 @query("read_zipped_members", ROW_SQL)
 def zipped(spark, sf):
-    lines = member_lines(zipped_days(_rows(spark, sf)))
-    good, _ = readers.split_quarantine(parse_lines(lines, ROW))
+    good, _ = readers.split_quarantine(read_zipped_members(spark, stored_zips(spark, _rows(spark, sf)), ROW))
     return good.drop("source_file")
 
 
@@ -244,7 +262,8 @@ def ingested(spark, sf):
     """The whole load from files: an index page that leaves one day out, landed archives, text, table, bad lines."""
     rows = _rows(spark, sf)
     value = F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("value").cast("string"))
-    archives = settle(zipped_days(rows.withColumn("value", value)))
+    folder = stored_zips(spark, rows.withColumn("value", value))
+    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder)
     link = F.concat(F.lit('<A HREF="'), F.element_at(F.split("path", "/"), -1), F.lit('">'))
     landing, stored, aside = (scratch_path(spark, name) for name in ("landing", "table", "rejected"))
     for _ in range(2):  # a second run replaces the files' rows
@@ -308,7 +327,7 @@ def chunked(spark, sf):
 @query("daily_append", f"SELECT * FROM ({ROW_SQL}) WHERE day = '{(NOW - dt.timedelta(hours=29)).strftime('%Y%m%d')}'")
 def increment(spark, sf):
     """Yesterday's zips out of all of them, loaded twice; the table holds that day once."""
-    path = scratch_path(spark, "daily")
+    path, folder = scratch_path(spark, "daily"), stored_zips(spark, _rows(spark, sf))
     for _ in range(2):
-        load_files(files_of_previous_day(zipped_days(_rows(spark, sf)), NOW), path, ROW)
+        daily_append(spark, folder, path, ROW, NOW)
     return spark.read.schema(ROW).parquet(path).drop("source_file")

@@ -34,6 +34,8 @@ SWEEP = range(2, 11)
 SWEEP_SEED = 42
 FINAL_SEED = 0
 MAX_ITER = 300
+# Rows that are worth a task of their own in a pass of a fit.
+TASK_ROWS = 20_000
 
 
 def at_once(spark: SparkSession, jobs: Sequence[Callable[[], Any]], threads: int) -> list[Any]:
@@ -94,12 +96,12 @@ def kmeans_sweep(
     threads: int = 4,
 ) -> DataFrame:
     """``(k, wcss)`` for each k, from fits over one persisted copy of the vectors."""
-    vectors = df.select(features)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if vectors.rdd.getNumPartitions() < cores:  # a small scan would be one task a fit
-        vectors = vectors.repartition(cores)
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    vectors.count()
+    vectors = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+    tasks = min(df.sparkSession.sparkContext.defaultParallelism, vectors.count() // TASK_ROWS + 1)
+    if vectors.rdd.getNumPartitions() < tasks:  # a scan of few row groups would leave the cores idle in every pass
+        vectors, scanned = vectors.repartition(tasks).persist(StorageLevel.MEMORY_AND_DISK), vectors
+        vectors.count()
+        scanned.unpersist()
 
     def cost(k: int) -> tuple[int, float]:
         return k, float(fit_kmeans(vectors, features, k, seed).summary.trainingCost)
