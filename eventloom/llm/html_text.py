@@ -250,7 +250,11 @@ def main_text(source: str | None, memory: dict[str, bool] | None = None) -> str:
                 keep.add(node)
     elif tag[best] == "article":
         for node in range(1, n):
-            if tag[node] == "article" and parent[node] == home and node != best and length[node]:
+            if parent[node] != home or node == best or not length[node]:
+                continue
+            if tag[node] in HEADINGS and tag[home] == "main" and linked[node] < 0.5 * length[node]:
+                keep.add(node)  # the title above its article
+            elif tag[node] == "article":
                 if score[node] * (1 - linked[node] / length[node]) >= 0.2 * best_score:
                     keep.add(node)
     inside = [False] * n

@@ -155,7 +155,27 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(manifest).withColumnRenamed("key", "doc_id")
 
 
-@query("op5_near_duplicates")
+OP5_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all({FOLD.format("text")}, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 1 THEN w ELSE [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] END) AS g
+  FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+both_have AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM both_have JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach (doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON r.other = e.a
+)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id, d.doc_id = min(other) AS kept
+FROM documents d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
+"""
+
+
+@query("op5_near_duplicates", OP5_SQL)
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dups.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
     return found.select(
@@ -166,7 +186,29 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op7_repeats")
+OP7_SQL = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+win AS (
+  SELECT doc_id, p, md5(b[p:p + 199]) AS k FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - 198)) AS p FROM d)
+), hits AS (SELECT doc_id, p FROM win WHERE k IN (SELECT k FROM win GROUP BY k HAVING count(*) > 1)),
+marked AS (
+  SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 200 THEN 0 ELSE 1 END AS fresh FROM hits
+), numbered AS (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marked),
+spans AS (SELECT doc_id, run, min(p) AS low, max(p) + 199 AS high FROM numbered GROUP BY 1, 2),
+pieces AS (
+  SELECT doc_id, low, high, hex(b[coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) + 1:low - 1]) AS piece
+  FROM spans JOIN d USING (doc_id)
+), cut AS (
+  SELECT doc_id, sum(high - low + 1) AS n_removed, count(*) AS n_spans, string_agg(piece, '' ORDER BY low) AS front, max(high) AS last
+  FROM pieces GROUP BY 1
+)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(CASE WHEN n_spans IS NULL THEN b ELSE unhex(front || hex(b[last + 1:octet_length(b)])) END) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
+
+
+@query("op7_repeats", OP7_SQL)
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.report(table(spark, sf_dir, "documents"))
 

@@ -155,6 +155,9 @@ def test_extraction_of_parts():
     "page, text",
     [
         (None, ""),
+        ("<main><h1>T</h1><article><p>a, b</p><p>c</p></article><p class='notice'>n</p></main>", "T\na, b\nc"),
+        ("<body><h1>Site</h1><article><section><h2>A</h2><p>x, y</p></section><section><p>z</p></section></article></body>", "A\nx, y\nz"),
+        ("<div><div><p>one, two, three</p></div><div><p>four, five, six</p></div></div>", "one, two, three\nfour, five, six"),
         ("", ""),
         ("<p>", ""),
         ("plain &lt;text&gt;", "plain <text>"),
