@@ -8,6 +8,7 @@ the mapped file. A second small file beside it names the documents and their len
 from __future__ import annotations
 
 import json
+import os
 import re
 import uuid
 import zlib
@@ -27,7 +28,9 @@ from .flat import ragged, slices
 SEQUENCE = 2048
 BATCH_SEQUENCES = 256
 #: Distinct pieces of text a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
+#: Cuts that are encoded as one line, and lines at a time.
+TOGETHER, LINES = 256, 64
 _ODD = re.compile(r" (?=\s|\Z)")
 _EVERY = re.compile(r"(?= \S)")
 
@@ -52,6 +55,7 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         with open(path, encoding="utf-8") as f:
@@ -65,10 +69,15 @@ class Encoder:
         )
         size = self.tokenizer.get_vocab_size()
         self.width = np.uint16 if size <= 1 << 16 else np.uint32
+        # Ids whose piece starts with a space, in the alphabet of byte-level pieces.
+        pieces = map(self.tokenizer.id_to_token, range(size))
+        self.spaced = np.fromiter((bool(p) and p[0] == "\u0120" for p in pieces), np.bool_, size)
         self._reset()
 
     def _reset(self) -> None:
         self.known: dict[str, int] = {}
+        self.new_ids: list[np.ndarray] = []
+        self.new_sizes: list[np.ndarray] = []
         self.ids = np.zeros(0, self.width)
         self.starts = np.zeros(1, np.int64)
 
@@ -86,16 +95,40 @@ class Encoder:
         if self.known and len(self.known) + len(fresh) > REMEMBERED:
             self._reset()
             fresh = list(wanted)
-        if not fresh:
-            return
-        plain = [w[1:] if w[:1] == " " else " " + w for w in fresh]
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)]
-        for w in fresh:
+        # A cut without a space of its own can be encoded among others: each begins with the one id that starts
+        # with a space. The others, first cuts of a text among them, are encoded one by one.
+        plain = [w for w in fresh if " " not in w]
+        for first in range(0, len(plain), TOGETHER * LINES):
+            some = plain[first : first + TOGETHER * LINES]
+            lines = [some[i : i + TOGETHER] for i in range(0, len(some), TOGETHER)]
+            found = self._ids([" " + " ".join(line) for line in lines])
+            for line, ids in zip(lines, found):
+                begins = np.flatnonzero(self.spaced[ids])
+                if len(begins) != len(line) or begins[0]:
+                    raise ValueError("the pre-tokenizer does not cut at spaces")
+                self._remember(line, ids, np.diff(np.append(begins, len(ids))))
+        odd = [w for w in fresh if " " in w]
+        for first in range(0, len(odd), TOGETHER):
+            some = odd[first : first + TOGETHER]
+            found = self._ids([w[1:] if w[0] == " " else " " + w for w in some])
+            self._remember(some, np.concatenate(found), np.array([len(ids) for ids in found]))
+        self._settle()
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.width) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _remember(self, cuts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        for w in cuts:
             self.known[w] = len(self.known)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        more = np.fromiter(chain.from_iterable(found), self.width, int(sizes.sum()))
-        self.ids = np.concatenate([self.ids, more])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        self.new_ids.append(ids)
+        self.new_sizes.append(sizes)
+
+    def _settle(self) -> None:
+        if self.new_ids:
+            sizes = np.concatenate(self.new_sizes)
+            self.ids = np.concatenate([self.ids, *self.new_ids])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+            self.new_ids, self.new_sizes = [], []
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the n + 1 offsets of the texts."""
