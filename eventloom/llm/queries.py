@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import decontamination, html_text, near_dups, pieces, pitman_yor, quality, repeats, token_files, url_rules, warc_audit
+from .batches import lean_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +28,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    lean_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
