@@ -66,11 +66,15 @@ _NEVER_CHOSEN = frozenset("html p a span b i em strong u small font h1 h2 h3 h4
 _WHOLE = frozenset(("html", "body", "article", "main"))
 
 
-def _beside(attributes: str, memory: dict[str, bool]) -> bool:
+_SEEN, _NAMED, _UNSEEN = 0, 1, 2
+
+
+def _beside(attributes: str, memory: dict[str, int]) -> int:
+    """Whether an element is hidden or named like what stands beside an article."""
     known = memory.get(attributes)
     if known is None:
         names = " ".join(a or b or c for a, b, c in _NAMES.findall(attributes))
-        known = bool(names and _BESIDE.search(names)) or bool(_HIDDEN.search(attributes))
+        known = _UNSEEN if _HIDDEN.search(attributes) else _NAMED if names and _BESIDE.search(names) else _SEEN
         if len(memory) < 10_000:
             memory[attributes] = known
     return known
@@ -79,8 +83,9 @@ def _beside(attributes: str, memory: dict[str, bool]) -> bool:
 class _Page:
     """Elements as parallel lists; ``blocks`` are (element, text, characters inside links)."""
 
-    def __init__(self, source: str, memory: dict[str, bool]):
+    def __init__(self, source: str, memory: dict[str, int]):
         self.tag, self.parent = ["#root"], [-1]
+        self.named: set[int] = set()  # elements named like what stands beside an article
         self.blocks: list[tuple[int, str, int]] = []
         self.stack = [0]
         self.words: list[str] = []
@@ -107,6 +112,8 @@ class _Page:
 
     def _pop(self, depth: int) -> None:
         """Close all elements above ``depth``."""
+        if self.words and not self.named.isdisjoint(self.stack[depth:]):
+            self._flush()
         for node in self.stack[depth:]:
             self.open[self.tag[node]] -= 1
         self.links = self.open["a"]
@@ -126,7 +133,7 @@ class _Page:
                 return 0
         return 0
 
-    def _read(self, source: str, memory: dict[str, bool]) -> None:
+    def _read(self, source: str, memory: dict[str, int]) -> None:
         at, end = 0, len(source)
         match_from = _TOKEN.search
         while at < end:
@@ -179,11 +186,18 @@ class _Page:
             self.stack.append(len(self.tag) - 1)
             self.open[name] += 1
             self.links = self.open["a"]
-            if self.skip < 0 and (
-                name in DROPPED or len(attributes) > 4 and name not in _WHOLE and _beside(attributes, memory)
-            ):
-                self._flush()
-                self.skip = len(self.stack) - 1
+            if self.skip < 0:
+                beside = _beside(attributes, memory) if len(attributes) > 4 and name not in _WHOLE else _SEEN
+                if name in DROPPED or beside == _UNSEEN:
+                    self.stack.pop()
+                    self._flush()
+                    self.stack.append(len(self.tag) - 1)
+                    self.skip = len(self.stack) - 1
+                elif beside == _NAMED:
+                    self.stack.pop()
+                    self._flush()
+                    self.stack.append(len(self.tag) - 1)
+                    self.named.add(len(self.tag) - 1)
         self._flush()
 
 
@@ -191,12 +205,31 @@ def _points(text: str) -> float:
     return 1 + text.count(",") + text.count("，") + text.count("、") + min(len(text) // 100, 3)
 
 
-def main_text(source: str | None, memory: dict[str, bool] | None = None) -> str:
+def _without_beside(page: _Page) -> list[tuple[int, str, int]]:
+    """The blocks without those of named elements. Names alone do not decide: an element (less the named ones in it)
+    stays that has more text and points than all that stands outside named elements, and at least half of the
+    points of the largest such element: it is the wrapper of the article."""
+    if not page.named:
+        return page.blocks
+    home = [0] * len(page.tag)
+    for node in range(1, len(home)):
+        home[node] = node if node in page.named else home[page.parent[node]]
+    length: Counter[int] = Counter()
+    points: Counter[int] = Counter()
+    for node, text, links in page.blocks:
+        length[home[node]] += len(text)
+        points[home[node]] += _points(text) * (1 - links / len(text))
+    most = max((points[g] for g in points if g), default=0)
+    stays = {g for g in points if not g or length[g] > length[0] and points[g] > points[0] and 2 * points[g] >= most}
+    return [block for block in page.blocks if home[block[0]] in stays]
+
+
+def main_text(source: str | None, memory: dict[str, int] | None = None) -> str:
     """Main text of one page: its blocks in page order, one a line. A null, empty or textless page has none."""
     if not source:
         return ""
     page = _Page(source, {} if memory is None else memory)
-    tag, parent, blocks = page.tag, page.parent, page.blocks
+    tag, parent, blocks = page.tag, page.parent, _without_beside(page)
     if not blocks:
         return ""
     n = len(tag)
@@ -281,7 +314,7 @@ def extract(pages: DataFrame, html_column: str = "html") -> DataFrame:
     narrow = pages.select(*[F.col(f"`{c}`") for c in kept], F.col(html_column).alias("_html"))
 
     def run(batches):
-        memory: dict[str, bool] = {}
+        memory: dict[str, int] = {}
         for batch in batches:
             for part in slices(batch, "_html"):
                 texts = [main_text(page, memory) for page in part.column("_html").to_pylist()]

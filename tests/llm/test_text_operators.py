@@ -222,3 +222,19 @@ def test_digest_collisions():
     asked = pa.array(["c", "x", "dd", "a"])
     assert array.contains(asked, np.array([5, 5, 9, 5], np.uint64)).tolist() == [True, False, True, True]
     assert array.contains(asked, np.array([6, 6, 6, 10], np.uint64)).tolist() == [False] * 4
+
+
+# -- wrappers and rounds --------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    "wrapper", ["<div class='content has-sidebar'>", "<div id='page' class='header-fixed'>", "<div class='container no-sidebar'>"]
+)
+def test_wrappers_named_like_what_stands_beside(wrapper):
+    paragraphs = [f"This is paragraph {i}, with words, commas and enough text to count as one." for i in range(8)]
+    comments = "".join(f"<div class='comment'><p>Comment {i}, not a part of the text.</p></div>" for i in range(20))
+    page = (
+        f"<html><body><div id='header'>Site</div>{wrapper}<div class='sidebar'><p>Beside, and more.</p></div>"
+        f"{''.join(f'<p>{p}</p>' for p in paragraphs)}<div id='comments'>{comments}</div></div><div id='footer'>Foot</div></body></html>"
+    )
+    assert html_text.main_text(page) == "\n".join(paragraphs)
