@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import settle
 from .flat import ALNUM_WORDS, LOWER, slices, text_buffer
 
 WINDOW = 10
@@ -159,50 +160,70 @@ def find_leaks(
     Words are runs of ASCII letters, digits and anything beyond ASCII, in lower case (A-Z only). A window is
     ``window`` consecutive words of an item, or all of a shorter one. A null or empty text has no words; a null
     or wordless item has no window; repeated rows of either table are judged one by one; an empty table gives
-    no rows or no hits. Columns other than the named ones are not looked at. The key must be a unique
-    integer when the benchmark needs more than one automaton; ``limit`` bounds each broadcast.
+    no rows or no hits. Columns other than the named ones are not looked at. ``limit`` bounds each broadcast: a
+    benchmark that needs more than one automaton is scanned in rounds, over rows that were numbered and written
+    once, and gives the same rows.
     """
     wanted = docs.select(F.col(key).cast("bigint").alias("_key"), F.col(text).alias("_text"))
+    blocks = _rounds(benchmark.select(item_id, item_text), item_id, item_text, limit)
+    schema = _HITS
+    if len(blocks) > 1:
+        wanted = settle(wanted.withColumn("_at", F.monotonically_increasing_id()))
+        schema = T.StructType([*_HITS.fields, T.StructField("_at", T.LongType())])
     parts = []
-    for block in _rounds(benchmark.select(item_id, item_text), item_id, item_text, limit):
+    for block in blocks:
         built = _broadcast(block, item_id, item_text, window)
 
         def scan(batches, built=built):
             machine = pickle.loads(built.value) if built.value else None
             for batch in batches:
                 for part in slices(batch, "_text"):
-                    yield _scan(part, machine)
+                    found = _scan(part, machine)
+                    more = [part.column("_at")] if len(schema) > len(_HITS) else []
+                    yield pa.RecordBatch.from_arrays([*found.columns, *more], schema.names)
 
-        parts.append(wanted.mapInArrow(scan, _HITS))
+        parts.append(wanted.mapInArrow(scan, schema))
     if len(parts) == 1:
         return parts[0]
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
-    found = whole.groupBy("_key").agg(
+    both = F.zip_with(
+        "hit_ranges", "spans", lambda r, s: F.struct(r["first"].alias("first"), r["after"].alias("after"), s["begin"].alias("begin"), s["end"].alias("end"))
+    )
+    found = whole.groupBy("_at").agg(
+        F.max("_key").alias("_key"),
         F.max("n_words").alias("n_words"),
-        F.flatten(F.collect_list("hit_ranges")).alias("hit_ranges"),
-        F.flatten(F.collect_list("spans")).alias("spans"),
-        F.flatten(F.collect_list("item_ids")).alias("item_ids"),
+        _merged(F.flatten(F.collect_list(both))).alias("hits"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
     )
     return found.select(
-        "_key", "n_words", _merged("hit_ranges", "first", "after"), _merged("spans", "begin", "end"), "item_ids"
+        "_key",
+        "n_words",
+        F.transform("hits", lambda x: F.struct(x["first"].alias("first"), x["after"].alias("after"))).alias("hit_ranges"),
+        F.transform("hits", lambda x: F.struct(x["begin"].alias("begin"), x["end"].alias("end"))).alias("spans"),
+        "item_ids",
     )
 
 
-def _merged(name: str, low: str, high: str):
-    """Overlapping or touching ranges of an array joined."""
-    start = F.expr(f"cast(array() as array<struct<{low}:bigint,{high}:bigint>>)")
+def _merged(hits: F.Column) -> F.Column:
+    """Overlapping or touching word ranges joined, and their byte ranges with them."""
+    start = F.expr("cast(array() as array<struct<first:bigint,after:bigint,begin:bigint,end:bigint>>)")
 
     def add(done, x):
-        last = F.element_at(done, -1)
-        joined = F.struct(last[low].alias(low), F.greatest(last[high], x[high]).alias(high))
+        last = F.try_element_at(done, F.lit(-1))
+        joined = F.struct(
+            last["first"].alias("first"),
+            F.greatest(last["after"], x["after"]).alias("after"),
+            last["begin"].alias("begin"),
+            F.greatest(last["end"], x["end"]).alias("end"),
+        )
         return F.when(
-            (F.size(done) > 0) & (x[low] <= F.try_element_at(done, F.lit(-1))[high]),
+            (F.size(done) > 0) & (x["first"] <= last["after"]),
             F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(joined)),
         ).otherwise(F.concat(done, F.array(x)))
 
-    return F.aggregate(F.array_sort(name), start, add).alias(name)
+    return F.aggregate(F.array_sort(hits), start, add)
 
 
 def hit_words() -> F.Column:

@@ -238,3 +238,14 @@ def test_wrappers_named_like_what_stands_beside(wrapper):
         f"{''.join(f'<p>{p}</p>' for p in paragraphs)}<div id='comments'>{comments}</div></div><div id='footer'>Foot</div></body></html>"
     )
     assert html_text.main_text(page) == "\n".join(paragraphs)
+
+
+def test_leaks_are_the_same_in_many_rounds(spark, odd_documents):
+    more = [(None, "a six seven"), (None, "a six seven"), (None, None), (11, "two three"), (11, "six, seven! eight nine two three")]
+    docs = odd_documents.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string"))
+    items = [(1, None), (2, "six seven"), (2, "six seven"), (3, "eight nine"), (4, "two three"), (5, "some words")]
+    items = spark.createDataFrame(items, "item_id long, text string")
+    once = sorted(map(repr, decontamination.find_leaks(docs, items).collect()))
+    rounds = decontamination.find_leaks(docs, items, limit=4)
+    assert sorted(map(repr, rounds.collect())) == once
+    assert len(once) == docs.count()
