@@ -49,7 +49,8 @@ class Encoder:
 
     A byte-level pre-tokenizer always starts a new piece at a space that something other than white space
     follows, so texts are cut there and each distinct cut is encoded once. With any other pre-tokenizer whole texts
-    are encoded.
+    are encoded, and so is a text that holds the string of an added token, which the library finds before it looks
+    at pieces.
     """
 
     def __init__(self, path: str):
@@ -57,7 +58,6 @@ class Encoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         before = spec.get("pre_tokenizer") or {}
@@ -67,6 +67,8 @@ class Encoder:
             and before.get("use_regex", True)
             and not before.get("add_prefix_space")
         )
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.cuts = self.cuts and not any(re.search(r"\s", a) for a in self.added)  # cuts would be joined to one
         size = self.tokenizer.get_vocab_size()
         self.width = np.uint16 if size <= 1 << 16 else np.uint32
         # Ids whose piece starts with a space, in the alphabet of byte-level pieces.
@@ -137,6 +139,21 @@ class Encoder:
             sizes = [len(x) for x in found]
             flat = np.fromiter(chain.from_iterable(found), self.width, sum(sizes))
             return flat, np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        whole = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
+        if whole:
+            cut = list(texts)
+            for i in whole:
+                cut[i] = ""
+            flat, ends = self._encode_cuts(cut)
+            at = ends[whole]
+            found = self._ids([texts[i] for i in whole])
+            sizes = np.diff(ends)
+            sizes[whole] = [len(ids) for ids in found]
+            flat = np.insert(flat, np.repeat(at, sizes[whole]), np.concatenate(found))
+            return flat, np.concatenate([[0], np.cumsum(sizes)])
+        return self._encode_cuts(texts)
+
+    def _encode_cuts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         parts = [self._split(t) for t in texts]
         self._learn(set().union(*parts))
         places = np.fromiter(map(self.known.__getitem__, chain.from_iterable(parts)), np.int64, sum(map(len, parts)))

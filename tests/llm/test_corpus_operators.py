@@ -83,6 +83,8 @@ def test_near_duplicates_odd_rows(odd_documents, no_documents):
     assert near_dups.keep_first(no_documents).count() == 0
 
 
+
+
 # -- suffix arrays and repeats --------------------------------------------------------------------
 
 
@@ -191,6 +193,7 @@ def test_language_model_beats_the_base(spark):
     assert pitman_yor.perplexity(scored) < 0.5 * pitman_yor.perplexity(scored, "base_score")
 
 
+
 def test_language_model_odd_rows(odd_documents, no_documents):
     got = pitman_yor.score(odd_documents).collect()
     assert len(got) == odd_documents.count()
@@ -258,6 +261,19 @@ def test_ids_equal_the_library():
     ]
 
 
+def test_ids_of_added_tokens_equal_the_library():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    end = "<|endoftext|>"
+    texts = ["plain text", f"a {end} b", f"one   {end}two", end, f"{end}{end} x", f"   {end}", "", f"{end[:-1]} >", "the end"]
+    flat, ends = token_files.Encoder(path).encode(texts)
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [flat[a:b].tolist() for a, b in zip(ends, ends[1:])] == want
+    assert library.token_to_id(end) in want[1]
+
+
 def test_sequences_are_views_of_the_file(folder):
     ids = np.arange(5000, dtype=np.uint16)
     with pa.OSFile(f"{folder}/x.arrow", "wb") as sink:
