@@ -83,6 +83,24 @@ def test_near_duplicates_odd_rows(odd_documents, no_documents):
     assert near_dups.keep_first(no_documents).count() == 0
 
 
+def test_keep_first_keeps_one_row_of_each_group(spark):
+    rng = random.Random(8)
+    one, other, third = (" ".join(rng.choice("abcdefgh") + str(rng.randrange(300)) for _ in range(120)) for _ in range(3))
+    rows = [(1, one), (1, one), (5, one), (None, one), (1, other), (9, third), (9, one + " x")]
+    rows += [(None, other + " y"), (None, other + " y"), (7, None), (7, None), (None, "")]
+    kept = sorted(map(tuple, near_dups.keep_first(frame(spark, rows)).collect()), key=repr)
+    assert kept == sorted([(1, one), (1, other), (9, third), (7, None), (7, None), (None, "")], key=repr)
+    nulls = frame(spark, [(None, one)] * 3 + [(None, other)] * 2 + [(None, other + " z")])
+    kept = [r["text"].removesuffix(" z") for r in near_dups.keep_first(nulls).collect()]
+    assert sorted(kept) == sorted([one, other])
+
+
+def test_copies_under_one_key_survive_the_stages(spark):
+    text = " ".join(f"word{i}" for i in range(100))
+    for key in (1, None):
+        rows = frame(spark, [(key, text), (key, text)])
+        kept = repeats.cut_repeats(near_dups.keep_first(rows))
+        assert [tuple(r) for r in kept.collect()] == [(key, text)]
 
 
 # -- suffix arrays and repeats --------------------------------------------------------------------
@@ -193,7 +211,6 @@ def test_language_model_beats_the_base(spark):
     assert pitman_yor.perplexity(scored) < 0.5 * pitman_yor.perplexity(scored, "base_score")
 
 
-
 def test_language_model_odd_rows(odd_documents, no_documents):
     got = pitman_yor.score(odd_documents).collect()
     assert len(got) == odd_documents.count()
