@@ -211,6 +211,16 @@ def test_language_model_beats_the_base(spark):
     assert pitman_yor.perplexity(scored) < 0.5 * pitman_yor.perplexity(scored, "base_score")
 
 
+def test_language_model_is_the_same_at_every_share(spark, documents):
+    """Shares decide where a number is looked up: a corpus with few frequent words and listed pairs scores alike."""
+    docs = frame(spark, documents)
+    whole = {r["doc_id"]: tuple(r) for r in pitman_yor.score(docs).collect()}
+    for shares in ({"frequent_share": 300, "pair_share": 2000}, {"frequent_share": 1, "pair_share": 1}):
+        for row in pitman_yor.score(docs, **shares).collect():
+            assert tuple(row)[:5] == whole[row["doc_id"]][:5]
+            assert tuple(row)[5:] == pytest.approx(whole[row["doc_id"]][5:], rel=1e-9)
+
+
 def test_language_model_odd_rows(odd_documents, no_documents):
     got = pitman_yor.score(odd_documents).collect()
     assert len(got) == odd_documents.count()
