@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontamination, html_text, near_dups, pieces, pitman_yor, quality, repeats, token_files, url_rules, warc_audit
+from . import cap_filters, decontamination, html_text, near_dups, pieces, pitman_yor, quality, repeats, token_files, url_rules, warc_audit
 from .batches import lean_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -238,3 +238,30 @@ def op2_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(
         F.col("key").alias("page_id"), "n_bytes", "payload_sha256", F.coalesce("corrupt", F.lit(False)).alias("corrupt")
     )
+
+
+OP11_SQL = """
+WITH RECURSIVE g AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reach (vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a
+), least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY 1)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings e JOIN least USING (vec_id)
+"""
+
+
+@query("op11_similar_vectors", OP11_SQL)
+def op11_similar_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cap_filters.similar_vectors(table(spark, sf_dir, "embeddings"), cosine=0.95)
+    return found.select(
+        F.col("_key").alias("vec_id"),
+        "n_links",
+        F.col("component").alias("component_id"),
+        F.col("_key").eqNullSafe(F.col("component")).alias("kept"),
+    )
