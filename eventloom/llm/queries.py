@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import cap_filters, decontamination, html_text, near_dups, pieces, pitman_yor, quality, repeats, token_files, url_rules, warc_audit
+from . import cap_filters, decontamination, html_text, near_dups, pieces, pitman_yor, quality, repeats, token_files, turn_repair, url_rules, warc_audit
 from .batches import lean_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -265,3 +265,18 @@ def op11_similar_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("component").alias("component_id"),
         F.col("_key").eqNullSafe(F.col("component")).alias("kept"),
     )
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    fixed = turn_repair.repair(turn_repair.damage(rows), "conv", "turn", "role", "text")
+    found = fixed.report.join(turn_repair.digests(fixed.turns), "_c", "left")
+    whole = rows.select("conv_id").distinct().withColumn("_c", turn_repair.conversation_name("conv_id"))
+    counts = "gaps", "blank", "duplicate", "truncated", "illegal", "cost"
+    return whole.join(found, "_c", "left").select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )

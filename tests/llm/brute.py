@@ -123,3 +123,63 @@ def unigram_scores(rows):
         )
         for key, words in tokens
     ]
+
+
+def damaged(rows):
+    """Rows (conv, turn, role, text) after the damage that the contract states, ordered per conversation."""
+    found = {conv: [] for conv, *_ in rows}
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        name = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        lot = zlib.crc32(name.encode()) % 20
+        if lot == 1:
+            text = ""
+        elif lot == 2:
+            text = re.sub("[.!?]", "", text)
+        elif lot == 4:
+            role = "user"
+        found[conv] += [(turn, role, text)] * {0: 0, 3: 2}.get(lot, 1)
+    return {c: sorted(r, key=lambda x: (x[0] is not None, x[0] or 0, x[1].encode(), x[2].encode())) for c, r in found.items()}
+
+
+def repaired(rows):
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, sha) of ordered rows, state by state."""
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    counts, seen, marks = [0, 0, 0], set(), []
+    for _, role, text in rows:
+        ends = re.findall(r"[^\x20\x09-\x0D]", text)
+        fault = 0 if not ends else 1 if (role, text) in seen else 2 if ends[-1] not in ".!?" else None
+        seen.add((role, text))
+        marks.append(fault)
+        if fault is not None:
+            counts[fault] += 1
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+
+    def keep_best(ways, state, way):
+        if state not in ways or way[:2] < ways[state][:2]:
+            ways[state] = way
+
+    def inserted(ways):
+        out = dict(ways)
+        for _ in range(3):
+            for state, (cost, audit, lines) in list(out.items()):
+                role = "assistant" if state == "u" else "user"
+                keep_best(out, role[0], (cost + 2, audit + "I", lines + [role + ":"]))
+        return out
+
+    ways = {"": (0, "", [])}
+    for (_, role, text), fault in zip(rows, marks):
+        after = {}
+        for state, (cost, audit, lines) in inserted(ways).items():
+            keep_best(after, state, (cost + 3, audit + "D", lines))
+            if fault in (0, 1):
+                continue
+            more, first = (fault == 2), role[:1]
+            if first == "s" and state == "" or first == "u" and state != "u" or first == "a" and state == "u":
+                keep_best(after, first, (cost + more, audit + "K", lines + [f"{role}:{text}"]))
+            new = "assistant" if state == "u" else "user"
+            keep_best(after, new[0], (cost + 2 + more, audit + "R", lines + [f"{new}:{text}"]))
+        ways = after
+    cost, audit, lines = min(w for s, w in inserted(ways).items() if s in ("", "a"))
+    return (gaps, *counts, illegal, cost, audit, sha("\n".join(lines).encode()))
