@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import cap_filters, decontamination, html_text, near_dups, pieces, pitman_yor, quality, repeats, token_files, turn_repair, url_rules, warc_audit
+from . import cap_filters, decontamination, html_text, near_dups, pieces, pitman_yor, quality, repeats, token_files, turn_repair, turn_tries, url_rules, warc_audit
 from .batches import lean_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -280,3 +280,9 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
+
+
+
+@query("op13_prefix_trie")
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_tries.prefix_trie(table(spark, sf_dir, "conversations")).drop("name", "parent")

@@ -183,3 +183,33 @@ def repaired(rows):
         ways = after
     cost, audit, lines = min(w for s, w in inserted(ways).items() if s in ("", "a"))
     return (gaps, *counts, illegal, cost, audit, sha("\n".join(lines).encode()))
+
+
+def trie(rows):
+    """Rows (conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256) of the prefix trie."""
+    own = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            said = role or "", text or ""
+            digest = hashlib.md5(f"{len(said[0])}:{said[0]}{said[1]}".encode()).digest()
+            own.setdefault(conv, []).append(((turn is not None, turn or 0, said[0].encode(), digest), said))
+    own = {c: [said for _, said in sorted(r, key=lambda x: x[0])] for c, r in own.items()}
+    nodes, ends = {}, {}
+    for conv, turns in own.items():
+        h = zlib.crc32(str(conv).encode()) % 4
+        base = conv - (abs(conv) % 20 if conv >= 0 else -(abs(conv) % 20))
+        path = tuple(own.get(base, [])[:h] + turns[h:])
+        for d in range(len(path) + 1):
+            nodes.setdefault(path[:d], []).append(conv)
+        ends.setdefault(path, []).append(conv)
+    children, leaves, saved = Counter(p[:-1] for p in nodes if p), Counter(), Counter()
+    for path, members in nodes.items():
+        words = len(SPACE_WORDS.findall(path[-1][1])) if path else 0
+        for d in range(len(path) + 1):
+            leaves[path[:d]] += not children[path]
+            saved[path[:d]] += (len(members) - 1) * words
+    return [
+        (min(m), len(p), min(nodes[p[:-1]]) if p else None, len(m), children[p], leaves[p], saved[p],
+         sha(",".join(map(str, sorted(ends.get(p, [])))).encode()))
+        for p, m in nodes.items()
+    ]

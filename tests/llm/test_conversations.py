@@ -104,3 +104,73 @@ def test_repair_query(spark):
     assert got.columns == "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256".split()
     want = {(c, *brute.repaired(r)) for c, r in brute.damaged(rows).items()}
     assert {tuple(r) for r in got.collect()} == want
+
+
+def many_conversations():
+    """Shared beginnings, prefixes of one another, long copies and turnless ones."""
+    import random
+
+    rng, rows = random.Random(3), []
+    for conv in [*range(0, 130), -3, -20, -27, 977, 999]:
+        for turn in range(rng.choice([1, 1, 2, 3, 5, 9])):
+            rows.append((conv, turn, rng.choice(["user", "assistant"]), f"say {rng.randrange(3)} {'x ' * rng.randrange(3)}"))
+    for conv in (300, 301, 302, 303, 320):
+        rows += [(conv, t, "user", f"long {t}" if t < 37 or conv < 303 else f"other {t}") for t in range(41 + conv % 2)]
+    return rows
+
+
+def tries(spark, rows, **kw):
+    from eventloom.llm import turn_tries
+
+    nodes = turn_tries.prefix_trie(frame(spark, rows), **kw)
+    columns = "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256".split()
+    return [tuple(r) for r in nodes.select(columns).collect()]
+
+
+@pytest.mark.parametrize("rows", [ODD, many_conversations(), ODD + many_conversations()])
+@pytest.mark.parametrize("kw", [{}, {"segment": 4, "run": 20}, {"segment": 1, "run": 1}])
+def test_trie(spark, rows, kw):
+    assert sorted(tries(spark, rows, **kw), key=repr) == sorted(brute.trie(rows), key=repr)
+
+
+def test_trie_of_nothing(spark):
+    assert tries(spark, []) == [] and tries(spark, [(None, 0, "user", "no id")]) == []
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(-1000, 1000), st.lists(st.integers(0, 300), max_size=6), min_size=1, max_size=60))
+def test_radix_tree(paths):
+    """All turn-aligned prefixes with their members; every layout occurs among ids that differ in their first byte."""
+    from eventloom.llm.turn_tries import RadixTree
+
+    turn = lambda n: bytes([n % 256]) * 8 + n.to_bytes(8, "big")
+    tree = RadixTree()
+    want = {}
+    for conv, numbers in paths.items():
+        tree.add(b"".join(map(turn, numbers)), conv)
+        for d in range(len(numbers) + 1):
+            want.setdefault(tuple(numbers[:d]), []).append(conv)
+    marks = tree.turns(b"\0" * 16, {turn(n): 1 for n in range(301)})
+    assert sorted((m.depth, m.count, m.least) for m in marks) == sorted((len(p), len(c), min(c)) for p, c in want.items())
+    assert all(not m.children == 0 or m.leaves == 1 for m in marks if not m.open)
+
+
+def test_layouts_grow():
+    from eventloom.llm.turn_tries import Node4, Node16, Node48, Node256
+
+    node, kinds = Node4(), set()
+    for n in range(256):
+        node = node.put(n * 7 % 256, n)
+        kinds.add(type(node))
+        assert [k for _, k in node.items()] == sorted(range(n + 1), key=lambda m: m * 7 % 256)
+    assert kinds == {Node4, Node16, Node48, Node256} and node.get(7) == 1
+    assert Node4([(1, "a")]).get(2) is None
+
+
+def test_trie_query(spark):
+    import __spark_entry__
+
+    rows = [tuple(r) for r in spark.read.parquet(f"{TABLES}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    got = __spark_entry__.queries()["op13_prefix_trie"](spark, TABLES)
+    assert got.columns == "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256".split()
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(brute.trie(rows), key=repr)

@@ -23,16 +23,16 @@ def rows_of(entry, spark, name):
 
 def test_all_are_registered(entry):
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op") and n[2:3].isdigit()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op") and n[2:3].isdigit()} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names
 
 
-@pytest.mark.parametrize("name", ["op2_warc_audit", "op4_url_filter", "op5_near_duplicates", "op7_repeats", "op8_decontamination"])
+@pytest.mark.parametrize("name", ["op2_warc_audit", "op4_url_filter", "op5_near_duplicates", "op7_repeats", "op8_decontamination", "op11_similar_vectors"])
 def test_against_sql(entry, spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{TABLES}/{table}.parquet'")
     answer = con.execute(entry.oracle_sql()[name])
     names = [d[0] for d in answer.description]
