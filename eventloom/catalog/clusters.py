@@ -8,7 +8,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from ..functions.columns import prefixed
-from ..functions.vectors import squared_distance, squared_length, total
+from ..functions.vectors import squared_distance, total
 from ..operators import cluster as C
 from ..operators import graph as G
 from ..operators import represent as R
@@ -16,7 +16,8 @@ from ..plans.actor_clusters import actor_graph
 from ..session import scratch_path, settle
 from ..sources.readers import read_cluster_profile
 from ..sources.sinks import save_model, write_edges
-from .features import orders_training
+from .features import PRIORITIES, STATUSES, orders_training
+from .fits import kmeans_sql, mixture_sql, stop_sql
 from .registry import query, table
 
 POINTS_SQL = "SELECT vec_id, label, generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings"
@@ -130,38 +131,63 @@ def profile_file(spark, sf):
 def clusters_graph(spark, sf):
     """The whole actor plan: features, cosine k-means, profile, graph."""
     carry = ["o_orderpriority", "o_orderstatus"]
-    rows = orders_training(spark, sf, carry).rows
-    _, labelled = C.kmeans_cosine(rows, "features", C.ACTOR_CLUSTERS)
+    _, labelled = orders_clusters(orders_training(spark, sf, carry))
     return actor_graph(labelled, "o_orderkey", ["o_orderpriority"], "o_orderstatus", top=100)
 
 
-@query("kmeans_cosine", "SELECT o_orderkey, true AS nearest FROM orders")
+def orders_clusters(training):
+    cells = training.cells.select("o_orderkey", "position", F.col("value").alias("x"))
+    return C.kmeans_cosine(training.base, k=C.ACTOR_CLUSTERS, ident="o_orderkey", cells=cells)
+
+
+# The same features with all positions, standardised and divided by their length.
+ORDER_FLAGS_SQL = ", ".join(
+    [f"(p = '{v}')::INTEGER::DOUBLE" for v in PRIORITIES] + [f"(s = '{v}')::INTEGER::DOUBLE" for v in STATUSES * 2]
+)
+ORDER_CELLS_SQL = f"""
+  SELECT id, pos, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS x FROM (
+    SELECT id, pos, (x - avg(x) OVER (PARTITION BY pos)) / stddev_samp(x) OVER (PARTITION BY pos) AS x FROM (
+      SELECT o_orderkey AS id, unnest(['t', '1', '2', '3', '4', '5', 'F', 'O', 'P', 'eF', 'eO', 'eP']) AS pos,
+             unnest([(30 * month(o_orderdate) + day(o_orderdate)) / 365.0::DOUBLE, {ORDER_FLAGS_SQL}]) AS x
+      FROM (SELECT *, o_orderpriority AS p, o_orderstatus AS s FROM orders)))
+"""
+
+
+@query(
+    "kmeans_cosine",
+    f"""WITH {kmeans_sql(ORDER_CELLS_SQL, [C.ACTOR_CLUSTERS], 1, cosine=True)}
+        SELECT id AS o_orderkey, label::INTEGER AS cluster FROM f_rounds WHERE t = {stop_sql()}""",
+)
 def cosine(spark, sf):
-    """Every order, and whether its label is the centre of greatest cosine to its standardised vector."""
-    from pyspark.ml.feature import StandardScaler
+    """The label of every order; SQL repeats the fit."""
+    return orders_clusters(orders_training(spark, sf))[1].select("o_orderkey", "cluster")
 
-    rows = orders_training(spark, sf).rows
-    model, labelled = C.kmeans_cosine(rows, "features", C.ACTOR_CLUSTERS)
-    scaler = StandardScaler(inputCol="features", outputCol="s", withMean=True, withStd=True).fit(rows)
-    centres = F.lit([[float(x) for x in c] for c in model.clusterCenters()])
-    product = lambda a, b: total(F.zip_with(a, b, lambda x, y: x * y))
-    near = F.transform(centres, lambda c: product(vector_to_array("s"), c) / F.sqrt(squared_length(c)))
-    scaled = scaler.transform(labelled).select("o_orderkey", "cluster", near.alias("near"))
-    return scaled.select("o_orderkey", (F.get("near", "cluster") >= F.array_max("near") - 1e-9).alias("nearest"))
+
+UNIT_SQL = f"SELECT vec_id AS id, pos, x / sqrt(sum(x * x) OVER (PARTITION BY vec_id)) AS x FROM ({POINTS_SQL})"
+SWEEP_SQL = f"WITH {kmeans_sql(UNIT_SQL, list(C.SWEEP), C.SWEEP_SEED)}"
 
 
-@query("kmeans_sweep", "SELECT k::INTEGER AS k, true AS positive, true AS below_total FROM unnest(range(2, 11)) t(k)")
+@query("kmeans_sweep", f"{SWEEP_SQL} SELECT k::INTEGER AS k, round(cost, 6) AS wcss FROM f_costs WHERE t = {stop_sql()}")
 def sweep(spark, sf):
-    """The nine k, and that each cost lies between 0 and the sum of squares around the overall mean."""
-    rows = settle(vectors(spark, sf))
-    whole = rows.select(Summarizer.mean(F.col("features")).alias("m")).select(vector_to_array("m").alias("m")).first()["m"]
-    spread = rows.agg(F.sum(squared_distance(vector_to_array("features"), F.lit([float(x) for x in whole])))).first()[0]
-    cost = F.col("wcss")
-    return C.kmeans_sweep(rows).select("k", (cost > 0).alias("positive"), (cost <= spread + 1e-9).alias("below_total"))
+    """The cost of each of the nine k, fitted together; SQL repeats the fits."""
+    costs = C.kmeans_sweep(settle(vectors(spark, sf)), ident="vec_id")
+    return costs.select("k", F.round("wcss", 6).alias("wcss"))
+
+
+@query(
+    "kmeans_sweep_labels",
+    f"{SWEEP_SQL} SELECT id AS vec_id, k::INTEGER AS k, label::INTEGER AS label FROM f_rounds WHERE t = {stop_sql()}",
+)
+def sweep_labels(spark, sf):
+    """The label of every vector under each k."""
+    models = C.sweep_models(settle(vectors(spark, sf)), ident="vec_id")
+    ks = F.lit(models.ks)
+    rows = models.labels.select("vec_id", F.explode(F.arrays_zip(ks.alias("k"), F.col("labels").alias("label"))).alias("c"))
+    return rows.select("vec_id", "c.k", "c.label")
 
 
 def chosen_k(rows) -> int:
-    return C.elbow_k(C.kmeans_sweep(rows))
+    return C.elbow_k(C.kmeans_sweep(rows, ident="vec_id"))
 
 
 @query("kmeans_final", "SELECT vec_id, true AS nearest FROM embeddings")
@@ -175,13 +201,24 @@ def final(spark, sf):
     return measured.select("vec_id", (F.get("far", "cluster_label") <= F.array_min("far") + 1e-9).alias("nearest"))
 
 
-@query("gmm_labels", "SELECT vec_id, true AS labelled FROM embeddings")
+GMM_ROUNDS = 10
+CHOSEN_SQL = f"""
+  chosen AS MATERIALIZED (SELECT j + 2 AS k FROM (SELECT row_number() OVER (ORDER BY k) - 1 AS j, lead(cost, 2) OVER (ORDER BY k)
+    - 2 * lead(cost) OVER (ORDER BY k) + cost AS bend FROM f_costs WHERE t = {stop_sql()}) WHERE bend IS NOT NULL ORDER BY bend, j LIMIT 1)
+"""
+START_SQL = f"SELECT id, label FROM h_rounds WHERE k = (SELECT k FROM chosen) AND t = {stop_sql('h', 'k = (SELECT k FROM chosen)')}"
+
+
+@query(
+    "gmm_labels",
+    f"""{SWEEP_SQL}, {CHOSEN_SQL}, {kmeans_sql(UNIT_SQL, list(C.SWEEP), C.FINAL_SEED, name="h")},
+        {mixture_sql(UNIT_SQL, START_SQL, GMM_ROUNDS)} SELECT id AS vec_id, label::INTEGER AS label FROM g_e""",
+)
 def mixture(spark, sf):
-    """Mixture over the whole vectors, as many components as the elbow's k; every vector has one of them."""
+    """The component of every vector after ten rounds, as many components as the elbow's k; SQL repeats the fits."""
     rows = settle(vectors(spark, sf))
-    k = chosen_k(rows)
-    labels = C.gmm_labels(rows.select("vec_id", "features"), "features", k)
-    return labels.select("vec_id", F.col("gmm_label").between(0, k - 1).alias("labelled"))
+    found, _, _ = C.gmm_fit(rows, "features", chosen_k(rows), ident="vec_id", rounds=GMM_ROUNDS, tolerance=0.0)
+    return found.labels.select("vec_id", "label")
 
 
 @query(

@@ -9,8 +9,7 @@ from typing import Any
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import GaussianMixture, KMeans, KMeansModel
-from pyspark.ml.feature import StandardScaler
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
@@ -20,12 +19,15 @@ from pyspark.sql import functions as F
 from ..functions.vectors import (
     dense,
     distance,
+    long_cells,
     set_positions,
     sparse_distance,
     squared_distance,
     squared_length,
+    stored_cells,
 )
 from ..session import settle
+from . import lloyd
 from .spread import lookup_join, rank_in_group
 
 # Clusters of the actor-event model, tried k of the sweep, and the seeds.
@@ -64,28 +66,51 @@ def kmeans_cosine(
     seed: int = 1,
     with_mean: bool = True,
     label: str = "cluster",
-) -> tuple[KMeansModel, DataFrame]:
-    """Standardise, then k-means by cosine distance.
-
-    The angle of a zero vector is not defined: such rows take no part in the fit and keep a null
-    label. ``with_mean=False`` keeps wide vectors sparse but is a different standardisation.
+    ident: str | None = None,
+    cells: DataFrame | None = None,
+) -> tuple[lloyd.Models, DataFrame]:
+    """Standardise, then k-means by cosine distance; the model and ``df`` with the label.
+
+    The angle of a zero vector is not defined: such rows take no part in the fit and keep a null label. Works on the
+    non-zero cells: ``cells (ident, position, x)`` or, where they are not given, those of the vectors in ``features``;
+    the mean that standardising takes off every cell is a number a position and a number a centre, so rows stay sparse.
+    ``with_mean=False`` leaves the mean in.
     """
-    scaler = StandardScaler(
-        inputCol=features, outputCol="_scaled", withMean=with_mean, withStd=True
-    ).fit(df)
-    scaled = scaler.transform(df).withColumn(
-        "_turns", F.exists(vector_to_array("_scaled"), lambda x: x != 0)
-    )
-    # exactly the frame that is fitted is kept, and only while it is fitted
-    fitted = scaled.where("_turns").select("_scaled").persist(StorageLevel.MEMORY_AND_DISK)
+    df, row, cells = with_cells(df, features, ident, cells)
+    prepared = lloyd.standard_cells(df.select(row), cells, row, with_mean)
+    try:
+        models = lloyd.kmeans(prepared, [k], seed, cosine=True)
+    finally:
+        prepared.close()
+    labels = models.labels.select(row, F.col("labels")[0].alias(label))
+    labelled = df.join(labels, row, "left")
+    return models, labelled if ident else labelled.drop(row)
+
+
+def with_cells(
+    df: DataFrame, features: str, ident: str | None, cells: DataFrame | None = None
+) -> tuple[DataFrame, str, DataFrame]:
+    """``df``, its unique id column (numbered and written down where it has none) and its cells."""
+    if ident is None:
+        ident, df = "_row", settle(df.withColumn("_row", F.monotonically_increasing_id()))
+    return df, ident, long_cells(df, ident, features) if cells is None else cells
+
+
+def sweep_models(
+    df: DataFrame,
+    features: str = "features",
+    ks: Iterable[int] = SWEEP,
+    seed: int = SWEEP_SEED,
+    ident: str | None = None,
+    tolerance: float = 1e-4,
+) -> lloyd.Models:
+    """The models of all k, fitted together."""
+    df, row, cells = with_cells(df, features, ident)
+    prepared = lloyd.plain_cells(df.select(row), cells, row)
     try:
-        model = fit_kmeans(fitted, "_scaled", k, seed, "cosine", label)
+        return lloyd.kmeans(prepared, list(ks), seed, tolerance=tolerance, most=MAX_ITER)
     finally:
-        fitted.unpersist()
-    moving = scaled.where("_turns")
-    still = scaled.where(~F.col("_turns")).withColumn(label, F.lit(None).cast("int"))
-    labelled = model.transform(moving).unionByName(still).drop("_scaled", "_turns")
-    return model, labelled
+        prepared.close()
 
 
 def kmeans_sweep(
@@ -93,24 +118,14 @@ def kmeans_sweep(
     features: str = "features",
     ks: Iterable[int] = SWEEP,
     seed: int = SWEEP_SEED,
-    threads: int = 4,
+    ident: str | None = None,
 ) -> DataFrame:
-    """``(k, wcss)`` for each k, from fits over one persisted copy of the vectors."""
-    vectors = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
-    tasks = min(df.sparkSession.sparkContext.defaultParallelism, vectors.count() // TASK_ROWS + 1)
-    if vectors.rdd.getNumPartitions() < tasks:  # a scan of few row groups would leave the cores idle in every pass
-        vectors, scanned = vectors.repartition(tasks).persist(StorageLevel.MEMORY_AND_DISK), vectors
-        vectors.count()
-        scanned.unpersist()
+    """``(k, wcss)`` for each k. All models are fitted in the same rounds over the cells."""
+    return sweep_costs(df.sparkSession, sweep_models(df, features, ks, seed, ident))
 
-    def cost(k: int) -> tuple[int, float]:
-        return k, float(fit_kmeans(vectors, features, k, seed).summary.trainingCost)
 
-    try:
-        rows = at_once(df.sparkSession, [lambda k=k: cost(k) for k in ks], threads)
-    finally:
-        vectors.unpersist()
-    return df.sparkSession.createDataFrame(rows, "k int, wcss double")
+def sweep_costs(spark: SparkSession, models: lloyd.Models) -> DataFrame:
+    return spark.createDataFrame(list(zip(models.ks, models.costs)), "k int, wcss double")
 
 
 def second_differences(sweep: DataFrame) -> DataFrame:
@@ -148,13 +163,33 @@ def kmeans_final(
     return model, model.transform(df)
 
 
+def gmm_fit(
+    df: DataFrame,
+    features: str,
+    k: int,
+    seed: int = FINAL_SEED,
+    ident: str | None = None,
+    rounds: int = 100,
+    tolerance: float = 1e-3,
+) -> tuple[lloyd.Mixture, DataFrame, str]:
+    """Mixture of ``k`` Gaussians with a variance for each position, started from k-means; the mixture, ``df`` with an id,
+    and the id's name."""
+    df, row, cells = with_cells(df, features, ident)
+    prepared = lloyd.plain_cells(df.select(row), cells, row)
+    try:
+        start = lloyd.kmeans(prepared, [k], seed).labels.select(row, F.col("labels")[0].alias("label"))
+        return lloyd.mixture(prepared, start, k, rounds, tolerance), df, row
+    finally:
+        prepared.close()
+
+
 def gmm_labels(
-    df: DataFrame, features: str, k: int, seed: int = FINAL_SEED, label: str = "gmm_label"
+    df: DataFrame, features: str, k: int, seed: int = FINAL_SEED, label: str = "gmm_label", ident: str | None = None, **options
 ) -> DataFrame:
-    mixture = GaussianMixture(
-        k=k, seed=seed, featuresCol=features, predictionCol=label, probabilityCol="_p"
-    )
-    return mixture.fit(df).transform(df).drop("_p")
+    """``df`` with the most likely component of each row (see ``gmm_fit``)."""
+    found, df, row = gmm_fit(df, features, k, seed, ident, **options)
+    labelled = df.join(found.labels.select(row, F.col("label").alias(label)), row, "left")
+    return labelled if ident else labelled.drop(row)
 
 
 def label_disagreement(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -184,9 +219,7 @@ def project_2d(df: DataFrame, features: str, label: str = "cluster_label") -> Da
 
 def sparse_cells(df: DataFrame, features: str, keep: Sequence[str] = ()) -> DataFrame:
     """Non-zero positions and values of each vector as two arrays."""
-    values = vector_to_array(features)
-    x = F.filter(values, lambda v: v != 0)
-    return df.select(*keep, set_positions(values).alias("at"), x.alias("x"))
+    return stored_cells(df.select(*keep, features), features)
 
 
 def row_products(batch: pd.DataFrame, axes: np.ndarray) -> np.ndarray:

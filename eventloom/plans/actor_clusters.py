@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,7 @@ from ..operators.features import (
     vocabulary_width,
 )
 from ..operators.graph import actor_event_graph
+from ..operators.lloyd import Models
 from ..operators.spread import lookup_join
 from ..session import settle
 
@@ -32,12 +33,18 @@ CODES = ("EventRootCode", "EventBaseCode", "EventCode")
 
 @dataclass
 class TrainingSet:
-    """Sparse rows ``(ident, *carried, features)``, their non-zero ``cells (ident, position, value)`` and
-    ``names (feature, position)``."""
+    """Rows ``base (ident, *carried)``, their non-zero ``cells (ident, position, value)`` and ``names (feature, position)``."""
 
-    rows: DataFrame
+    base: DataFrame
     cells: DataFrame
     names: DataFrame
+    ident: str
+    width: int
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        """``base`` with the sparse vector ``features``; gathered when it is first asked for."""
+        return sparse_vectors(self.base, self.cells, self.ident, self.width, "features")
 
     def long(self, ident: str) -> DataFrame:
         """Non-zero cells as ``(ident, feature, value)``."""
@@ -77,8 +84,8 @@ def training_set(
     first = encode_long(df, ident, actors, people_text, "value").select(ident, (F.col("idx") + 1).alias("position"), one)
     last = encode_long(df, ident, codes, roots_text).select(ident, (F.col("idx") + 1 + n_actors).alias("position"), one)
     cells = settle(time.where("value <> 0").unionByName(first).unionByName(last))
-    rows = sparse_vectors(df.select(ident, *carry), cells, ident, 1 + n_actors + n_codes, "features")
-    return TrainingSet(rows, cells, settle(feature_names(people, roots, n_actors)))
+    names = settle(feature_names(people, roots, n_actors))
+    return TrainingSet(df.select(ident, *carry), cells, names, ident, 1 + n_actors + n_codes)
 
 
 def row_features(df: DataFrame, ident: str, cluster: str, actors: Sequence[str], code: str) -> DataFrame:
@@ -98,11 +105,12 @@ def actor_clusters(
     k: int = ACTOR_CLUSTERS,
     seed: int = 1,
     with_mean: bool = True,
-) -> tuple[KMeansModel, DataFrame]:
+) -> tuple[Models, DataFrame]:
     """Model and labelled rows; labels run from 0 and are null where the vector is zero."""
     carry = list(dict.fromkeys([*actors, *codes]))
-    rows = training_set(df, ident, date, actors, codes, carry).rows
-    return kmeans_cosine(rows, "features", k, seed, with_mean)
+    training = training_set(df, ident, date, actors, codes, carry)
+    cells = training.cells.withColumnRenamed("value", "x")
+    return kmeans_cosine(training.base, k=k, seed=seed, with_mean=with_mean, ident=ident, cells=cells)
 
 
 def actor_graph(

@@ -95,7 +95,6 @@ def news_clusters(
     ks: Sequence[int] = SWEEP,
     offset: int = 2,
     rule: str = "argmin",
-    threads: int = 4,
 ) -> NewsClusters:
     """Vectors, the choice of k by the elbow, and the final labels. No row with a text: no cluster."""
     vectors = news_vectors(gkg, texts, embeddings)
@@ -103,7 +102,7 @@ def news_clusters(
         spark = gkg.sparkSession
         centres = spark.createDataFrame([], "cluster_label int, centre array<double>")
         return NewsClusters(vectors.withColumn("cluster_label", F.lit(None).cast("int")), centres, 0)
-    k = elbow_k(kmeans_sweep(vectors, "features", ks, threads=threads), offset, rule)
+    k = elbow_k(kmeans_sweep(vectors, "features", ks, ident="row_id"), offset, rule)
     model, labelled = kmeans_final(vectors, "features", k)
     return NewsClusters(settle(labelled), centres_of(model, gkg.sparkSession), k)
 
