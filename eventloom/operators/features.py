@@ -60,16 +60,17 @@ def token_counts(
     cols: Sequence[str] = TOKEN_COLUMNS,
     separator: str = TOKEN_SEPARATOR,
     alpha_only: bool = True,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """``(token, count)`` over every occurrence in the columns; tokens are stripped, and only those
-    of letters count unless ``alpha_only`` is off."""
-    pieces = df.select(F.explode(row_tokens(cols, separator)).alias("piece")).groupBy("piece")
+    """``(token, count)`` over every occurrence in the columns, or ``(*by, token, count)``; tokens are stripped, and only
+    those of letters count unless ``alpha_only`` is off."""
+    pieces = df.select(*by, F.explode(row_tokens(cols, separator)).alias("piece")).groupBy(*by, "piece")
     # repeated pieces are counted before they are cleaned, so a piece is cleaned once, not per row
-    tokens = pieces.agg(F.count(F.lit(1)).alias("n")).select(strip("piece").alias("token"), "n")
+    tokens = pieces.agg(F.count(F.lit(1)).alias("n")).select(*by, strip("piece").alias("token"), "n")
     if alpha_only:
         # the test also looks at n, so the optimizer cannot move it below the count
         tokens = tokens.where(F.when(F.col("n") > 0, is_alpha("token")))
-    return tokens.groupBy("token").agg(F.sum("n").alias("count"))
+    return tokens.groupBy(*by, "token").agg(F.sum("n").alias("count"))
 
 
 def vocab_by_coverage(counts: DataFrame, coverage: float = COVERAGE) -> DataFrame:

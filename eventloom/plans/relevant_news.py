@@ -37,7 +37,7 @@ from ..operators.text import (
 )
 from ..schemas import MIN_ARTICLES, TOKEN_COLUMNS, TOKEN_SEPARATOR
 from ..session import settle
-from ..sources.sinks import replace_table
+from ..sources.snapshots import TableSet
 
 NEWS_COLUMNS = ("cluster_label", "SOURCEURLS", "extracted_text", "summary", "lda_topics")
 
@@ -144,8 +144,10 @@ def most_covered_news(clusters: NewsClusters, texts: DataFrame) -> DataFrame:
 
 
 def news_pipeline(gkg: DataFrame, texts: DataFrame, out: str, **options) -> NewsTables:
-    """Work out both tables and replace the stored ones below ``out``."""
+    """Work out both tables and replace the stored ones below ``out`` together: readers of ``TableSet(spark, out)`` see
+    both old ones or both new ones, and a run that fails leaves the old ones."""
     tables = relevant_news_tables(gkg, texts, **options)
-    replace_table(tables.dimension_reduction, f"{out}/dimension_reduction")
-    replace_table(tables.relevant_news, f"{out}/relevant_news")
+    TableSet(gkg.sparkSession, out).replace(
+        {"dimension_reduction": tables.dimension_reduction, "relevant_news": tables.relevant_news}
+    )
     return tables

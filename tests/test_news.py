@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from eventloom.operators import text as X
 from eventloom.plans.relevant_news import most_covered_news, news_clusters, news_pipeline
+from eventloom.sources.snapshots import TableSet
 from eventloom.schemas import GKG, NO_SUMMARY
 from eventloom.sources.sinks import append_table
 from eventloom.streaming.arrivals import news_on_new_file, on_new_file
@@ -44,7 +45,7 @@ def test_no_row_with_a_text_gives_empty_tables(spark, folder):
     gkg, texts = news_inputs(spark)
     tables = news_pipeline(gkg, texts.limit(0), folder)
     assert (tables.k, tables.relevant_news.count(), tables.dimension_reduction.count()) == (0, 0, 0)
-    assert spark.read.parquet(f"{folder}/relevant_news").count() == 0
+    assert TableSet(spark, folder).read("relevant_news").count() == 0
 
 
 def test_most_covered_news(spark):
@@ -109,9 +110,9 @@ def news_inputs(spark):
 def test_news_tables(spark, folder):
     gkg, texts = news_inputs(spark)
     tables = news_pipeline(gkg, texts, folder, ks=range(2, 6))
-    news = spark.read.parquet(f"{folder}/relevant_news").orderBy("cluster_label").collect()
-    view = spark.read.parquet(f"{folder}/dimension_reduction").collect()
-    assert spark.read.parquet(f"{folder}/relevant_news").columns == ["cluster_label", "SOURCEURLS", "extracted_text", "summary", "lda_topics"]
+    news = TableSet(spark, folder).read("relevant_news").orderBy("cluster_label").collect()
+    view = TableSet(spark, folder).read("dimension_reduction").collect()
+    assert TableSet(spark, folder).read("relevant_news").columns == ["cluster_label", "SOURCEURLS", "extracted_text", "summary", "lda_topics"]
     assert [r.cluster_label for r in news] == list(range(tables.k))
     assert len(view) == 34 and {r.cluster for r in view} == set(range(tables.k))  # row 0 has no text, row 35 few articles
     assert all(r.summary for r in news if r.extracted_text)
@@ -170,4 +171,4 @@ def test_news_of_each_new_file(spark, folder):
     gkg, texts = news_inputs(spark)
     write_file(f"{src}/a.csv", gkg.collect())
     news_on_new_file(spark, src, f"{folder}/check", texts, f"{folder}/out", ks=range(2, 5)).awaitTermination()
-    assert spark.read.parquet(f"{folder}/out/relevant_news").where(F.col("SOURCEURLS").isNotNull()).count() >= 2
+    assert TableSet(spark, f"{folder}/out").read("relevant_news").where(F.col("SOURCEURLS").isNotNull()).count() >= 2
