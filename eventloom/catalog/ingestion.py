@@ -20,7 +20,8 @@ from ..schemas import EVENTS, GKG
 from ..session import scratch_path, settle
 from ..sources import readers, sinks
 from ..sources.zips import member_lines, parse_lines, read_zipped_members
-from ..streaming.arrivals import daily_append, ingest, on_new_file
+from ..sources.archives import archive_lines
+from ..streaming.arrivals import append_new_archives, daily_append, daily_stream, ingest, on_new_content, on_new_file
 from .registry import ACTIVITY_SQL, activity, query, table
 
 ROW = T.StructType(
@@ -30,15 +31,24 @@ ROW = T.StructType(
         T.StructField("event_type", T.StringType()),
         T.StructField("value", T.DoubleType()),
         T.StructField("day", T.StringType()),
+        T.StructField("ts", T.StringType()),
+        T.StructField("props", T.StringType()),
     ]
 )
-ROW_SQL = "SELECT event_id, user_id, event_type, value, strftime(ts, '%Y%m%d') AS day FROM events"
+ROW_SQL = """SELECT event_id, user_id, event_type, value, strftime(ts, '%Y%m%d') AS day,
+  strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, props FROM events"""
 NOW = dt.datetime(2024, 1, 16, 3, 0)
 
 
 def _rows(spark, sf) -> DataFrame:
     return table(spark, sf, "events").select(
-        "event_id", "user_id", "event_type", "value", F.date_format("ts", "yyyyMMdd").alias("day")
+        "event_id",
+        "user_id",
+        "event_type",
+        "value",
+        F.date_format("ts", "yyyyMMdd").alias("day"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+        "props",
     )
 
 
@@ -255,7 +265,7 @@ INDEX_DAY = "20240115"
 @query(
     "ingest",
     f"""SELECT event_id, user_id, event_type, CASE WHEN event_type <> 'error' THEN value END AS value,
-        strftime(ts, '%Y%m%d') AS day, event_type = 'error' AS rejected
+        strftime(ts, '%Y%m%d') AS day, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, props, event_type = 'error' AS rejected
         FROM events WHERE strftime(ts, '%Y%m%d') <> '{INDEX_DAY}'""",
 )
 def ingested(spark, sf):
@@ -331,3 +341,41 @@ def increment(spark, sf):
     for _ in range(2):
         daily_append(spark, folder, path, ROW, NOW)
     return spark.read.schema(ROW).parquet(path).drop("source_file")
+
+
+@query("read_archives", ROW_SQL)
+def archives(spark, sf):
+    """The data source over stored archives: a partition an archive, read through an open file."""
+    lines = archive_lines(spark, stored_zips(spark, _rows(spark, sf)))
+    good, _ = readers.split_quarantine(parse_lines(lines, ROW))
+    return good.drop("source_file")
+
+
+@query("daily_stream", f"SELECT * FROM ({ROW_SQL}) WHERE day = '{(NOW - dt.timedelta(hours=29)).strftime('%Y%m%d')}'")
+def increment_by_stream(spark, sf):
+    """Yesterday's archives by the stream, run twice on one checkpoint: the second run finds nothing new."""
+    path, check, folder = scratch_path(spark, "daily"), scratch_path(spark, "check"), stored_zips(spark, _rows(spark, sf))
+    for _ in range(2):
+        daily_stream(spark, folder, path, ROW, NOW, check).awaitTermination()
+    return spark.read.schema(ROW).parquet(path).drop("source_file")
+
+
+@query("append_new_archives", ROW_SQL)
+def archives_as_they_come(spark, sf):
+    """All archives in two runs of the stream over one checkpoint: first those of ten days, then the rest."""
+    path, check, rows = scratch_path(spark, "stream"), scratch_path(spark, "check"), _rows(spark, sf)
+    folder = stored_zips(spark, rows)
+    for contains in ("202401", ""):
+        append_new_archives(spark, folder, path, ROW, check, contains).awaitTermination()
+    return spark.read.schema(ROW).parquet(path).drop("source_file")
+
+
+@query("on_new_content", "SELECT doc_id::VARCHAR AS SOURCES, 1::BIGINT AS times FROM documents")
+def content_once(spark, sf):
+    """Every file stored twice under different names: each row arrives once."""
+    path, out, check = (scratch_path(spark, name) for name in ("arrivals", "arrived", "check"))
+    rows = settle(gkg_rows(spark, sf).repartition(4, "SOURCES"))
+    for _ in range(2):
+        rows.write.mode("append").csv(path, sep="\t", header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        on_new_content(spark, path, check, lambda good: sinks.append_table(good, out)).awaitTermination()
+    return spark.read.schema(GKG).parquet(out).groupBy("SOURCES").agg(F.count(F.lit(1)).alias("times"))

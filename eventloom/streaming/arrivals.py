@@ -14,10 +14,14 @@ from ..operators.spread import lookup_join
 from ..plans.relevant_news import news_pipeline
 from ..schemas import GKG
 from ..session import settle
+from ..sources.archives import archive_lines
 from ..sources.readers import CORRUPT, previous_day, select_source_files, split_quarantine, with_corrupt, with_source_file
 from ..sources.sinks import append_table, land_raw
 from ..sources.zips import member_lines, parse_lines
 
+# Columns of Spark's binary files.
+BINARY = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def stream_gkg_files(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
     """Knowledge-graph files of one folder as they arrive; other names and folders are not seen. Bad lines keep
@@ -106,6 +110,73 @@ def daily_append(
     return load_files(files, table, schema, skip_header, sort_col)
 
 
+def append_new_archives(
+    spark: SparkSession,
+    folder: str,
+    table: str,
+    schema: T.StructType,
+    checkpoint: str,
+    contains: str = "",
+    skip_header: int = 0,
+    sort_col: str | None = None,
+    rejected: str | None = None,
+) -> StreamingQuery:
+    """Append the archives of ``folder`` that have come since the last run, as a stream that ends when it has them all; the
+    checkpoint knows the last name. What cannot be read is stored by file under ``rejected`` (beside the checkpoint)."""
+    aside = rejected or f"{checkpoint.rstrip('/')}-rejected"
+
+    def batch(rows: DataFrame, _: int) -> None:
+        good, bad = split_quarantine(settle(rows))
+        append_table(good, table, sort_col=sort_col)
+        append_table(bad.select(F.coalesce("source_file", F.lit("unreadable")).alias("source_file"), CORRUPT), aside)
+
+    rows = parse_lines(archive_lines(spark, folder, contains, stream=True), schema, skip_header=skip_header)
+    writer = rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
+def daily_stream(
+    spark: SparkSession,
+    folder: str,
+    table: str,
+    schema: T.StructType,
+    now: dt.datetime,
+    checkpoint: str,
+    skip_header: int = 0,
+    sort_col: str | None = None,
+) -> StreamingQuery:
+    """Yesterday's archives of ``folder`` that are not in the table yet; a second run of the day adds nothing."""
+    return append_new_archives(spark, folder, table, schema, checkpoint, previous_day(now), skip_header, sort_col)
+
+
+def on_new_content(
+    spark: SparkSession,
+    folder: str,
+    checkpoint: str,
+    process: Callable[[DataFrame], None],
+    files_per_batch: int = 64,
+) -> StreamingQuery:
+    """Call ``process`` with the good rows of the files whose content was not seen before, under whatever name.
+
+    The digests of all contents are the keyed state of the stream and live in its checkpoint, so a restart knows them. A
+    file is taken by its digest first and parsed only if that is new; of equal files that come together one is taken. A
+    batch that fails is processed again, so ``process`` replaces by file.
+    """
+    files = (
+        spark.readStream.format("binaryFile").schema(BINARY).option("pathGlobFilter", "*.csv").option("maxFilesPerTrigger", files_per_batch)
+        .load(folder).select("path", F.sha2("content", 256).alias("digest"))
+    )
+
+    def batch(fresh: DataFrame, _: int) -> None:
+        paths = [r["path"] for r in fresh.select("path").orderBy("path").collect()]  # at most files_per_batch
+        if paths:
+            read = spark.read.schema(with_corrupt(GKG)).csv(paths, sep="\t", header=True, enforceSchema=True, mode="PERMISSIVE")
+            process(split_quarantine(settle(with_source_file(read)))[0])
+
+    writer = files.dropDuplicates(["digest"]).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
 def ingest(
     index: DataFrame,
     files: DataFrame,
