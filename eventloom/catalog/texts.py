@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
 
 from ..functions.columns import first_url, quoted
@@ -12,6 +11,7 @@ from ..operators.cluster import mean_centres
 from ..operators.represent import diverse_closest_per_cluster
 from ..operators.spread import lookup_join
 from ..session import settle
+from .clusters import DRAWS_SQL
 from .registry import query, table
 
 TEXT_SQL = r"""
@@ -144,27 +144,65 @@ def diverse_sample(spark, sf):
     return settle(lookup_join(docs, settle(sample.select("vec_id", "label")), "vec_id"))
 
 
-@query("cluster_topics", "SELECT label::BIGINT AS label, 3::INTEGER AS topics, true AS told FROM embeddings GROUP BY 1")
-def topics(spark, sf):
-    """Topics of every cluster's sample, and whether all their terms stand in its texts and none is a stop word."""
-    sample = diverse_sample(spark, sf)
-    found = X.cluster_topics(sample, "label", "text")
-    terms = F.split("lda_topics", "[,;] ")
-    words = F.array_distinct(F.flatten(F.collect_list(X.words_of("text"))))
-    texts = sample.groupBy("label").agg(words.alias("words"))
-    stop = F.lit(StopWordsRemover.loadDefaultStopWords("english"))
-    told = (F.size(F.array_except(terms, "words")) == 0) & ~F.arrays_overlap(terms, stop)
-    return found.join(texts, "label").select(
-        F.col("label").cast("bigint").alias("label"), F.size(F.split("lda_topics", "; ")).alias("topics"), told.alias("told")
+# Words that the queries leave out: an argument of the operator.
+STOP = ("the", "of", "and", "to", "in", "is", "that", "it", "was", "for", "on", "are", "with", "as", "be", "at", "this", "have", "from", "or")
+
+
+def topics_sql(sample: str, n_topics: int = X.TOPICS, rounds: int = X.TOPIC_ITERATIONS, seed: int = X.TOPIC_SEED) -> str:
+    """Common table expressions that repeat the rounds over ``sample (cluster, text)``; ends with ``ranked``."""
+    ks = range(n_topics)
+    prior = f"(1.0::DOUBLE / {n_topics})"
+    lots = ", ".join(
+        f"1 + ('0x' || substr(md5('{seed}:' || doc || ':' || term || ':{k}'), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS q{k}" for k in ks
+    )
+    shares = ", ".join(f"q{k} / ({' + '.join(f'q{j}' for j in ks)}) AS r{k}" for k in ks)
+    sums = lambda p: ", ".join(f"sum(n * r{k}) AS {p}{k}" for k in ks)
+    stop = ", ".join(f"'{w}'" for w in STOP)
+    parts = [
+        f"""n AS MATERIALIZED (SELECT cluster, doc, term, count(*) AS n FROM (SELECT cluster, md5(text) AS doc,
+            unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM ({sample})) WHERE term NOT IN ({stop}) GROUP BY ALL)""",
+        f"r0 AS MATERIALIZED (SELECT cluster, doc, term, n, {shares} FROM (SELECT *, {lots} FROM n))",
+    ]
+    for t in range(1, rounds + 1):
+        fresh = ", ".join(f"(t{k} + {prior}) / (w{k} + v * {prior}) * (d{k} + {prior}) AS q{k}" for k in ks)
+        parts += [
+            f"t{t} AS MATERIALIZED (SELECT cluster, term, {sums('t')} FROM r{t - 1} GROUP BY ALL)",
+            f"d{t} AS MATERIALIZED (SELECT cluster, doc, {sums('d')} FROM r{t - 1} GROUP BY ALL)",
+            f"w{t} AS MATERIALIZED (SELECT cluster, count(*) AS v, {', '.join(f'sum(t{k}) AS w{k}' for k in ks)} FROM t{t} GROUP BY ALL)",
+            f"""r{t} AS MATERIALIZED (SELECT cluster, doc, term, n, {shares} FROM (SELECT r.cluster, r.doc, r.term, n, {fresh} FROM r{t - 1} r
+                JOIN t{t} t ON r.cluster = t.cluster AND r.term = t.term JOIN d{t} d ON r.cluster = d.cluster AND r.doc = d.doc
+                JOIN w{t} w ON r.cluster = w.cluster))""",
+        ]
+    heavy = " UNION ALL ".join(f"SELECT cluster, term, {k} AS topic, sum(n * r{k}) AS weight FROM r{rounds} GROUP BY ALL" for k in ks)
+    parts.append(
+        f"""ranked AS (SELECT * FROM (SELECT cluster, topic, term, row_number() OVER (PARTITION BY cluster, topic
+            ORDER BY round(weight, 9) DESC, term) AS place FROM ({heavy})) WHERE place <= {n_topics})"""
     )
+    return ",\n".join(parts)
 
 
-@query("top_terms", "SELECT t::INTEGER AS topic, p::INTEGER AS place FROM unnest(range(3)) a(t), unnest(range(3)) b(p)")
+SAMPLE_SQL = """SELECT label AS cluster, text FROM documents JOIN (SELECT DISTINCT label, vec_id FROM (SELECT *, row_number() OVER (
+  PARTITION BY label, draw ORDER BY dist, vec_id) AS place FROM far) WHERE place = 1) ON doc_id = vec_id"""
+
+
+@query(
+    "cluster_topics",
+    DRAWS_SQL
+    + f""", {topics_sql(SAMPLE_SQL)} SELECT label, string_agg(line, '; ' ORDER BY topic) AS lda_topics FROM (SELECT cluster AS label,
+        topic, string_agg(term, ', ' ORDER BY place) AS line FROM ranked GROUP BY ALL) GROUP BY label""",
+)
+def topics(spark, sf):
+    """Topics of every cluster's diverse sample, term by term; SQL repeats the rounds."""
+    return X.cluster_topics(diverse_sample(spark, sf), "label", "text", stop_words=STOP)
+
+
+@query(
+    "top_terms",
+    f"WITH {topics_sql('SELECT source AS cluster, text FROM documents')} SELECT cluster AS source, topic::INTEGER AS topic, place::INTEGER AS place, term FROM ranked",
+)
 def terms(spark, sf):
-    """The places of the topics of the whole sample."""
-    found = X.top_terms(diverse_sample(spark, sf), "text")
-    rows = [(i, j) for i, topic in enumerate(found) for j, _ in enumerate(topic)]
-    return spark.createDataFrame(rows, "topic int, place int")
+    """The three heaviest terms of three topics of each source, over all its whole documents."""
+    return X.topic_terms(table(spark, sf, "documents"), "source", "text", stop_words=STOP)
 
 
 @query(

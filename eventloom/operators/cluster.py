@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
-from multiprocessing.pool import ThreadPool
-from typing import Any
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -20,7 +18,6 @@ from ..functions.vectors import (
     dense,
     distance,
     long_cells,
-    set_positions,
     sparse_distance,
     squared_distance,
     squared_length,
@@ -36,14 +33,6 @@ SWEEP = range(2, 11)
 SWEEP_SEED = 42
 FINAL_SEED = 0
 MAX_ITER = 300
-# Rows that are worth a task of their own in a pass of a fit.
-TASK_ROWS = 20_000
-
-
-def at_once(spark: SparkSession, jobs: Sequence[Callable[[], Any]], threads: int) -> list[Any]:
-    """Run independent driver calls side by side, so that their Spark jobs share the executors."""
-    with ThreadPool(min(threads, max(len(jobs), 1))) as pool:
-        return pool.map(lambda job: job(), [inheritable_thread_target(spark)(job) for job in jobs])
 
 
 def fit_kmeans(
@@ -322,18 +311,19 @@ def mean_centres(df: DataFrame, vec: str, cluster: str) -> DataFrame:
 def centre_distances(df: DataFrame, vec: str, centres: DataFrame, cluster: str, name: str) -> DataFrame:
     """Add an array of distances to the ``points`` (array of arrays) of the row's cluster.
 
-    Arrays are compared cell by cell; ML vectors, usually sparse, by their non-zero cells.
+    Arrays are compared cell by cell. ML vectors, usually sparse, are compared by their non-zero cells; the vectors
+    themselves are left out of the result.
     """
-    joined = lookup_join(df, centres.select(cluster, "points"), cluster)
     if not isinstance(df.schema[vec].dataType, VectorUDT):
+        joined = lookup_join(df, centres.select(cluster, "points"), cluster)
         x = dense(df, vec)
         return joined.withColumn(name, F.transform("points", lambda c: distance(x, c))).drop("points")
-    values = dense(df, vec)
-    joined = joined.withColumn("_at", set_positions(values))
-    joined = joined.withColumn("_x", F.filter(values, lambda v: v != 0))
-    joined = joined.withColumn("_sq", squared_length(F.col("_x")))
-    at, x, squares = F.col("_at"), F.col("_x"), F.col("_sq")
-    far = F.transform("points", lambda c: sparse_distance(at, x, squares, c, squared_length(c)))
+    rows = stored_cells(df, vec).withColumnsRenamed({"at": "_at", "x": "_x"})
+    lengths = F.transform("points", lambda c: F.struct(c.alias("c"), squared_length(c).alias("l")))
+    joined = lookup_join(rows, centres.select(cluster, lengths.alias("points")), cluster)
+    squares = squared_length(F.col("_x"))
+    joined = joined.withColumn("_sq", squares)
+    far = F.transform("points", lambda p: sparse_distance(F.col("_at"), F.col("_x"), F.col("_sq"), p["c"], p["l"]))
     return joined.withColumn(name, far).drop("points", "_at", "_x", "_sq")
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,7 +27,8 @@ def _bytes_of(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, (T.StringType, T.BinaryType)):
         return F.coalesce(F.octet_length(value).cast("bigint"), zero) + 24
     if isinstance(kind, VectorUDT):
-        return F.coalesce(F.size(vector_to_array(value)).cast("bigint"), zero) * 8 + 24
+        # its text has the cells that a sparse vector stores, and no others
+        return F.coalesce(F.octet_length(value.cast("string")).cast("bigint"), zero) * 4 + 24
     if isinstance(kind, T.ArrayType):
         if isinstance(kind.elementType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)):
             return F.coalesce(F.size(value).cast("bigint"), zero) * 16 + 24

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, RegexTokenizer, StopWordsRemover
+from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +12,6 @@ from ..functions.columns import first_url, url_list
 from ..functions.paragraphs import closed_paragraph_text, paragraph_text
 from ..schemas import NO_SUMMARY
 from ..session import settle
-from .cluster import at_once
 from .spread import lookup_join, small_enough
 
 # Width of a text embedding, topics (and terms of each) per cluster, their seed,
@@ -114,6 +112,73 @@ def text_embedding(
     return weighted.drop("_words", "_tf")
 
 
+def term_counts(df: DataFrame, cluster: str, text: str, stop_words: Sequence[str] | None = None) -> DataFrame:
+    """``(cluster, doc, term, n)`` of the words that are no stop words; a text is known by its digest, so equal texts of a
+    cluster count as one longer text."""
+    stop = StopWordsRemover.loadDefaultStopWords("english") if stop_words is None else list(stop_words)
+    told = df.where(F.col(text).isNotNull() & F.col(cluster).isNotNull())
+    words = told.select(F.col(cluster).alias("cluster"), F.md5(F.col(text)).alias("doc"), F.explode(words_of(text)).alias("term"))
+    return words.where(~F.col("term").isin(stop)).groupBy("cluster", "doc", "term").agg(F.count(F.lit(1)).alias("n"))
+
+
+def topic_weights(
+    counts: DataFrame, n_topics: int = TOPICS, seed: int = TOPIC_SEED, rounds: int = TOPIC_ITERATIONS
+) -> DataFrame:
+    """``(cluster, term, weights)``: occurrences of each term by topic, from a latent Dirichlet model of every cluster.
+
+    All clusters are fitted in the same rounds. The state is the share of each topic in every ``(cluster, doc, term)``; a
+    round adds it up by (cluster, term), by (cluster, doc) and by cluster, and the new share is proportional to the
+    smoothed product (collapsed variational updates of order zero, symmetric priors of one over the number of topics). The
+    first shares follow from md5 of seed, text, term and topic. No vocabulary is gathered anywhere.
+    """
+    prior = 1 / n_topics
+    topics = range(n_topics)
+    lots = [
+        1 + F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), "doc", "term", F.lit(str(k)))), 1, 12), 16, 10).cast("double") / 2.0**48
+        for k in topics
+    ]
+    cells = counts.withColumns({f"r{k}": lots[k] for k in topics})
+    cells = settle(_shares(cells, n_topics).select("cluster", "doc", "term", "n", *[f"r{k}" for k in topics]))
+    for _ in range(rounds):
+        sums = lambda p: [F.sum(F.col("n") * F.col(f"r{k}")).alias(f"{p}{k}") for k in topics]
+        terms = cells.groupBy("cluster", "term").agg(*sums("t"))
+        docs = cells.groupBy("cluster", "doc").agg(*sums("d"))
+        whole = terms.groupBy("cluster").agg(F.count(F.lit(1)).alias("v"), *[F.sum(f"t{k}").alias(f"w{k}") for k in topics])
+        joined = cells.join(terms, ["cluster", "term"]).join(docs, ["cluster", "doc"]).join(F.broadcast(whole), "cluster")
+        fresh = {
+            f"r{k}": (F.col(f"t{k}") + prior) / (F.col(f"w{k}") + F.col("v") * prior) * (F.col(f"d{k}") + prior) for k in topics
+        }
+        joined = joined.select("cluster", "doc", "term", "n", *[c.alias(r) for r, c in fresh.items()])
+        cells = settle(_shares(joined, n_topics))
+    weights = F.array(*[F.sum(F.col("n") * F.col(f"r{k}")) for k in topics])
+    return cells.groupBy("cluster", "term").agg(weights.alias("weights"))
+
+
+def _shares(df: DataFrame, n_topics: int) -> DataFrame:
+    whole = sum((F.col(f"r{k}") for k in range(n_topics)), F.lit(0.0))
+    return df.withColumns({f"r{k}": F.col(f"r{k}") / whole for k in range(n_topics)})
+
+
+def topic_terms(
+    df: DataFrame,
+    cluster: str,
+    text: str,
+    n_topics: int = TOPICS,
+    n_terms: int | None = None,
+    stop_words: Sequence[str] | None = None,
+    seed: int = TOPIC_SEED,
+    rounds: int = TOPIC_ITERATIONS,
+) -> DataFrame:
+    """``(cluster, topic, place, term)``: the heaviest terms of each topic of each cluster (as many as topics, unless
+    ``n_terms`` says otherwise), equal weights in term order."""
+    weights = topic_weights(term_counts(df, cluster, text, stop_words), n_topics, seed, rounds)
+    long = weights.select("cluster", "term", F.posexplode("weights").alias("topic", "weight"))
+    order = [F.round("weight", 9).desc(), F.col("term")]
+    place = F.row_number().over(Window.partitionBy("cluster", "topic").orderBy(*order))
+    ranked = long.withColumn("place", place).where(F.col("place") <= (n_terms or n_topics))
+    return ranked.select(F.col("cluster").alias(cluster), "topic", "place", "term")
+
+
 def top_terms(
     df: DataFrame,
     text: str,
@@ -122,33 +187,12 @@ def top_terms(
     stop_words: Sequence[str] | None = None,
     seed: int = TOPIC_SEED,
 ) -> list[list[str]]:
-    """Topics of a collection of texts as lists of their heaviest terms (as many as topics, unless
-    ``n_terms`` says otherwise). Texts without words give no topics."""
-    tokens = RegexTokenizer(inputCol=text, outputCol="_all", pattern=WORD, gaps=False, toLowercase=True)
-    stop = StopWordsRemover(inputCol="_all", outputCol="_words")
-    if stop_words is not None:
-        stop.setStopWords(list(stop_words))
-    words = stop.transform(tokens.transform(df.where(F.col(text).isNotNull()).select(text)))
-    words = words.select("_words").where(F.size("_words") > 0).persist()
-    counts = None
-    try:
-        if words.isEmpty():
-            return []
-        counter = CountVectorizer(inputCol="_words", outputCol="features", vocabSize=MAX_TERMS).fit(words)
-        counts = counter.transform(words).persist()
-        model = LDA(
-            k=n_topics,
-            seed=seed,
-            maxIter=TOPIC_ITERATIONS,
-            subsamplingRate=1.0,
-            learningOffset=1.0,
-        ).fit(counts)
-        topics = model.describeTopics(n_terms or n_topics).orderBy("topic").collect()
-        return [[counter.vocabulary[i] for i in t["termIndices"]] for t in topics]
-    finally:
-        words.unpersist()
-        if counts is not None:
-            counts.unpersist()
+    """Topics of a collection of texts as lists of their heaviest terms. Texts without words give no topics."""
+    rows = topic_terms(df.select(F.lit(0).alias("_all"), text), "_all", text, n_topics, n_terms, stop_words, seed)
+    found: list[list[str]] = [[] for _ in range(n_topics)]
+    for row in rows.orderBy("topic", "place").collect():  # topics times terms
+        found[row["topic"]].append(row["term"])
+    return [topic for topic in found if topic]
 
 
 def cluster_topics(
@@ -158,24 +202,17 @@ def cluster_topics(
     n_topics: int = TOPICS,
     stop_words: Sequence[str] | None = None,
     seed: int = TOPIC_SEED,
-    threads: int = 4,
 ) -> DataFrame:
-    """``(cluster, lda_topics)`` with ``"a, b, c; d, e, f; ..."``: one distributed fit per cluster.
-
-    The list of clusters has the k labels of a model; texts never leave the executors. The vocabulary of a fit is on
-    the driver: the operator is meant for the diverse sample, ten texts a cluster. Rows without a label take no part.
-    """
-    told = df.where(F.col(text).isNotNull() & F.col(cluster).isNotNull())
-    labels = [r[0] for r in told.select(cluster).distinct().collect()]
-
-    def topics(label) -> tuple:
-        terms = top_terms(df.where(F.col(cluster) == F.lit(label)), text, n_topics, None, stop_words, seed)
-        return label, "; ".join(", ".join(t) for t in terms) or None
-
-    jobs = [lambda label=label: topics(label) for label in sorted(labels)]
-    rows = at_once(df.sparkSession, jobs, threads)
-    kind = df.schema[cluster].dataType.simpleString()
-    return df.sparkSession.createDataFrame(rows, f"{cluster} {kind}, lda_topics string")
+    """``(cluster, lda_topics)`` with ``"a, b, c; d, e, f; ..."``, all clusters in one fit. Rows without a label take no part,
+    and clusters whose texts have no words keep a null."""
+    terms = topic_terms(df, cluster, text, n_topics, None, stop_words, seed)
+    line = lambda by, value, sep: F.array_join(
+        F.transform(F.array_sort(F.collect_list(F.struct(by, value))), lambda t: t[value]), sep
+    )
+    topics = terms.groupBy(cluster, "topic").agg(line("place", "term", ", ").alias("line"))
+    topics = topics.groupBy(cluster).agg(line("topic", "line", "; ").alias("lda_topics"))
+    told = df.where(F.col(text).isNotNull() & F.col(cluster).isNotNull()).select(cluster).distinct()
+    return told.join(topics, cluster, "left")
 
 
 def attach_topics(df: DataFrame, topics: DataFrame, cluster: str = "cluster_label") -> DataFrame:

@@ -108,7 +108,7 @@ def news_clusters(
 
 
 def relevant_news(
-    clusters: NewsClusters, texts: DataFrame, seed: int = 0, threads: int = 4
+    clusters: NewsClusters, texts: DataFrame, seed: int = 0
 ) -> DataFrame:
     """One row a cluster: its closest news with text, summary and the topics of a diverse sample."""
     rows, centres = clusters.rows, clusters.centres
@@ -116,7 +116,7 @@ def relevant_news(
     closest = settle(representative_text(closest, "SOURCEURLS", texts, ["row_id"]))
     sample = diverse_closest_per_cluster(rows, "features", centres, seed=seed, keep=["SOURCEURLS"])
     sample = settle(representative_text(sample, "SOURCEURLS", texts, ["row_id"]))
-    topics = cluster_topics(sample, "cluster_label", "extracted_text", threads=threads)
+    topics = cluster_topics(sample, "cluster_label", "extracted_text")
     news = attach_topics(summarise(closest, "row_id", "extracted_text"), topics)
     return settle(news.select(*NEWS_COLUMNS))
 
