@@ -301,6 +301,19 @@ def centres_of(model: KMeansModel, spark: SparkSession, cluster: str = "cluster_
     return spark.createDataFrame(rows, f"{cluster} int, centre array<double>")
 
 
+def model_centres(models: lloyd.Models, width: int, cluster: str = "cluster_label") -> DataFrame:
+    """Centres of the first of ``models`` as rows ``(cluster, centre)``: k arrays of the width. A cluster that lost its rows
+    has none."""
+    k = models.ks[0]
+    rows = models.centres.where("position >= 0").select("position", F.slice("v", 1, k).alias("v")).toArrow()
+    centres = np.zeros((width, k))
+    if rows.num_rows:
+        centres[rows.column("position").to_numpy()] = np.stack(rows.column("v").to_pylist())
+    alive = models.labels.select(F.col("labels")[0].alias("c")).distinct().toArrow().column("c").to_pylist()
+    spark = models.labels.sparkSession
+    return spark.createDataFrame([(c, centres[:, c].tolist()) for c in sorted(alive)], f"{cluster} int, centre array<double>")
+
+
 def mean_centres(df: DataFrame, vec: str, cluster: str) -> DataFrame:
     """Centres of given clusters as their means (partially aggregated per partition)."""
     vector = array_to_vector(dense(df, vec))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.cluster import SWEEP, centres_of, elbow_k, kmeans_final, kmeans_sweep, project_2d
+from ..operators.cluster import FINAL_SEED, SWEEP, elbow_k, kmeans_sweep, model_centres, project_2d, sweep_models
 from ..operators.features import (
     combine_and_normalise,
     multi_hot_tokens,
@@ -56,11 +56,14 @@ def news_vectors(
     min_articles: int = MIN_ARTICLES,
     columns: Sequence[str] = TOKEN_COLUMNS,
     separator: str = TOKEN_SEPARATOR,
+    ident: str | None = None,
 ) -> DataFrame:
     """``(row_id, NUMARTS, SOURCEURLS, features)`` of the rows with a text: unit vectors of the
     multi-hot tokens and the text's embedding. ``texts`` is (url, text), one row a URL;
-    ``embeddings`` is (url, embedding), worked out from the texts if not given."""
-    rows = with_row_id(gkg.where(F.col("NUMARTS") >= min_articles))
+    ``embeddings`` is (url, embedding), worked out from the texts if not given. ``ident`` names a unique integer column
+    that becomes the row id; without it rows are numbered as they are scanned."""
+    rows = gkg.where(F.col("NUMARTS") >= min_articles)
+    rows = settle(rows.withColumn("row_id", F.col(ident).cast("bigint"))) if ident else with_row_id(rows)
     vocab = vocab_by_coverage(token_counts(rows, columns, separator))
     chosen = settle(first_usable_url(rows, "row_id", "SOURCEURLS", texts))
     if chosen.isEmpty():
@@ -95,20 +98,23 @@ def news_clusters(
     ks: Sequence[int] = SWEEP,
     offset: int = 2,
     rule: str = "argmin",
+    columns: Sequence[str] = TOKEN_COLUMNS,
+    ident: str | None = None,
 ) -> NewsClusters:
     """Vectors, the choice of k by the elbow, and the final labels. No row with a text: no cluster."""
-    vectors = news_vectors(gkg, texts, embeddings)
+    vectors = news_vectors(gkg, texts, embeddings, columns=columns, ident=ident)
     if vectors.isEmpty():
         spark = gkg.sparkSession
         centres = spark.createDataFrame([], "cluster_label int, centre array<double>")
         return NewsClusters(vectors.withColumn("cluster_label", F.lit(None).cast("int")), centres, 0)
     k = elbow_k(kmeans_sweep(vectors, "features", ks, ident="row_id"), offset, rule)
-    model, labelled = kmeans_final(vectors, "features", k)
-    return NewsClusters(settle(labelled), centres_of(model, gkg.sparkSession), k)
+    models = sweep_models(vectors, "features", [k], FINAL_SEED, "row_id")
+    labelled = vectors.join(models.labels.select("row_id", F.col("labels")[0].alias("cluster_label")), "row_id")
+    return NewsClusters(settle(labelled), model_centres(models, vectors.first()["features"].size), k)
 
 
 def relevant_news(
-    clusters: NewsClusters, texts: DataFrame, seed: int = 0
+    clusters: NewsClusters, texts: DataFrame, seed: int = 0, stop_words: Sequence[str] | None = None
 ) -> DataFrame:
     """One row a cluster: its closest news with text, summary and the topics of a diverse sample."""
     rows, centres = clusters.rows, clusters.centres
@@ -116,7 +122,7 @@ def relevant_news(
     closest = settle(representative_text(closest, "SOURCEURLS", texts, ["row_id"]))
     sample = diverse_closest_per_cluster(rows, "features", centres, seed=seed, keep=["SOURCEURLS"])
     sample = settle(representative_text(sample, "SOURCEURLS", texts, ["row_id"]))
-    topics = cluster_topics(sample, "cluster_label", "extracted_text")
+    topics = cluster_topics(sample, "cluster_label", "extracted_text", stop_words=stop_words)
     news = attach_topics(summarise(closest, "row_id", "extracted_text"), topics)
     return settle(news.select(*NEWS_COLUMNS))
 
