@@ -283,6 +283,53 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-@query("op13_prefix_trie")
+def _heads_sql() -> str:
+    """crc32 of the decimal id modulo 4, bit by bit over a table of 256 remainders."""
+    return """
+  bits (i, c, n) AS (SELECT i, i::UBIGINT, 0 FROM range(256) r(i) UNION ALL
+    SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END, n + 1 FROM bits WHERE n < 8),
+  steps AS MATERIALIZED (SELECT i, c FROM bits WHERE n = 8),
+  crc (conv, rest, c) AS (SELECT conv_id, conv_id::VARCHAR, 4294967295::UBIGINT FROM (SELECT DISTINCT conv_id FROM conversations
+    WHERE conv_id IS NOT NULL) UNION ALL SELECT conv, rest[2:], xor(s.c, crc.c >> 8) FROM crc JOIN steps s
+    ON s.i = xor(crc.c & 255, ascii(rest[1])::UBIGINT) WHERE rest <> ''),
+  heads AS MATERIALIZED (SELECT conv, xor(c, 4294967295::UBIGINT) % 4 AS h FROM crc WHERE rest = '')"""
+
+
+# A node is named by the digests of its turns; its ancestors lie on the path of its smallest member.
+OP13_SQL = f"""
+WITH RECURSIVE {_heads_sql()},
+t AS MATERIALIZED (
+  SELECT conv_id AS c, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id,
+         len(coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []))::BIGINT AS w,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+), paths AS MATERIALIZED (
+  SELECT c, id, w, row_number() OVER (PARTITION BY c ORDER BY own, k) AS d FROM (
+    SELECT h.conv AS c, id, w, k, 0 AS own FROM heads h JOIN t ON t.c = h.conv - h.conv % 20 WHERE k <= h.h
+    UNION ALL SELECT t.c, id, w, k, 1 FROM t JOIN heads h ON t.c = h.conv WHERE k > h.h)
+), named AS MATERIALIZED (
+  SELECT c, d, w, md5(string_agg(id, '') OVER (PARTITION BY c ORDER BY d)) AS name FROM paths
+  UNION ALL SELECT conv, 0, 0, '' FROM heads
+), own AS MATERIALIZED (
+  SELECT name, d, min(c) AS conv_id, count(*) AS n_convs, any_value(w) AS w FROM named GROUP BY 1, 2
+), last AS (SELECT c, max(d) AS d FROM named GROUP BY 1),
+ends AS (
+  SELECT name, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends FROM named JOIN last USING (c, d) GROUP BY 1
+), up AS MATERIALIZED (
+  SELECT o.name, p.name AS parent FROM own o JOIN named p ON p.c = o.conv_id AND p.d = o.d - 1
+), kids AS (SELECT parent AS name, count(*) AS n_children FROM up GROUP BY 1),
+sums AS (
+  SELECT a.name, sum((o.n_convs - 1) * o.w) AS saved, count(*) FILTER (WHERE n_children IS NULL) AS leaves
+  FROM own o JOIN named a ON a.c = o.conv_id AND a.d <= o.d LEFT JOIN kids ON kids.name = o.name GROUP BY 1
+)
+SELECT o.conv_id, o.d::BIGINT AS depth, p.conv_id AS parent_conv_id, o.n_convs::BIGINT AS n_convs,
+       coalesce(n_children, 0)::BIGINT AS n_children, leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens,
+       coalesce(ends, sha256('')) AS ends_sha256
+FROM own o JOIN sums USING (name) LEFT JOIN kids USING (name) LEFT JOIN ends USING (name) LEFT JOIN up USING (name)
+LEFT JOIN own p ON p.name = up.parent
+"""
+
+
+@query("op13_prefix_trie", OP13_SQL)
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_tries.prefix_trie(table(spark, sf_dir, "conversations")).drop("name", "parent")

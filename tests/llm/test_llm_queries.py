@@ -27,7 +27,7 @@ def test_all_are_registered(entry):
     assert "pipeline" in names
 
 
-@pytest.mark.parametrize("name", ["op2_warc_audit", "op4_url_filter", "op5_near_duplicates", "op7_repeats", "op8_decontamination", "op11_similar_vectors"])
+@pytest.mark.parametrize("name", ["op2_warc_audit", "op4_url_filter", "op5_near_duplicates", "op7_repeats", "op8_decontamination", "op11_similar_vectors", "op13_prefix_trie"])
 def test_against_sql(entry, spark, name):
     import duckdb
 
