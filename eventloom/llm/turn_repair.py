@@ -283,27 +283,41 @@ def _pieces(size: int):
     return cut
 
 
-def _apply(key, rows, pieces):
-    """The repaired turns of one sequence."""
-    rows = rows.sort_by("_n")
-    number, role, text = (rows.column(c).to_pylist() for c in ("_n", "_role", "_text"))
-    out, at = [], 0
-    for edit in pieces.column("edits")[0].as_py() if pieces.num_rows else "":
-        where = number[min(at, len(number) - 1)]
-        if edit in "IJ":
-            out.append((where, ROLES[edit], ""))
-        else:
+def _apply(batches):
+    """The repaired turns: of each sequence first the edits (in ``text``) come, then its turns in order."""
+    current, edits, at, count, last = None, "", 0, 0, 0
+    out: list[tuple] = []
+
+    def insert_until_turn() -> None:
+        nonlocal at, count
+        while at < len(edits) and edits[at] in "IJ":
+            out.append((current, last, count, ROLES[edits[at]], ""))
+            at, count = at + 1, count + 1
+
+    for batch in batches:
+        columns = (batch.column(c).to_pylist() for c in ("_c", "_n", "_role", "_text"))
+        for name, number, role, text in zip(*columns):
+            if number < 0:  # a new sequence; what is left of the one before are insertions at its end
+                insert_until_turn()
+                current, edits, at, count = name, text, 0, 0
+                continue
+            last = number
+            insert_until_turn()
+            edit, at = edits[at], at + 1
             if edit != "D":
-                out.append((where, ROLES.get(edit, role[at]), text[at]))
-            at += 1
-    return pa.table(
-        {
-            "_c": pa.array([key[0].as_py()] * len(out), pa.string()),
-            "_n": pa.array([o[0] for o in out], pa.int64()),
-            "_i": pa.array(range(len(out)), pa.int64()),
-            "role": pa.array([o[1] for o in out], pa.string()),
-            "text": pa.array([o[2] for o in out], pa.string()),
-        }
+                out.append((name, number, count, ROLES.get(edit, role), text))
+                count += 1
+        yield _turns(out)
+        out.clear()
+    insert_until_turn()
+    yield _turns(out)
+
+
+def _turns(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()
+    columns = list(zip(*rows)) or [[]] * len(kinds)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds)], ["_c", "_n", "_i", "role", "text"]
     )
 
 
@@ -339,7 +353,7 @@ def repair(
     Null roles and texts count as one space, a null id is a conversation of its own, other columns are not read, and
     an empty table gives an empty report.
     """
-    space = F.lit(" ")
+    space, none = F.lit(" "), F.lit(None).cast("string")
     rows = df.select(
         conversation_name(conv).alias("_c"),
         F.col(f"`{turn}`").alias("_turn"),
@@ -415,9 +429,11 @@ def repair(
     pieces = done.select("_c", "edits").mapInArrow(_pieces(chunk), "_c string, chunk long, edits string")
     texts = lookup_join(rows.select("_c", "_n", "_role", "_text"), convs.select("_c", "_first"), "_c", by=["_n"])
     texts = texts.withColumn("chunk", place).drop("_first")
-    turns = texts.groupBy("_c", "chunk").cogroup(pieces.groupBy("_c", "chunk")).applyInArrow(
-        _apply, "_c string, _n long, _i long, role string, text string"
-    )
+    # edits and turns of a sequence meet in one partition, the edits first, and are read as they come
+    first = pieces.select("_c", F.lit(-1).cast("bigint").alias("_n"), none.alias("_role"), F.col("edits").alias("_text"), "chunk")
+    both = texts.select("_c", "_n", "_role", "_text", "chunk").unionByName(first)
+    both = both.repartition("_c", "chunk").sortWithinPartitions("_c", "chunk", "_n").drop("chunk")
+    turns = both.mapInArrow(_apply, "_c string, _n long, _i long, role string, text string")
     report = convs.select("_c", F.coalesce(F.col("_span") - F.col("_turns"), zero).alias("gaps")).join(faults, "_c").join(done, "_c")
     return Repair(
         report.select(
