@@ -172,22 +172,24 @@ def test_repeats_odd_rows(odd_documents, no_documents):
 
 
 def test_seating_follows_the_rule():
-    """Mean number of tables against the recursion of the process."""
-    c, pull, discount = 40, 3.0, 0.5
-    mean = 0.0
+    """Mean number of tables against the recursion of the process, the dish's own tables included: 50 customers, two other
+    tables, strength 1, discount 0.75 and a parent's probability of a half give 16.8."""
+    c, discount, share = 50, 0.75, 0.5
+    pull = (1 + discount * 2) * share
     chance = {1: 1.0}
     for i in range(1, c):
         after = {}
         for t, p in chance.items():
-            new = pull / (pull + i - discount * t)
+            opening = pull + discount * t * share
+            new = opening / (opening + i - discount * t)
             after[t + 1] = after.get(t + 1, 0) + p * new
             after[t] = after.get(t, 0) + p * (1 - new)
         chance = after
     mean = sum(t * p for t, p in chance.items())
     n = 20_000
-    tables = pitman_yor.seat(np.full(n, c), np.full(n, pull), discount, np.arange(n).astype(np.uint64), 0)
-    assert abs(tables.mean() - mean) < 0.1
-    big = pitman_yor.seat(np.array([0, 1, 10**9]), np.array([1.0, 1.0, 1e6]), 0.5, np.arange(3).astype(np.uint64), 0)
+    tables = pitman_yor.seat(np.full(n, c), np.full(n, pull), np.full(n, share), discount, np.arange(n).astype(np.uint64), 0)
+    assert abs(tables.mean() - mean) < 0.1 and abs(mean - 16.8) < 0.1
+    big = pitman_yor.seat(np.array([0, 1, 10**9]), np.array([1.0, 1.0, 1e6]), np.zeros(3), 0.5, np.arange(3).astype(np.uint64), 0)
     assert big[0] == 0 and big[1] == 1 and 1 < big[2] < 10**9
 
 
