@@ -59,6 +59,7 @@ STATS = T.StructType(
             "n_distinct_words",
             "n_upper",
             "n_lower",
+            "n_wide",
             "n_function_words",
         )
     ]
@@ -93,6 +94,7 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
     out["n_symbols"] = per_text(_SYMBOLS[data], offsets)
     out["n_upper"] = per_text(_UPPER[data], offsets)
     out["n_lower"] = per_text(_LOWER[data], offsets)
+    out["n_wide"] = per_text(data >= 0xC0, offsets)  # characters beyond ASCII, by their first byte
     known = function_word_prints()
     at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
     out["n_function_words"] = per_text(known[at] == hashes, per_owner)
@@ -143,6 +145,8 @@ def rules() -> dict[str, Column]:
     symbols = _share("n_symbols", "n_words")
     letters = _share("n_letter_words", "n_words")
     common = _share("n_function_words", "n_words")
+    # other scripts have no ASCII case, and none of the function words that are known
+    other = F.col("n_wide") > F.col("n_upper") + F.col("n_lower")
     return {
         "word_length": _against((n > 0) & ~length.between(2.5, 14.0)),
         "symbols": _against(symbols > 0.1),
@@ -152,8 +156,8 @@ def rules() -> dict[str, Column]:
         "distinct": _against((n >= 20) & (_share("n_distinct_words", "n_words") < F.when(n < 200, 0.3).otherwise(0.05))),
         "shouting": _against(F.col("n_upper") > F.col("n_lower")),
         "length": _for(n >= 50, n < 20),
-        "prose": _for((n > 0) & (letters > 0.9) & (symbols < 0.02) & (F.col("n_upper") * 4 < F.col("n_lower"))),
-        "function_words": _for(common >= 0.08, (n >= 50) & (common < 0.01)),
+        "prose": _for((n > 0) & (letters > 0.9) & (symbols < 0.02) & (other | (F.col("n_upper") * 4 < F.col("n_lower")))),
+        "function_words": _for(common >= 0.08, (n >= 50) & (common < 0.01) & ~other),
     }
 
 
