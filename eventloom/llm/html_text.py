@@ -53,7 +53,22 @@ _BESIDE = re.compile(
     rf"(?:^|[^a-z0-9])(?:{'|'.join(BESIDE_WORDS)})(?:$|[^a-z])|{'|'.join(BESIDE_PARTS)}", re.IGNORECASE
 )
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:$|[\s=])|display\s*:\s*none|visibility\s*:\s*hidden|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_UNSHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+
+
+def is_hidden(attributes: str) -> bool:
+    """Whether an attribute of its own (not a word in some value) hides the element."""
+    for found in _ATTRIBUTE.finditer(attributes):
+        name, value = found[1].lower(), found[2] or found[3] or found[4] or ""
+        if name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true"):
+            return True
+        if name == "style" and _UNSHOWN.search(value):
+            return True
+    return False
+
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(/?)([a-zA-Z][^\s/<>]*)((?>(?:\"[^\"<]*\"|'[^'<]*'|[^\"'<>])*)>|[^<>]*>)"
@@ -74,7 +89,7 @@ def _beside(attributes: str, memory: dict[str, int]) -> int:
     known = memory.get(attributes)
     if known is None:
         names = " ".join(a or b or c for a, b, c in _NAMES.findall(attributes))
-        known = _UNSEEN if _HIDDEN.search(attributes) else _NAMED if names and _BESIDE.search(names) else _SEEN
+        known = _UNSEEN if _HIDDEN.search(attributes) and is_hidden(attributes) else _NAMED if names and _BESIDE.search(names) else _SEEN
         if len(memory) < 10_000:
             memory[attributes] = known
     return known

@@ -249,3 +249,33 @@ def test_leaks_are_the_same_in_many_rounds(spark, odd_documents):
     rounds = decontamination.find_leaks(docs, items, limit=4)
     assert sorted(map(repr, rounds.collect())) == once
     assert len(once) == docs.count()
+
+
+@pytest.mark.parametrize("attributes", ['class="col hidden xs"', "title='the hidden gem'", 'data-x="display:none"', 'class=hidden', 'aria-label="aria-hidden=true"'])
+def test_words_in_values_do_not_hide(attributes):
+    from eventloom.llm.html_text import is_hidden
+
+    assert not is_hidden(" " + attributes)
+
+
+@pytest.mark.parametrize("attributes", ["hidden", 'class="a" HIDDEN', "hidden=hidden", 'style="color:red; display : none"', "style='visibility:hidden'", 'aria-hidden="true"', "aria-hidden=true"])
+def test_attributes_that_hide(attributes):
+    from eventloom.llm.html_text import is_hidden
+
+    assert is_hidden(" " + attributes)
+
+
+def test_clean_texts_in_other_scripts_stay(spark, documents):
+    import random
+
+    from eventloom.llm import quality
+
+    rng, rows = random.Random(4), []
+    for i in range(60):
+        letters = ["абвгдежзиклмнопрстуфхцчшыьэюя", "αβγδεζηθικλμνξοπρστυφχψω", "ابتثجحخدذرزسشصضطظعغفقكلمنهوي"][i % 3]
+        word = lambda: "".join(rng.choice(letters) for _ in range(rng.randrange(2, 10)))
+        lines = [" ".join([word().capitalize(), *(word() for _ in range(rng.randrange(5, 12)))]) + "." for _ in range(rng.randrange(6, 40))]
+        rows.append((10**9 + i, " ".join(lines)))
+    docs = spark.createDataFrame([*documents, *rows], "doc_id long, text string")
+    kept = {r["doc_id"] for r in quality.keep_good(docs).collect()}
+    assert {key for key, _ in rows} <= kept
