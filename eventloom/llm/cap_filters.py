@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +26,13 @@ _ROUTED = "width int, region long, node long, copies long, vec array<double>, fi
 _FOUND = "node long, links long, root long"
 
 
-@lru_cache(maxsize=16)
+def words_a_block(width: int, letters: int, blocks: int) -> int:
+    """A block of one dimension has only two unit vectors."""
+    return 2 if -(-width // blocks) == 1 else letters
+
+
 def product_code(width: int, letters: int, blocks: int, seed: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Rotation of the padded space and, for each block, ``letters`` random unit vectors (a line has only two)."""
+    """Rotation of the padded space and, for each block, its random unit vectors."""
     rng = np.random.default_rng([seed, width, letters, blocks])
     block = -(-width // blocks)
     turn = np.linalg.qr(rng.normal(size=(block * blocks, block * blocks)))[0]
@@ -37,7 +40,7 @@ def product_code(width: int, letters: int, blocks: int, seed: int) -> tuple[np.n
     for _ in range(blocks):
         words = rng.normal(size=(letters, block))
         words /= np.linalg.norm(words, axis=1, keepdims=True)
-        books.append(np.unique(np.sign(words), axis=0) if block == 1 else words)
+        books.append(np.array([[-1.0], [1.0]]) if block == 1 else words)
     return turn[:width], books
 
 
@@ -47,14 +50,16 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def decode(units: np.ndarray, letters: int, size: int = LIST, blocks: int = BLOCKS, seed: int = 0) -> np.ndarray:
+def decode(
+    units: np.ndarray, letters: int, size: int = LIST, blocks: int = BLOCKS, seed: int = 0, code: tuple | None = None
+) -> np.ndarray:
     """List decoding: the numbers of the ``size`` filter directions inside each vector's cap, ascending.
 
     A filter is one code word a block; its product with the vector is the sum of the blocks' products. Only the best
     ``size`` words of a block can take part in the best ``size`` sums, so the code is decoded block by block and never
-    spelled out.
+    spelled out. ``code`` spares making it again.
     """
-    turn, books = product_code(units.shape[1], letters, blocks, seed)
+    turn, books = code or product_code(units.shape[1], letters, blocks, seed)
     turned = units @ turn
     width = turned.shape[1] // blocks
     rows = np.arange(len(units))[:, None]
@@ -100,6 +105,7 @@ def _router(plans: dict[int, tuple[int, int, int]], blocks: int, seed: int):
     """Each vector once for every region that holds one of its filters; ``plans`` has letters, list and parts by width."""
 
     def route(batches):
+        codes: dict[int, tuple] = {}
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 some = batch.slice(first, 256)
@@ -110,8 +116,10 @@ def _router(plans: dict[int, tuple[int, int, int]], blocks: int, seed: int):
                     column = own.column("vec")
                     values = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
                     letters, size, parts = plans[int(width)]
-                    filters = decode(unit(values), letters, size, blocks, seed)
-                    regions = region_of(filters, width, letters, parts, blocks, seed)
+                    if width not in codes:
+                        codes[width] = product_code(int(width), letters, blocks, seed)
+                    filters = decode(unit(values), letters, size, blocks, seed, codes[width])
+                    regions = region_of(filters, int(width), letters, parts, blocks)
                     fresh = np.ones(regions.shape, bool)
                     order = np.argsort(regions, axis=1, kind="stable")
                     ranked = np.take_along_axis(regions, order, 1)
@@ -134,13 +142,13 @@ def _router(plans: dict[int, tuple[int, int, int]], blocks: int, seed: int):
     return route
 
 
-def region_of(filters: np.ndarray, width: int, letters: int, parts: int, blocks: int, seed: int) -> np.ndarray:
+def region_of(filters: np.ndarray, width: int, letters: int, parts: int, blocks: int) -> np.ndarray:
     """Filters that share the first code word (and the remainder of the rest) lie in one region."""
-    rest = math.prod(len(book) for book in product_code(int(width), letters, blocks, seed)[1][1:])
+    rest = words_a_block(width, letters, blocks) ** (blocks - 1)
     return filters // rest * parts + filters % rest % parts
 
 
-def _meeting(least: float, plans: dict[int, tuple[int, int, int]], blocks: int, seed: int):
+def _meeting(least: float, plans: dict[int, tuple[int, int, int]], blocks: int):
     """Links among the rows of one region, or between two blocks of it: their number for each row and the smallest
     row it is linked with there. A pair counts in the first filter that both have, so once in all."""
 
@@ -154,7 +162,7 @@ def _meeting(least: float, plans: dict[int, tuple[int, int, int]], blocks: int,
         vectors = table.column("vec").combine_chunks()
         units = unit(vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, width))
         filters = np.stack([np.frombuffer(f, np.int64) for f in table.column("filters").to_pylist()])
-        here = region_of(filters, width, letters, parts, blocks, seed) == region
+        here = region_of(filters, width, letters, parts, blocks) == region
         row, place = np.nonzero(here)
         own = filters[row, place]
         order = np.argsort(own, kind="stable")
@@ -281,7 +289,7 @@ def similar_vectors(
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), cuts - 1)))
     placed = placed.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
     pairs = placed.select("width", "region", "low", "high", "block", "node", "copies", "vec", "filters")
-    meet = _meeting(cosine, plans, blocks, seed)
+    meet = _meeting(cosine, plans, blocks)
     found = settle(pairs.groupBy("width", "region", "low", "high").applyInArrow(meet, _FOUND))
     stars = components(found.select("node", "root"))
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
