@@ -4,7 +4,7 @@ Texts with the same set of shingles become one class first, so copies cost one r
 sorted order of the classes by its own run of minimum hashes. Neighbours in an order that share a prefix are
 candidates; the depth that is asked for grows where a region is crowded. Candidates are confirmed on the full sets
 in two passes: near neighbours of a few trees join most of each group, and then all trees look for links between
-classes that are still apart.
+classes that are still apart. Classes of crowded regions also go through the exact join of ``crowds``.
 """
 
 from __future__ import annotations
@@ -17,15 +17,15 @@ from pyspark.sql import types as T
 
 from ..operators.spread import lookup_join
 from ..session import settle
+from .crowds import crowded_pairs
 from .flat import SPACE_WORDS, U64, Hasher, bounds, mix, slices, text_buffer, whole_rows, windows, words
 from .linked import components, star_of
 
 TREES, DEPTH, LEAST_DEPTH = 20, 8, 4
 #: Trees whose neighbours are confirmed first.
 FIRST_TREES = 3
-#: A region of at most so many classes is compared pair by pair; a larger one where all but so many are joined
-#: already is compared against those; any other goes deeper.
-REGION, STRANGERS = 48, 16
+#: A region of at most so many classes is compared pair by pair; a larger one goes deeper and to ``crowded_pairs``.
+REGION = 48
 _KEY = 1 + 2 * DEPTH
 
 FEATURES = (
@@ -39,6 +39,7 @@ FEATURES = (
 _ROWS = T.StructType().add("order", T.BinaryType()).add("node", T.LongType()).add("n", T.LongType()).add("label", T.LongType())
 _PAIRS = T.StructType().add("a", T.LongType()).add("b", T.LongType())
 _SETS = T.StructType().add("node", T.LongType()).add("shingles", T.BinaryType())
+_LISTS = T.StructType().add("node", T.LongType()).add("shingles", T.ArrayType(T.LongType()))
 
 
 def shingle_sets(texts: pa.Array, size: int, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
@@ -194,28 +195,22 @@ def near_neighbours(classes: DataFrame, percent: int, trees: int = FIRST_TREES)
     return _forest(classes, trees).mapInArrow(look, _PAIRS).distinct()
 
 
-def _crowd(first: int, last: int, label: np.ndarray, at_least_one: bool):
-    """Pairs of rows first..last-1 with different labels when few rows have not the commonest one, else None."""
-    values, place, counts = np.unique(label[first:last], return_inverse=True, return_counts=True)
-    if len(values) == 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    apart = np.flatnonzero(place != counts.argmax())
-    if len(apart) > STRANGERS and not at_least_one:
-        return None
-    size = last - first
-    a, b = np.repeat(apart, size), np.tile(np.arange(size), len(apart))
-    keep = (place[a] != place[b]) & ((place[b] == counts.argmax()) | (a < b))
-    return a[keep] + first, b[keep] + first
-
-
 def forest_candidates(classes: DataFrame, percent: int, trees: int = TREES) -> DataFrame:
-    """Pairs of different label that share a region of some tree at the depth its crowding asks for."""
+    """Pairs of different label that share a region of some tree at the depth its crowding asks for.
+
+    A class in a region of more than ``REGION`` that is not of one label, or in one that the partition's border may
+    cut, is also returned as a pair with itself: what such regions hold beyond these pairs is for ``crowded_pairs``.
+    """
 
     def look(batches):
         loaded = _loaded(batches)
         if loaded is None:
             return
         shared, node, n, label = loaded
+        crowded = np.zeros(len(node), np.bool_)
+        starts = np.flatnonzero(shared < LEAST_DEPTH)
+        crowded[: starts[1] if len(starts) > 1 else len(node)] = True
+        crowded[starts[-1] :] = True
         todo = [(LEAST_DEPTH, 0, len(node))]
         while todo:
             depth, low, high = todo.pop()
@@ -229,42 +224,45 @@ def forest_candidates(classes: DataFrame, percent: int, trees: int = TREES) -> D
                     a, b = np.triu_indices(size, 1)
                     a, b = a + first, b + first
                     apart = label[a] != label[b]
-                    pairs = a[apart], b[apart]
-                else:
-                    pairs = _crowd(first, last, label, False)
-                    if pairs is None and depth < DEPTH:
+                    if apart.any():
+                        yield from _pair_batches(a[apart], b[apart], node, n, percent)
+                elif (label[first:last] != label[first]).any():
+                    crowded[first:last] = True
+                    if depth < DEPTH:
                         todo.append((depth + 1, first, last))
-                        continue
-                    if pairs is None:  # one signature run and still many groups: the nearest in the order
-                        steps = [np.arange(first, last - k) for k in range(1, REGION)]
-                        a = np.concatenate(steps)
-                        b = np.concatenate([s + k for k, s in enumerate(steps, 1)])
-                        apart = label[a] != label[b]
-                        pairs = a[apart], b[apart]
-                if len(pairs[0]):
-                    yield from _pair_batches(*pairs, node, n, percent)
+        alone = np.flatnonzero(crowded)
+        yield from _pair_batches(alone, alone, node, n, percent)
 
     return _forest(classes, trees).mapInArrow(look, _PAIRS).distinct()
 
 
-def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, shingle: int, percent: int) -> DataFrame:
-    """Those pairs of nodes whose full sets are similar: 100 * |intersection| >= percent * |union|."""
-    pairs = settle(pairs)
-    nodes = settle(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct())
+def _sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, shingle: int, schema: T.StructType) -> DataFrame:
+    """Shingle sets of the given nodes, from one text of each: as bytes or as an array, whichever ``schema`` names."""
     wanted = lookup_join(classes.select("node", F.col("rep").alias("ident")), nodes, "node", "left_semi")
     wanted = settle(wanted.select("ident").distinct())
     texts = lookup_join(docs.select(_ident(key, text).alias("ident"), F.col(text).alias("_text")), wanted, "ident", "left_semi")
+    listed = isinstance(schema["shingles"].dataType, T.ArrayType)
 
     def make(batches):
         hasher = Hasher(5, fold=True)
         for batch in batches:
             for part in slices(batch, "_text"):
                 flat, ends = shingle_sets(part.column("_text"), shingle, hasher)
-                raw = flat.tobytes()
-                sets = [raw[8 * a : 8 * b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(set_prints(flat, ends)), pa.array(sets, pa.binary())], _SETS.names)
+                if listed:
+                    sets = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))
+                else:
+                    raw = flat.tobytes()
+                    sets = pa.array([raw[8 * a : 8 * b] for a, b in zip(ends.tolist(), ends[1:].tolist())], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(set_prints(flat, ends)), sets], _SETS.names)
+
+    return texts.mapInArrow(make, schema).groupBy("node").agg(F.first("shingles").alias("shingles"))
+
 
-    sets = texts.mapInArrow(make, _SETS).groupBy("node").agg(F.first("shingles").alias("shingles"))
+def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, shingle: int, percent: int) -> DataFrame:
+    """Those pairs of nodes whose full sets are similar: 100 * |intersection| >= percent * |union|."""
+    pairs = settle(pairs)
+    nodes = settle(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct())
+    sets = _sets(nodes, classes, docs, key, text, shingle, _SETS)
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("one"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("other"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "one", "other")
@@ -299,7 +297,12 @@ def _grouped(docs: DataFrame, key: str, text: str, shingle: int, percent: int) -
     joined = components(first)
     labelled = lookup_join(classes.drop("label"), joined.select(F.col("v").alias("node"), F.col("r").alias("label")), "node", "left")
     labelled = settle(labelled.withColumn("label", F.coalesce("label", "node")))
-    far = confirm(forest_candidates(labelled, percent), classes, docs, key, text, shingle, percent)
+    seen = settle(forest_candidates(labelled, percent))
+    crowd = settle(seen.where("a = b").select(F.col("a").alias("node")))
+    units = _sets(crowd, classes, docs, key, text, shingle, _LISTS).withColumnRenamed("shingles", "tokens")
+    units = units.join(labelled.select("node", "label", "n"), "node")
+    pairs = seen.where("a < b").union(crowded_pairs(units, percent)).distinct()
+    far = confirm(pairs, classes, docs, key, text, shingle, percent)
     groups = components(joined.union(far.select(F.col("a").alias("v"), F.col("b").alias("r"))))
     members = groups.select(F.col("v").alias("node"), F.col("r").alias("label"))
     placed = lookup_join(classes.select("node", "least"), members, "node", "left")
@@ -317,7 +320,8 @@ def near_duplicates(
 
     Texts are linked when the sets of their ``shingle``-word runs have a Jaccard similarity of ``percent`` or more,
     counted exactly on the full sets; whether a pair is looked at is a matter of chance: two texts that are just
-    similar enough share four minimum hashes in none of the 20 trees in less than 1 case of 30,000.
+    similar enough share four minimum hashes in none of the 20 trees in less than 1 case of 30,000. Those that share
+    a crowded region are compared by an exact join (``crowds``). A very long text is held with its set in one task.
     A null or empty text or one without words is linked with nothing; repeated rows and ties share a component; a
     null key never becomes the smallest; an empty table gives no rows; other columns are not read.
     """
