@@ -6,8 +6,9 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from eventloom.operators import features
 from eventloom.operators import text as X
-from eventloom.plans.relevant_news import most_covered_news, news_clusters, news_pipeline
+from eventloom.plans.relevant_news import most_covered_news, news_clusters, news_pipeline, news_vectors
 from eventloom.sources.snapshots import TableSet
 from eventloom.schemas import GKG, NO_SUMMARY
 from eventloom.session import settle
@@ -167,6 +168,21 @@ def news_inputs(spark):
     return spark.createDataFrame(gkg, GKG), spark.createDataFrame(texts, "url string, text string")
 
 
+def test_vectors_do_not_carry_the_tokens(spark, monkeypatch):
+    gkg, texts = news_inputs(spark)
+    carried = []
+    stored = features.sparse_vectors
+
+    def seen(rows, *rest):
+        carried.append(rows.columns)
+        return stored(rows, *rest)
+
+    monkeypatch.setattr(features, "sparse_vectors", seen)
+    vectors = news_vectors(gkg, texts)
+    assert carried == [["row_id", "NUMARTS", "SOURCEURLS"]]
+    assert vectors.columns == ["row_id", "NUMARTS", "SOURCEURLS", "features"] and vectors.count() == 34
+
+
 def test_news_tables(spark, folder):
     gkg, texts = news_inputs(spark)
     tables = news_pipeline(gkg, texts, folder, ks=range(2, 6))
