@@ -36,13 +36,12 @@ def _ordered(a, b) -> list:
 def _level(units: DataFrame, percent: int, most: int) -> tuple[DataFrame, DataFrame]:
     """Pairs that meet at a rare token or have the same common tokens, and the classes to look at further."""
     tokens = units.select("node", F.explode("tokens").alias("w"))
-    common = tokens.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
-    common = settle(common.select("w", F.lit(True).alias("common")))
-    told = lookup_join(tokens, common, "w", "left").groupBy("node").agg(
-        F.sort_array(F.collect_list(F.when(F.col("common").isNull(), F.col("w")))).alias("rare"),
-        F.sort_array(F.collect_list(F.when(F.col("common"), F.col("w")))).alias("tokens"),
-    )
-    parts = settle(told.join(units.select("node", "label", "n", "first"), "node"))
+    rare = settle(tokens.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= most).select("w"))
+    # only rare tokens travel: the common ones, which are most in a crowd of near copies, are what is left of a set
+    told = lookup_join(tokens, rare, "w", "left_semi").groupBy("node").agg(F.sort_array(F.collect_list("w")).alias("rare"))
+    split = units.join(told, "node", "left").withColumn("rare", F.coalesce("rare", F.array().cast("array<bigint>")))
+    left = F.sort_array(F.array_except("tokens", "rare")).alias("tokens")
+    parts = settle(split.select("node", "rare", left, "label", "n", "first"))
 
     posts = parts.select("node", "label", "n", F.explode(F.slice("rare", F.lit(1), F.col("first"))).alias("w"))
     met = posts.groupBy("w").agg(

@@ -98,3 +98,22 @@ def test_candidates_grow_with_the_texts(spark):
         classes = rows.selectExpr("node", "n_shingles AS n", "signature", "node AS label")
         sent.append(near_dups.forest_candidates(classes, 80).count() / pairs)
     assert sent[1] < 2 * sent[0]
+
+
+def test_common_tokens_of_a_crowd_are_not_joined(spark, monkeypatch):
+    """Near copies: only the rows of tokens that few classes have leave the join by token."""
+    sets = {node: [*range(80), 1000 + node] for node in range(60)}
+    joins = []
+
+    def counted(left, right, key, how="inner", *rest):
+        out = crowds_join(left, right, key, how, *rest)
+        if key == "w":
+            joins.append(out.count())
+        return out
+
+    crowds_join = crowds.lookup_join
+    monkeypatch.setattr(crowds, "lookup_join", counted)
+    units = spark.createDataFrame([(v, v, len(s), s) for v, s in sets.items()], UNITS)
+    found = [(r["a"], r["b"]) for r in crowds.crowded_pairs(units, 80).collect()]
+    assert set(joined(sets, found).values()) == {0}
+    assert joins[0] == 60
