@@ -13,7 +13,6 @@ import re
 import struct
 from collections.abc import Iterator
 from itertools import chain
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -98,17 +97,23 @@ class PieceModel:
         self.plain = [b"" if i in self.control else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
         for b, i in self.bytes.items():
             self.plain[i] = bytes([b])
-        self.decimal = [str(i) for i in range(len(pieces))]
+        self.decimal = [str(i).encode() for i in range(len(pieces))]
         # Symbols: the pieces, then the characters that occur only inside pieces.
         spare = sorted({c for p in self.normal for c in p} - set(self.normal))
         self.symbols = {**self.normal, **{c: len(pieces) + k for k, c in enumerate(spare)}}
-        self.neighbours = {p[i : i + 2] for p in self.normal for i in range(len(p) - 1)}
         order = sorted(self.normal, key=lambda p: (-scores[self.normal[p]], self.normal[p]))
         rank, last = {}, None
         for place, p in enumerate(order):  # equal scores share a rank
             rank[p] = rank[last] if last is not None and scores[self.normal[p]] == scores[self.normal[last]] else place
             last = p
         self.width = len(pieces) + len(spare) + 1
+        # Symbol of each code point, the last place for those beyond; unknown ones have the last symbol.
+        alphabet = {c: self.symbols[c] for p in self.normal for c in p}
+        self.of_point = np.full(max(map(ord, alphabet), default=0) + 2, self.width - 1, np.int32)
+        self.of_point[[ord(c) for c in alphabet]] = list(alphabet.values())
+        self.of_byte = np.array([self.bytes[b] for b in range(256)], np.int32)
+        neighbours = {p[i : i + 2] for p in self.normal for i in range(len(p) - 1)}
+        self.near = np.array(sorted(alphabet[a] * self.width + alphabet[b] for a, b in neighbours) or [-1], np.int64)
         rows = []
         for p, i in self.normal.items():
             for cut in range(1, len(p)):
@@ -117,7 +122,7 @@ class PieceModel:
                     rows.append((left * self.width + right, rank[p], i))
         rows.sort()
         table = np.array(rows, np.int64).reshape(-1, 3)
-        self.keys, self.ranks, self.merged = table[:, 0].copy(), table[:, 1].copy(), table[:, 2].copy()
+        self.keys, self.ranks, self.merged = table[:, 0].copy(), table[:, 1].astype(np.int32), table[:, 2].astype(np.int32)
         self.no_rank = len(pieces) + 1
         # Where a cut is sure: a space mark after something else, when no piece has one inside.
         self.inner_space = any(SPACE in p.lstrip(SPACE) for p in self.normal)
@@ -134,55 +139,72 @@ class PieceModel:
             return re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", SPACE + text.replace(" ", SPACE))
         return [SPACE + part for part in text.split(" ")]
 
-    def _parts(self, word: str) -> list[str]:
-        """A word cut between characters that stand side by side in no piece."""
-        near = self.neighbours
-        if near.issuperset(map(add, word, word[1:])):
-            return [word]
-        at = [0, *(i for i in range(1, len(word)) if word[i - 1 : i + 1] not in near), len(word)]
-        return [word[a:b] for a, b in zip(at, at[1:])]
-
     # -- merging ------------------------------------------------------------------------------------
 
     def _find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged symbol of each pair."""
-        keys = left * self.width + right
+        keys = left.astype(np.int64) * self.width + right
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         known = self.keys[at] == keys
         return np.where(known, self.ranks[at], self.no_rank), np.where(known, self.merged[at], -1)
 
-    def merge(self, words: list[str]) -> list[np.ndarray]:
-        """Symbols of each word after all merges; -1 is a character outside the model."""
-        unknown = self.width - 1
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
-        short = []
-        for i, word in enumerate(words):
-            if len(word) > ROUND_SYMBOLS:
-                out[i] = self._queue(word)
-            else:
-                short.append(i)
-        get = self.symbols.get
-        flat = np.array([get(c, unknown) for c in "".join([words[i] for i in short])], np.int64)
-        owner = np.repeat(np.arange(len(short)), [len(words[i]) for i in short])
-        done: list[tuple[np.ndarray, np.ndarray]] = []
-        # Pairs of neighbours; the last symbol of a word has none.
-        rank, result = np.full(len(flat), self.no_rank), np.full(len(flat), -1)
-        inner = np.flatnonzero(owner[:-1] == owner[1:]) if len(flat) else np.zeros(0, np.int64)
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after the other, and how many each has; characters that end up in no piece become
+        the ids of their bytes."""
+        text = "".join(words)
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        symbols = self.of_point[np.minimum(points, len(self.of_point) - 1)]
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        # A part begins at a word and between characters that stand side by side in no piece.
+        begins = np.ones(len(points) + 1, np.bool_)
+        if len(points) > 1:
+            pairs = symbols[:-1].astype(np.int64) * self.width + symbols[1:]
+            begins[1:-1] = self.near[np.minimum(np.searchsorted(self.near, pairs), len(self.near) - 1)] != pairs
+        begins[ends] = True
+        starts = np.flatnonzero(begins)
+        sizes = np.diff(starts)
+        for a, n in zip(starts[:-1][sizes > ROUND_SYMBOLS].tolist(), sizes[sizes > ROUND_SYMBOLS].tolist()):
+            symbols[a : a + n] = self._queue(symbols[a : a + n].tolist())
+        short = np.flatnonzero((sizes > 1) & (sizes <= ROUND_SYMBOLS))
+        self._merge(symbols, starts[short], sizes[short])
+        places = np.flatnonzero(symbols >= 0)
+        symbols = symbols[places]
+        bad = symbols >= len(self.pieces)
+        counts = np.ones(len(symbols), np.int64)
+        if bad.any():
+            odd = points[places[bad]]
+            counts[bad] = 1 + (odd >= 0x80).astype(np.int64) + (odd >= 0x800) + (odd >= 0x10000)
+            symbols = np.repeat(symbols, counts)
+            raw = np.frombuffer("".join(map(chr, odd.tolist())).encode(), np.uint8)
+            symbols[np.repeat(bad, counts)] = self.of_byte[raw]
+        before = np.concatenate([[0], np.cumsum(counts)])
+        return symbols, np.diff(before[np.concatenate([[0], np.searchsorted(places, ends)])])
+
+    def _merge(self, symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
+        """All merges of the given parts, in place: a merged symbol stands where its first character was, -1 where the
+        others were."""
+        flat_places = ragged(starts, sizes)
+        if not len(flat_places):
+            return
+        flat, owner = symbols[flat_places], np.repeat(np.arange(len(starts), dtype=np.int32), sizes)
+        symbols[flat_places] = -1
+        # Pairs of neighbours; the last symbol of a part has none.
+        rank, result = np.full(len(flat), self.no_rank, np.int32), np.full(len(flat), -1, np.int32)
+        inner = np.flatnonzero(owner[:-1] == owner[1:])
         rank[inner], result[inner] = self._find(flat[inner], flat[inner + 1])
         while len(flat):
-            starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-            best = np.minimum.reduceat(rank, starts)
-            size = np.diff(np.append(starts, len(flat)))
+            first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            best = np.minimum.reduceat(rank, first)
+            size = np.diff(np.append(first, len(flat)))
             live = best < self.no_rank
             if not live.all():
                 stays = np.repeat(live, size)
-                done.append((owner[~stays], flat[~stays]))
-                flat, owner, rank, result = flat[stays], owner[stays], rank[stays], result[stays]
+                symbols[flat_places[~stays]] = flat[~stays]
+                flat, owner, rank, result, flat_places = (x[stays] for x in (flat, owner, rank, result, flat_places))
                 best, size = best[live], size[live]
                 if not len(flat):
                     break
-                starts = np.cumsum(size) - size
-            # The leftmost pair of minimum rank of every word.
+            # The leftmost pair of minimum rank of every part.
             hits = np.flatnonzero(rank == np.repeat(best, size))
             at = hits[np.append(True, owner[hits][1:] != owner[hits][:-1])]
             flat[at] = result[at]
@@ -190,28 +212,17 @@ class PieceModel:
             keep[at + 1] = False
             rank[at] = self.no_rank
             after = at - np.arange(len(at))
-            flat, owner, rank, result = flat[keep], owner[keep], rank[keep], result[keep]
+            flat, owner, rank, result, flat_places = (x[keep] for x in (flat, owner, rank, result, flat_places))
             # Only the pairs to both sides of a merged symbol are new.
             fresh = np.concatenate([after, after[after > 0] - 1])
             fresh = fresh[fresh + 1 < len(flat)]
             rank[after] = self.no_rank
             fresh = fresh[owner[fresh] == owner[fresh + 1]]
             rank[fresh], result[fresh] = self._find(flat[fresh], flat[fresh + 1])
-        if done:
-            owners = np.concatenate([x[0] for x in done])
-            symbols = np.concatenate([x[1] for x in done])
-            order = np.argsort(owners, kind="stable")
-            symbols = np.where(symbols[order] == unknown, -1, symbols[order])
-            counts = np.bincount(owners, minlength=len(short))
-            for i, part in zip(short, np.split(symbols, np.cumsum(counts)[:-1])):
-                out[i] = part
-        return out
-
-    def _queue(self, word: str) -> np.ndarray:
-        """The same merges for one long word: a queue of pairs ordered by rank and place."""
-        unknown = self.width - 1
+
+    def _queue(self, sym: list[int]) -> np.ndarray:
+        """The same merges for one long part: a queue of pairs ordered by rank and place; -1 as in ``_merge``."""
         table = self._pair_table()
-        sym = [self.symbols.get(c, unknown) for c in word]
         n = len(sym)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         queue = []
@@ -235,69 +246,46 @@ class PieceModel:
             if before[i] >= 0:
                 push(before[i])
             push(i)
-        kept = np.array([s for s, live in zip(sym, alive) if live], np.int64)
-        return np.where(kept == unknown, -1, kept)
+        return np.where(alive, sym, -1)
 
     def _pair_table(self) -> dict[int, tuple[int, int]]:
         if not hasattr(self, "_table"):
             self._table = {k: (r, m) for k, r, m in zip(self.keys.tolist(), self.ranks.tolist(), self.merged.tolist())}
         return self._table
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word; characters that end up in no piece become the ids of their bytes."""
-        parts = [self._parts(w) for w in words]
-        distinct = {p: None for ps in parts for p in ps}
-        for part, symbols in zip(distinct, self.merge(list(distinct))):
-            distinct[part] = self._ids(part, symbols.tolist())
-        return [distinct[ps[0]] if len(ps) == 1 else [i for p in ps for i in distinct[p]] for ps in parts]
-
-    def _ids(self, part: str, symbols: list[int]) -> list[int]:
-        if symbols and 0 <= min(symbols) and max(symbols) < len(self.pieces):
-            return symbols
-        ids, at = [], 0
-        for s in symbols:
-            if 0 <= s < len(self.pieces):
-                ids.append(s)
-                at += len(self.pieces[s])
-            else:
-                ids += [self.bytes[b] for b in part[at].encode()]
-                at += 1
-        return ids
-
-    def decode_bytes(self, ids: list[int]) -> bytes:
-        """Bytes of the pieces; control pieces have none."""
-        return b"".join(map(self.plain.__getitem__, ids))
+    def decode(self, ids: list[int]) -> str:
+        """Text of the pieces without the space put in front; control pieces have none."""
+        return b"".join(map(self.plain.__getitem__, ids))[1:].decode("utf-8", "replace")
 
 
 class Encoder:
-    """Encodes lists of texts; remembers the ids of words between calls, ``REMEMBERED`` at most."""
+    """Encodes lists of texts; remembers the ids of words between calls, ``REMEMBERED`` at most beside those of the call."""
 
     def __init__(self, model: PieceModel, end: int):
         self.model, self.end = model, end
         self.known: dict[str, int] = {}
-        self._reset()
-
-    def _reset(self) -> None:
-        self.known.clear()
-        self.ids = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.int32)
         self.starts = np.zeros(1, np.int64)
-        self.digits: list[bytes] = []
-        self.raw: list[bytes] = []
+
+    def _forget(self, wanted: set[str]) -> None:
+        """Only the words that are wanted now stay."""
+        kept = [w for w in wanted if w in self.known]
+        at = np.fromiter(map(self.known.__getitem__, kept), np.int64, len(kept))
+        sizes = self.starts[at + 1] - self.starts[at]
+        self.ids = self.ids[ragged(self.starts[at], sizes)]
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        self.known = dict(zip(kept, range(len(kept))))
 
     def _learn(self, words: set[str]) -> None:
         fresh = [w for w in words if w not in self.known]
         if not fresh:
             return
         if len(self.known) + len(fresh) > REMEMBERED and self.known:
-            self._reset()
-            fresh = list(words)
-        found, decimal = self.model.encode_words(fresh), self.model.decimal.__getitem__
-        for w, ids in zip(fresh, found):
-            self.known[w] = len(self.digits)
-            self.digits.append(" ".join(map(decimal, ids)).encode())
-            self.raw.append(self.model.decode_bytes(ids))
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum()))])
+            self._forget(words)
+        ids, sizes = self.model.encode_words(fresh)
+        n = len(self.known)
+        self.known.update(zip(fresh, range(n, n + len(fresh))))
+        self.ids = np.concatenate([self.ids, ids])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
 
     def numbers(self, texts: list[str]) -> list[list[int]]:
@@ -307,29 +295,35 @@ class Encoder:
         get = self.known.__getitem__
         return [list(map(get, words)) for words in cut]
 
-    def ids_of(self, places: list[int]) -> np.ndarray:
-        at = np.array(places, np.int64)
-        return np.append(self.ids[ragged(self.starts[at], self.starts[at + 1] - self.starts[at])], self.end)
+    def flat_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, with the end id of each text, and the n + 1 offsets of the texts."""
+        cut = [self.model.cuts(t) for t in texts]
+        self._learn(set().union(*cut))
+        words = [len(c) for c in cut]
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, sum(words))
+        sizes = self.starts[at + 1] - self.starts[at]
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(words, dtype=np.int64)])]
+        flat = np.insert(self.ids[ragged(self.starts[at], sizes)], ends[1:], self.end)
+        return flat, ends + np.arange(len(ends))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [self.ids_of(places) for places in self.numbers(texts)]
+        flat, ends = self.flat_ids(texts)
+        return np.split(flat, ends[1:-1]) if texts else []
 
     def decoded(self, places: list[int]) -> str:
-        raw = b"".join(map(self.raw.__getitem__, places))
-        return raw[1:].decode("utf-8", "replace")  # the space put in front goes again
+        at = np.array(places, np.int64)
+        return self.model.decode(self.ids[ragged(self.starts[at], self.starts[at + 1] - self.starts[at])].tolist())
 
     def digests(self, texts: list[str]) -> tuple[list[int], list[str], list[str]]:
         """Count of ids, digest of the decimal ids and digest of the decoded text."""
-        counts, of_ids, of_text = [], [], []
+        of_ids, of_text, decimal = [], [], self.model.decimal.__getitem__
         end = str(self.end).encode()
-        numbered = self.numbers(texts)
-        sizes = np.diff(self.starts)
-        for places in numbered:
-            digits = [*map(self.digits.__getitem__, places), end]
-            counts.append(int(sizes[places].sum()) + 1 if places else 1)
-            of_ids.append(hashlib.sha256(b" ".join(digits)).hexdigest())
-            of_text.append(hashlib.sha256(self.decoded(places).encode()).hexdigest())
-        return counts, of_ids, of_text
+        flat, ends = self.flat_ids(texts)
+        for a, b in zip(ends.tolist(), ends[1:].tolist()):
+            ids = flat[a : b - 1].tolist()
+            of_ids.append(hashlib.sha256(b" ".join([*map(decimal, ids), end])).hexdigest())
+            of_text.append(hashlib.sha256(self.model.decode(ids).encode()).hexdigest())
+        return np.diff(ends).tolist(), of_ids, of_text
 
 
 def _model(path: str) -> PieceModel:
@@ -337,24 +331,37 @@ def _model(path: str) -> PieceModel:
         return PieceModel(f.read())
 
 
+def _encoders(docs: DataFrame, model_file: str, end: int):
+    """What makes an encoder in a task: the model file is read once, and its tables travel by broadcast."""
+    shared = docs.sparkSession.sparkContext.broadcast(vars(_model(model_file)))
+
+    def encoder() -> Encoder:
+        model = PieceModel.__new__(PieceModel)
+        vars(model).update(shared.value)
+        return Encoder(model, end)
+
+    return encoder
+
+
 def encode(docs: DataFrame, model_file: str, end: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: the key, ``ids`` (the end id last) and ``decoded``.
 
     A null or empty text has the end id alone and decodes to nothing; repeated rows are encoded alike; an empty
-    table gives no rows; other columns are not read. ``model_file`` is a path every executor has.
+    table gives no rows; other columns are not read. ``model_file`` is a path the driver has.
     """
     kind = docs.schema[key].dataType
     schema = T.StructType().add(key, kind).add("ids", T.ArrayType(T.IntegerType())).add("decoded", T.StringType())
 
+    new_encoder = _encoders(docs, model_file, end)
+
     def run(batches):
-        encoder = Encoder(_model(model_file), end)
+        encoder = new_encoder()
         for batch in batches:
             for part in slices(batch, text):
-                numbered = encoder.numbers([t or "" for t in part.column(text).to_pylist()])
-                ids = [encoder.ids_of(places) for places in numbered]
-                ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
-                plain = pa.array([encoder.decoded(places) for places in numbered], pa.string())
+                flat, ends = encoder.flat_ids([t or "" for t in part.column(text).to_pylist()])
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+                bounds = zip(ends.tolist(), ends[1:].tolist())
+                plain = pa.array([encoder.model.decode(flat[a : b - 1].tolist()) for a, b in bounds], pa.string())
                 yield pa.RecordBatch.from_arrays([part.column(key), ids, plain], [key, "ids", "decoded"])
 
     return docs.select(F.col(key), F.col(text)).mapInArrow(run, schema)
@@ -371,8 +378,10 @@ def digests(docs: DataFrame, model_file: str, end: int = 2, key: str = "doc_id",
         .add("decoded_sha256", T.StringType())
     )
 
+    new_encoder = _encoders(docs, model_file, end)
+
     def run(batches):
-        encoder = Encoder(_model(model_file), end)
+        encoder = new_encoder()
         for batch in batches:
             for part in slices(batch, text):
                 found = encoder.digests([t or "" for t in part.column(text).to_pylist()])

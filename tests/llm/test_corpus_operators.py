@@ -1,5 +1,6 @@
 """Near-duplicates, repeats, language model, tokens and audits."""
 
+import hashlib
 import random
 import zlib
 
@@ -268,6 +269,28 @@ def test_pieces_with_little_memory(monkeypatch, documents):
         assert [x.tolist() for x in encoder.encode(texts)] == library.encode(texts, add_eos=True)
 
 
+def test_pieces_known_words_are_not_merged_again(monkeypatch):
+    """A full memory keeps the words of the present call."""
+    import sentencepiece
+
+    monkeypatch.setattr(pieces, "REMEMBERED", 50)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    with open(path, "rb") as f:
+        encoder = pieces.Encoder(pieces.PieceModel(f.read()), 2)
+    asked, encode_words = [], encoder.model.encode_words
+    monkeypatch.setattr(encoder.model, "encode_words", lambda words: asked.append(len(words)) or encode_words(words))
+    first, second = " ".join(f"w{i}é" for i in range(40)), " ".join(f"w{i}é" for i in range(30, 60))
+    for text in (first, second, second):
+        ids = library.encode(text, add_eos=True)
+        assert encoder.digests([text]) == (
+            [len(ids)],
+            [hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()],
+            [hashlib.sha256(library.decode(ids).encode()).hexdigest()],
+        )
+    assert asked == [40, 20]
+
+
 def test_pieces_odd_rows(odd_documents, no_documents):
     path = public_tokenizers.path("piece_bpe_32k.model")
     rows = pieces.encode(odd_documents, path).collect()
