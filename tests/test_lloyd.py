@@ -136,3 +136,43 @@ def test_likelihood_never_falls_and_matches_numpy(spark):
     assert found.likelihoods[-1] == pytest.approx(ll.sum())
     labelled = C.gmm_labels(df.select("features"), "features", 2, rounds=3)
     assert labelled.columns == ["features", "gmm_label"] and labelled.where(F.col("gmm_label").between(0, 1)).count() == 250
+
+
+def test_rows_kept_as_arrays_fit_like_single_cells(spark):
+    """Dense positions, rare ones, a row without cells, a value that is no number, an id that comes twice."""
+    x = sparse(240, 40, 8, 0.05)
+    x[:, :6] = np.random.default_rng(9).normal(0, 2, (240, 6))
+    x[3], x[5, 1] = 0, np.nan
+    df = frame(spark, x)
+    df = df.unionByName(df.where("id = 7"))
+    single = lloyd.plain_cells(df.select("id"), long_cells(df, "id", "features"), "id")
+    arrays = C.vector_cells(df, "features", "id")
+    assert (arrays.size, arrays.width) == (single.size, single.width)
+    one, two = (lloyd.kmeans(cells, [2, 4], 3, most=4) for cells in (single, arrays))
+    assert (labels_of(one) == labels_of(two)).all() and one.costs == pytest.approx(two.costs, nan_ok=True)
+    single.close(), arrays.close()
+
+
+def test_common_positions_are_a_bounded_block():
+    rng = np.random.default_rng(2)
+    x = np.where(rng.random((50, 300)) < np.where(np.arange(300) < 4, 0.9, 0.02), 1.5, 0)
+    row, at = np.nonzero(x)
+    common, block, (r, p, v) = lloyd._parted(row, at, x[row, at], 50, 300)
+    assert set(range(4)) <= set(common) and block.size <= 4 * len(row)
+    back = np.zeros_like(x)
+    back[:, common] = block
+    np.add.at(back, (r, p), v)
+    assert (back == x).all()
+
+
+def test_vectors_are_read_in_place_and_dealt_once_for_both_fits(spark, monkeypatch):
+    """Reading cells writes nothing, and a frame that two fits share is prepared once."""
+    from eventloom.plans import relevant_news as plan
+
+    df = frame(spark, sparse(60, 8, 4)).withColumnRenamed("id", "row_id")
+    assert "parquet" not in stored_cells(df, "features")._jdf.queryExecution().toString()
+    made = []
+    monkeypatch.setattr(plan, "news_vectors", lambda *a, **k: df.selectExpr("row_id", "features"))
+    monkeypatch.setattr(plan, "vector_cells", lambda *a: made.append(C.vector_cells(*a)) or made[-1])
+    clusters = plan.news_clusters(df, df, ks=[2, 3, 4])
+    assert len(made) == 1 and clusters.rows.count() == 60
