@@ -155,3 +155,37 @@ def test_calendar(spark, folder):
 def test_write_edges_header_is_positions(spark, folder):
     sinks.write_edges(spark.createDataFrame([("a", "b", "e", "centroid_1")], "src string, dst string, event string, centroid string"), f"{folder}/g")
     assert spark.read.csv(f"{folder}/g", header=True).columns == ["0", "1", "2", "3"]
+
+
+def test_a_text_is_joined_once_and_rows_stay_those_of_two_joins(spark, folder):
+    """Pages that are absent, repeated or without a number, documents below zero, repeated or without one."""
+    from pyspark.sql import functions as F
+
+    from eventloom.catalog.ingestion import gkg_rows
+
+    pages = [(0, "u0"), (1, "u1"), (1, "again"), (3, None), (None, "x"), (-1, "below")]
+    docs = [(i, f"word{i}", "en", "s", 100) for i in (0, 1, 2, 3, 4, 5, 1, None, -1, -2, -6, 11)]
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(f"{folder}/pages.parquet")
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    rem = lambda i: i if i is None else int(i - 6 * int(i / 6))
+    found = lambda key: [u for p, u in pages if key is not None and p == key] or [None]
+    want = []
+    for i, *_ in docs:
+        for a in found(rem(i)):
+            for b in found(None if i is None else rem(i + 1)):
+                want.append((None if i is None else str(i), "<UDIV>".join(u for u in (a, b) if u) or None))
+    rows = gkg_rows(spark, folder)
+    assert sorted(map(str, want)) == sorted(str((r.SOURCES, r.SOURCEURLS)) for r in rows.collect())
+
+    def carriers(node):
+        names = [node.output().apply(i).name() for i in range(node.output().size())]
+        own = node.nodeName() == "Join" and "text" in names
+        return own + sum(carriers(node.children().apply(i)) for i in range(node.children().size()))
+
+    assert carriers(rows._jdf.queryExecution().optimizedPlan()) == 1
+
+
+def test_settled_tables_are_packed(spark):
+    from eventloom.session import settle
+
+    assert all(name.endswith(".zstd.parquet") for name in settle(spark.range(10).toDF("n")).inputFiles())
