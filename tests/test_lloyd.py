@@ -176,3 +176,19 @@ def test_vectors_are_read_in_place_and_dealt_once_for_both_fits(spark, monkeypat
     monkeypatch.setattr(plan, "vector_cells", lambda *a: made.append(C.vector_cells(*a)) or made[-1])
     clusters = plan.news_clusters(df, df, ks=[2, 3, 4])
     assert len(made) == 1 and clusters.rows.count() == 60
+
+
+def test_standardised_rows_are_gathered_once(spark):
+    """A row an id, whose cells are dealt as arrays; an id that comes twice is one row, rows without an id take no part."""
+    x = sparse(80, 7, 6)
+    df = frame(spark, x)
+    rows = df.unionByName(df.where("id = 5")).unionByName(df.where("id = 6").withColumn("id", F.lit(None).cast("bigint")))
+    cells = lloyd.standard_cells(rows.select("id"), long_cells(rows, "id", "features"), "id")
+    assert cells.single
+    got = {r.id: r for r in cells.lists.collect()}
+    assert sorted(got) == list(range(80)) == sorted(r.id for r in cells.lists.collect())
+    one = {r.id: sorted(zip(r.at, r.a)) for r in got.values()}
+    assert len(one[5]) == 2 * (x[5] != 0).sum() and all(len(one[i]) == (x[i] != 0).sum() for i in range(80) if i != 5)
+    counted = {r["id"]: r["n"] for r in cells.stored.groupBy("id").agg(F.count_if(F.col("position") == lloyd.CONSTANT).alias("n")).collect()}
+    assert counted == {i: 1 + (i == 5) for i in range(80)}
+    cells.close()
