@@ -3,12 +3,14 @@
 import hashlib
 import random
 import zlib
+from pathlib import Path
 
 import brute
 import numpy as np
 import pyarrow as pa
 import pytest
 from eventloom.llm import linked, near_dups, pieces, pitman_yor, repeats, suffix_arrays, token_files, warc_audit
+from eventloom.session import scratch_path
 from pyspark.sql import functions as F
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -224,6 +226,17 @@ def test_language_model_is_the_same_at_every_share(spark, documents):
             assert tuple(row)[5:] == pytest.approx(whole[row["doc_id"]][5:], rel=1e-9)
 
 
+def test_language_model_leaves_no_spent_tables(spark, documents):
+    """What a sweep or a join replaces goes from the shared folder, and its shuffles from the executors' disks."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    folder, before = Path(scratch_path(spark, "x").removeprefix("file:")).parent, spark.conf.get(name, None)
+    tables = set(folder.glob("settled-*"))
+    rows = pitman_yor.score(frame(spark, documents), sweeps=6)
+    assert len(set(folder.glob("settled-*")) - tables) <= 9
+    assert spark.conf.get(name, None) == before
+    assert rows.count() == len(documents)
+
+
 def test_language_model_odd_rows(odd_documents, no_documents):
     got = pitman_yor.score(odd_documents).collect()
     assert len(got) == odd_documents.count()
