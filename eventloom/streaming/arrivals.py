@@ -15,6 +15,7 @@ from ..plans.relevant_news import news_pipeline
 from ..schemas import GKG
 from ..session import settle
 from ..sources.archives import archive_lines
+from ..sources.contents import content_digests
 from ..sources.readers import CORRUPT, previous_day, select_source_files, split_quarantine, with_corrupt, with_source_file
 from ..sources.sinks import append_table, land_raw
 from ..sources.zips import member_lines, parse_lines
@@ -160,12 +161,13 @@ def on_new_content(
 
     The digests of all contents are the keyed state of the stream and live in its checkpoint, so a restart knows them. A
     file is taken by its digest first and parsed only if that is new; of equal files that come together one is taken. A
-    batch that fails is processed again, so ``process`` replaces by file.
+    file of any size is hashed some megabytes at a time. A batch that fails is processed again, so ``process`` replaces by file.
     """
     files = (
         spark.readStream.format("binaryFile").schema(BINARY).option("pathGlobFilter", "*.csv").option("maxFilesPerTrigger", files_per_batch)
-        .load(folder).select("path", F.sha2("content", 256).alias("digest"))
+        .load(folder)
     )
+    files = content_digests(files, folder)
 
     def batch(fresh: DataFrame, _: int) -> None:
         paths = [r["path"] for r in fresh.select("path").orderBy("path").collect()]  # at most files_per_batch

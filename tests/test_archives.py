@@ -1,6 +1,7 @@
 """The archive data source, its streams, and files known by their content."""
 
 import datetime as dt
+import hashlib
 import os
 import shutil
 import zipfile
@@ -8,8 +9,10 @@ import zipfile
 import pytest
 from pyspark.sql import types as T
 
+from eventloom.sources import contents
 from eventloom.sources.archives import archive_lines
-from eventloom.streaming.arrivals import append_new_archives, daily_stream, on_new_content
+from eventloom.sources.contents import content_digests
+from eventloom.streaming.arrivals import BINARY, append_new_archives, daily_stream, on_new_content
 
 ROW = T.StructType().add("a", T.LongType()).add("b", T.StringType())
 
@@ -104,3 +107,36 @@ def test_the_same_content_under_another_name_is_taken_once(spark, folder):
     write_file(f"{src}/d.csv", rows[3:5])
     run()
     assert seen == [3, 2]
+
+
+def test_files_are_hashed_through_open_files_and_never_read_as_values(spark, folder, monkeypatch):
+    src, files = f"{folder}/in", {"a.csv": b"x", "b c%20#ü.csv": os.urandom(1000), "d.csv": os.urandom(300) * 7}
+    os.mkdir(src)
+    for name, content in files.items():
+        with open(f"{src}/{name}", "wb") as out:
+            out.write(content)
+    want = {name: hashlib.sha256(content).hexdigest() for name, content in files.items()}
+    read = lambda at: spark.read.format("binaryFile").schema(BINARY).load(at)
+    told = lambda df: {r["path"].rsplit("/", 1)[1]: r["digest"] for r in df.collect()}
+    hashed = content_digests(read(src), src)
+    assert told(hashed) == want
+    assert "content" not in hashed._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(contents, "CHUNK", 512)  # files of several pieces
+    assert {name: contents.sha256_of(f"file:{src}/{name}") for name in files} == want
+    # a store that only Spark reaches
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.digests.link./in", f"file://{src}")
+    assert told(content_digests(read("viewfs://digests/in"), "viewfs://digests/in")) == want
+
+
+def test_files_beyond_the_largest_value_come_through_the_stream(spark, folder):
+    from test_news import news_inputs, write_file
+
+    src, seen, limit = f"{folder}/in", [], "spark.sql.sources.binaryFile.maxLength"
+    os.mkdir(src)
+    write_file(f"{src}/a.csv", news_inputs(spark)[0].collect()[:3])
+    spark.conf.set(limit, "10")
+    try:
+        on_new_content(spark, src, f"{folder}/check", lambda good: seen.append(good.count())).awaitTermination()
+    finally:
+        spark.conf.unset(limit)
+    assert seen == [3]
